@@ -38,3 +38,21 @@ def to_whole(text: Column) -> Column:
 def finite_or_null(x: Column) -> Column:
     """NaN is a value to Spark and missing to this library: fold it into NULL once, at ingest."""
     return F.when(~F.isnan(x), x)
+
+
+def exact_sum(x: Column, times: Column | None = None) -> Column:
+    """Aggregate: sum to six decimals as DOUBLE, independent of the order of the rows.
+
+    Whole and fractional parts are summed as BIGINT, so partial sums of any partitioning agree and a
+    mean that falls on a rounding tie rounds the same way every time. ``times`` weights each value.
+    """
+    whole = F.floor(x)
+    part = F.rint((x - whole) * 1000000).cast("bigint")
+    if times is not None:
+        whole, part = whole * times, part * times
+    return F.sum(whole).cast("double") + F.sum(part).cast("double") / 1000000
+
+
+def exact_mean(x: Column) -> Column:
+    """Aggregate: mean of the non-null values; NULL when there are none."""
+    return F.try_divide(exact_sum(x), F.count(x))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfprice.functions.buckets import PRICE_LABELS, bucket_ord, discount_bin
-from shelfprice.functions.numeric import rint2, rint6
+from shelfprice.functions.numeric import exact_mean, rint2, rint6
 from shelfprice.operators.stats import MIN_BRAND_LISTINGS, TOP_N, platform_overview
 from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.quantiles import exact_quantiles, quantiles_of_counts, value_counts
@@ -103,8 +103,8 @@ def brand_bubble(listings: DataFrame) -> DataFrame:
         listings.where(complete)
         .groupBy("brand")
         .agg(
-            rint2(F.avg("current_price")).alias("avg_price"),
-            rint2(F.avg("discount_pct")).alias("avg_discount"),
+            rint2(exact_mean(F.col("current_price"))).alias("avg_price"),
+            rint2(exact_mean(F.col("discount_pct"))).alias("avg_discount"),
             F.count(F.lit(1)).alias("product_count"),
         )
         .where(F.col("product_count") >= MIN_BRAND_LISTINGS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfprice.functions.buckets import PRICE_LABELS, bucket_label, bucket_ord
-from shelfprice.functions.numeric import rint2, rint6
+from shelfprice.functions.numeric import exact_mean, exact_sum, rint2, rint6
 from shelfprice.plans.topk import top
 from shelfprice.schema import ORDER_KEY
 
@@ -29,9 +29,9 @@ def platform_profile(cleaned: DataFrame) -> DataFrame:
     return cleaned.groupBy("platform").agg(
         _n().alias("n"),
         F.count("current_price").alias("n_price"),
-        F.sum("current_price").alias("sum_price"),
+        exact_sum(F.col("current_price")).alias("sum_price"),
         F.count("discount_pct").alias("n_discount"),
-        F.sum("discount_pct").alias("sum_discount"),
+        exact_sum(F.col("discount_pct")).alias("sum_discount"),
         F.count_if(F.col("discount_pct") > DEEP_DISCOUNT).alias("n_deep"),
         *[F.count_if(bucket == i).alias(f"n_bucket_{i}") for i in range(len(PRICE_LABELS))],
     )
@@ -78,7 +78,7 @@ def discount_distribution(cleaned: DataFrame) -> DataFrame:
     return counts.agg(
         rint2(F.min(d)).alias("min"),
         rint2(F.max(d)).alias("max"),
-        rint2(F.try_divide(F.sum(d * F.col("n")), F.sum("n"))).alias("mean"),
+        rint2(F.try_divide(exact_sum(d, F.col("n")), F.sum("n"))).alias("mean"),
         rint2(F.percentile(d, F.lit(0.5), F.col("n"))).alias("median"),
         F.coalesce(F.sum(F.when(d > DEEP_DISCOUNT, F.col("n"))), F.lit(0)).alias("count_above_50pct"),
     )
@@ -105,9 +105,9 @@ def brand_profile(cleaned: DataFrame) -> DataFrame:
         .agg(
             _n().alias("n"),
             F.count("discount_pct").alias("n_discount"),
-            F.sum("discount_pct").alias("sum_discount"),
+            exact_sum(F.col("discount_pct")).alias("sum_discount"),
             F.count("current_price").alias("n_price"),
-            F.sum("current_price").alias("sum_price"),
+            exact_sum(F.col("current_price")).alias("sum_price"),
         )
     )
 
@@ -167,7 +167,7 @@ def bucket_avg_price(cleaned: DataFrame) -> DataFrame:
     """Mean price per platform and price range; absent pairs are absent."""
     means = (
         cleaned.groupBy("platform", bucket_ord(F.col("current_price")).alias("bucket_ord"))
-        .agg(rint2(F.avg("current_price")).alias("avg_price"))
+        .agg(rint2(exact_mean(F.col("current_price"))).alias("avg_price"))
         .where(F.col("bucket_ord").isNotNull())
     )
     return means.select("platform", "bucket_ord", bucket_label(F.col("bucket_ord")).alias("price_bucket"), "avg_price")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfprice.functions.numeric import rint2
+from shelfprice.functions.numeric import exact_mean, rint2
 from shelfprice.operators.charts import brand_bubble, bucket_share, discount_histogram, price_box_stats
 from shelfprice.operators.stats import top_brands_count
 from shelfprice.schema import DISPLAY_COLUMNS
@@ -86,8 +86,8 @@ def kpi_row(view: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return view.agg(
         n.alias("total_products"),
-        rint2(F.avg("current_price")).alias("avg_price"),
-        rint2(F.avg("discount_pct")).alias("avg_discount"),
+        rint2(exact_mean(F.col("current_price"))).alias("avg_price"),
+        rint2(exact_mean(F.col("discount_pct"))).alias("avg_discount"),
         rint2(F.try_divide(F.count("discount_pct"), n) * 100).alias("pct_discounted"),
     )
 
@@ -97,7 +97,7 @@ def avg_discount_by_platform(view: DataFrame) -> DataFrame:
     return (
         view.where(F.col("discount_pct").isNotNull())
         .groupBy("platform")
-        .agg(rint2(F.avg("discount_pct")).alias("avg_discount"))
+        .agg(rint2(exact_mean(F.col("discount_pct"))).alias("avg_discount"))
         .orderBy(F.desc("avg_discount"), "platform")
     )
 
