@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.functions.numeric import rint2
+from shelfprice.functions.text import iso_seconds
 from shelfprice.operators.clean import clean
 from shelfprice.operators.load import first_wins
 from shelfprice.plans.staging import new_path
@@ -51,7 +52,7 @@ def raw_listings(spark: SparkSession, sf_dir: str, missing_urls: bool = False) -
         F.when(F.col("l_quantity") <= 45, F.col("l_quantity").cast("int")).alias("review_count"),
         (F.when(~_every("l_orderkey", 101), url) if missing_urls else url).alias("product_url"),
         F.when(_every("l_orderkey", 53), F.lit("not a date"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"))
+        .otherwise(iso_seconds(F.col("l_shipdate")))
         .alias("scraped_at"),
         F.col("p_type").alias("category"),
         F.struct(*KEY_COLUMNS).alias(ORDER_KEY),

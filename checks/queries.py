@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from checks import sql
+from checks import pages, sql
 from checks.sql import CLEANED, KEY, LISTING_COLUMNS, LISTINGS, UP_TO, bucket, first_wins, label, mean, over, r2, r6, raw
 from shelfprice.functions.numeric import rint2
 from shelfprice.functions.parse import (
@@ -19,9 +19,13 @@ from shelfprice.functions.parse import (
     parse_price,
     parse_rating,
 )
-from shelfprice.operators import charts, clean, deals, load, stats, views
+from shelfprice.operators import charts, clean, deals, extract, load, report, stats, views
 from shelfprice.operators.views import ListingFilter
+from shelfprice.plans.staging import new_path, stage
 from shelfprice.schema import ORDER_KEY, RAW_COLUMNS
+from shelfprice.sources.csv import read_raw_csv, write_raw_csv
+from shelfprice.sources.reports import read_report, write_report
+from shelfprice.streaming.incremental import load_drops, read_loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -766,3 +770,78 @@ register(
     _on_view(lambda df: views.search_counts(df, _TERM)),
     over(_VIEW, f"SELECT count(*) FILTER ({_MATCH}) AS shown, count(*) AS total FROM chosen"),
 )
+
+# --- pages, files, streams -------------------------------------------------------------------
+
+register(
+    "extract_cards",
+    lambda spark, sf: _listing_columns(extract.extract_listings(pages.captured_pages(spark, sf))),
+    pages.EXPECTED,
+)
+register(
+    "extraction_summary",
+    lambda spark, sf: extract.extraction_summary(extract.card_texts(pages.captured_pages(spark, sf))),
+    pages.EXPECTED_SUMMARY,
+)
+
+
+def raw_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops with different header orders, one with an extra column, written and read back."""
+    folder = new_path(spark, "drops")
+    listings = fx.text_listings(spark, sf)
+    even = F.col(f"{ORDER_KEY}.l_orderkey") % 2 == 0
+    write_raw_csv(listings.where(even), folder, "run-0")
+    write_raw_csv(listings.where(~even).withColumn("extra", F.lit('a "b", c')), folder, "run-1", ["extra", *RAW_COLUMNS[::-1]])
+    return load.coerce_types(read_raw_csv(spark, folder)).select(*RAW_COLUMNS)
+
+
+_CENTS = "CAST(CAST({0} AS DECIMAL(12,2)) AS DOUBLE) AS {0}"
+register(
+    "raw_csv_roundtrip",
+    raw_csv_roundtrip,
+    over(
+        raw(True),
+        f"""SELECT platform, product_name, brand, {_CENTS.format('current_price')}, {_CENTS.format('original_price')},
+  {_CENTS.format('discount_pct')}, {_CENTS.format('rating')}, CAST(review_count AS BIGINT) AS review_count,
+  product_url, scraped_at, category FROM raw""",
+    ),
+)
+
+RUNS = 4
+
+
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixture in four drops, the stream run once after each."""
+    folder, table = new_path(spark, "landing"), new_path(spark, "loaded")
+    listings = stage(fx.text_listings(spark, sf), "text_listings")
+    for run in range(RUNS):
+        part = listings.where(F.col(f"{ORDER_KEY}.l_orderkey") % RUNS == run).orderBy(ORDER_KEY)
+        write_raw_csv(part, folder, f"run-{run}")
+        load_drops(spark, folder, table, f"{table}-checkpoint", f"{table}-quarantine").awaitTermination()
+    return read_loaded(spark, table).select(*RAW_COLUMNS)
+
+
+_DECIMAL = "CAST({0} AS DECIMAL({1})) AS {0}"
+register(
+    "incremental_load",
+    incremental_load,
+    over(
+        raw(True),
+        f"""SELECT platform, product_name, brand, {_DECIMAL.format('current_price', '10,2')},
+  {_DECIMAL.format('original_price', '10,2')}, {_DECIMAL.format('discount_pct', '5,2')}, {_DECIMAL.format('rating', '3,2')},
+  review_count, product_url, CAST(scraped_at AS TIMESTAMP) AS scraped_at, category
+FROM (SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY l_orderkey%{RUNS}, {KEY}) AS rn FROM raw
+  WHERE scraped_at<>'not a date') q WHERE rn=1 OR product_url IS NULL""",
+    ),
+)
+
+register("report_json", on_cleaned(report.report_json))
+
+
+def saved_report_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "report")
+    write_report(fx.cleaned_listings(spark, sf), path)
+    return report.kpi_of_report(read_report(spark, path))
+
+
+register("saved_report_kpi", saved_report_kpi, ORACLES["platform_kpi_long"])

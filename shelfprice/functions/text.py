@@ -33,6 +33,11 @@ def first_word_title(name: Column) -> Column:
     return F.nullif(title_case(first), F.lit(""))
 
 
+def iso_seconds(timestamp: Column) -> Column:
+    """Zone-free timestamp as ISO text, cut to the second. A cast, so no session zone takes part."""
+    return F.replace(F.substring(timestamp.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+
+
 def normalise_platform(platform: Column) -> Column:
     return strip(F.lower(platform))
 

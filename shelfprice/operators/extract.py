@@ -23,6 +23,7 @@ from shelfprice.functions.parse import (
     parse_rating,
     site_root,
 )
+from shelfprice.functions.text import iso_seconds
 from shelfprice.schema import ORDER_KEY
 from shelfprice.sources.layouts import FIELDS, LAYOUTS
 
@@ -119,7 +120,7 @@ def listings_of_cards(cards: DataFrame, layouts: dict = LAYOUTS, category: str =
         parse_rating(F.col("rating")).alias("rating"),
         parse_count(F.col("reviews")).alias("review_count"),
         absolutise_url(F.col("link"), site_root(F.col("url")), keep_unrooted).alias("product_url"),
-        F.date_format(F.date_trunc("second", "captured_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("scraped_at"),
+        iso_seconds(F.col("captured_at")).alias("scraped_at"),
         F.lit(category).alias("category"),
         F.struct("page_id", "card_no").alias(ORDER_KEY),
     )

@@ -48,14 +48,18 @@ def dataset_header(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def overview_columns() -> dict[str, Column]:
+    """The rounded means and share of a profile row."""
+    return {
+        "avg_current_price": rint2(F.try_divide("sum_price", "n_price")),
+        "avg_discount_pct": rint2(F.try_divide("sum_discount", "n_discount")),
+        "pct_products_with_discount": rint2(F.try_divide("n_discount", "n") * 100),
+    }
+
+
 def overview_of_profile(profile: DataFrame) -> DataFrame:
-    return profile.select(
-        "platform",
-        F.col("n").alias("total_products"),
-        rint2(F.try_divide("sum_price", "n_price")).alias("avg_current_price"),
-        rint2(F.try_divide("sum_discount", "n_discount")).alias("avg_discount_pct"),
-        rint2(F.try_divide("n_discount", "n") * 100).alias("pct_products_with_discount"),
-    )
+    rounded = [c.alias(name) for name, c in overview_columns().items()]
+    return profile.select("platform", F.col("n").alias("total_products"), *rounded)
 
 
 def platform_overview(cleaned: DataFrame) -> DataFrame:
@@ -199,22 +203,16 @@ def price_extremes(cleaned: DataFrame) -> DataFrame:
 
 def insights_of_profile(profile: DataFrame) -> DataFrame:
     """``insight_no, subject, value, share`` from the per-platform rows."""
-    overview = profile.withColumns(
-        {
-            "mean_price": rint2(F.try_divide("sum_price", "n_price")),
-            "mean_discount": rint2(F.try_divide("sum_discount", "n_discount")),
-            "pct_discounted": rint2(F.try_divide("n_discount", "n") * 100),
-        }
-    )
+    overview = profile.withColumns(overview_columns())
 
     def leader(measure: str) -> Column:
         return F.min(F.when(F.col(measure).isNotNull(), F.struct((-F.col(measure)).alias("by"), F.col("platform"))))
 
     ranges = range(len(PRICE_LABELS))
     one = overview.agg(
-        leader("mean_discount").alias("discounter"),
-        leader("pct_discounted").alias("promoter"),
-        leader("mean_price").alias("premium"),
+        leader("avg_discount_pct").alias("discounter"),
+        leader("pct_products_with_discount").alias("promoter"),
+        leader("avg_current_price").alias("premium"),
         F.sum("n").alias("n"),
         F.sum("n_deep").alias("n_deep"),
         *[F.sum(f"n_bucket_{i}").alias(f"n_bucket_{i}") for i in ranges],

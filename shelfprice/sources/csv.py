@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 from shelfprice.schema import ORDER_KEY, RAW_COLUMNS, RAW_SCHEMA
 
 # Drops are *.csv files, directly in the folder or in one directory per run.
-_FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
-_OPTIONS = {**_FILES, "multiLine": True, "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+CSV_FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
+_OPTIONS = {**CSV_FILES, "multiLine": True, "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+# Cells are written as they are: by default Spark would trim their outer blanks.
+WRITE_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "emptyValue": "",
+    "nullValue": "",
+    "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -20,7 +30,7 @@ def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     Each task keeps one line per file before anything is shuffled.
     """
-    lines = spark.read.options(**_FILES).text(paths).select(
+    lines = spark.read.options(**CSV_FILES).text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"),
@@ -75,5 +85,5 @@ def write_raw_csv(listings: DataFrame, folder: str, run: str | None = None, colu
     """
     path = f"{folder.rstrip('/')}/{run or 'run-' + uuid.uuid4().hex}"
     out = listings.select(*(columns or RAW_COLUMNS))
-    out.write.options(header=True, escape='"', emptyValue="", nullValue="", encoding="UTF-8").csv(path)
+    out.write.options(**WRITE_OPTIONS).csv(path)
     return path

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.schema import CLEANED_TYPES, ORDER_KEY, RAW_COLUMNS
+from shelfprice.sources.csv import WRITE_OPTIONS
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -48,4 +49,4 @@ def write_cleaned(cleaned: DataFrame, path: str) -> None:
 def write_export(view: DataFrame, path: str) -> None:
     """CSV of a browsing view."""
     columns = [c for c in view.columns if c != ORDER_KEY]
-    view.select(*columns).write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
+    view.select(*columns).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
