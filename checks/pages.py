@@ -122,7 +122,8 @@ def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url",
         "html",
     )
-    return rendered_pages(spark, sf_dir).unionByName(cardless)
+    # Reading pages is CPU work: spread the small test pages over all cores.
+    return rendered_pages(spark, sf_dir).unionByName(cardless).repartition(spark.sparkContext.defaultParallelism)
 
 
 _ITEM = "l_partkey||'-'||l_suppkey"

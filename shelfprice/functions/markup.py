@@ -7,6 +7,7 @@ descendant and next-sibling relations, and groups of those.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -36,10 +37,11 @@ _SIMPLE = re.compile(
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "before", "children")
+    __slots__ = ("tag", "attrs", "classes", "parent", "before", "children")
 
     def __init__(self, tag, attrs, parent, before):
         self.tag, self.attrs, self.parent, self.before = tag, attrs, parent, before
+        self.classes = attrs["class"].split() if "class" in attrs else ()
         self.children = []
 
     def elements(self):
@@ -117,23 +119,25 @@ def _chains(group: str) -> list:
             if part == "+":
                 relation = "+"
             elif part:
-                steps.append((relation, [m.groupdict() for m in _SIMPLE.finditer(part)]))
+                steps.append((relation, [m.group("tag", "cls", "attr", "op", "val", "first") for m in _SIMPLE.finditer(part)]))
                 relation = " "
         chains.append(steps[::-1])
     return chains
 
 
 def _fits_one(element: Element, tests: list) -> bool:
-    for t in tests:
-        if t["tag"] and element.tag != t["tag"].lower():
-            return False
-        if t["cls"] and t["cls"] not in element.attrs.get("class", "").split():
-            return False
-        if t["attr"]:
-            value = element.attrs.get(t["attr"])
-            if value is None or (t["op"] == "=" and value != t["val"]) or (t["op"] == "*=" and t["val"] not in value):
+    for tag, cls, attr, op, wanted, first in tests:
+        if tag:
+            if element.tag != tag:
+                return False
+        elif cls:
+            if cls not in element.classes:
+                return False
+        elif attr:
+            value = element.attrs.get(attr)
+            if value is None or (op == "=" and value != wanted) or (op == "*=" and wanted not in value):
                 return False
-        if t["first"] and element.before is not None:
+        elif first and element.before is not None:
             return False
     return True
 
@@ -154,24 +158,16 @@ def _fits(element: Element, chain: list) -> bool:
     return False
 
 
-def matches(root: Element, group: str):
-    """Elements below ``root`` that fit the group, in document order."""
+def _matches(elements: Iterable[Element], group: str) -> Iterator[Element]:
     chains = _chains(group)
-    return (e for e in root.elements() if any(_fits(e, chain) for chain in chains))
+    return (e for e in elements if any(_fits(e, chain) for chain in chains))
 
 
-def first_match(root: Element, tiers: list[str]) -> Element | None:
-    for group in tiers:
-        found = next(matches(root, group), None)
-        if found is not None:
-            return found
-    return None
+def first_match(elements: list[Element], tiers: list[str]) -> Element | None:
+    """First element that fits the first tier with a match; ``elements`` in document order."""
+    return next((e for group in tiers for e in _matches(elements, group)), None)
 
 
-def all_matches(root: Element, tiers: list[str]) -> list[Element]:
-    """Matches of the first tier that has any."""
-    for group in tiers:
-        found = list(matches(root, group))
-        if found:
-            return found
-    return []
+def all_matches(elements: list[Element], tiers: list[str]) -> list[Element]:
+    """Every element that fits the first tier with a match."""
+    return next((found for group in tiers if (found := list(_matches(elements, group)))), [])

@@ -33,14 +33,14 @@ _ROWS_PER_BATCH = 512
 
 
 def _card_texts(card, rules: dict) -> dict:
-    texts = {}
+    texts, inside = {}, list(card.elements())
     for field in FIELDS:
         tiers = rules.get(field)
         if field == "link":
-            element = card if tiers is None else first_match(card, tiers)
+            element = card if tiers is None else first_match(inside, tiers)
             texts[field] = element.attrs.get("href", "") if element is not None else None
         else:
-            element = first_match(card, tiers) if tiers else None
+            element = first_match(inside, tiers) if tiers else None
             texts[field] = element.text() if element is not None else None
     return texts
 
@@ -48,7 +48,7 @@ def _card_texts(card, rules: dict) -> dict:
 def _page_cards(html: str, rules: dict) -> list[dict]:
     """One entry per card; a card or page that cannot be read gives an entry with ``error``."""
     try:
-        cards = all_matches(read_page(html or ""), rules["cards"])
+        cards = all_matches(list(read_page(html or "").elements()), rules["cards"])
     except Exception as error:
         return [{"error": f"page: {error}"}]
     found = []

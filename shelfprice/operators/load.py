@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfprice.functions.numeric import empty_to_null, to_double, to_whole
 from shelfprice.plans.topk import first_per_group
@@ -43,23 +46,38 @@ def _as_base_type(name: str) -> Column:
     return F.col(name).try_cast(BASE_TYPES[name])
 
 
-def contract_violations(df: DataFrame) -> Column:
-    """ARRAY<STRING> of what keeps a coerced row out of the base table; empty when it may load."""
-    checks = []
+def _unfit(df: DataFrame, name: str) -> Column:
+    """Does a present value have no base-table counterpart? Numbers are compared, not cast."""
+    column, target = F.col(name), T.StructType.fromDDL(f"c {BASE_TYPES[name]}")["c"].dataType
+    given = df.schema[name].dataType
+    if isinstance(given, (T.DoubleType, T.DecimalType)) and isinstance(target, T.DecimalType):
+        # Rounding half up to the scale reaches one digit too many from here on.
+        return F.abs(column) >= float(10 ** (target.precision - target.scale)) - 0.5 * 10.0**-target.scale
+    if isinstance(given, T.IntegralType) and isinstance(target, T.IntegerType):
+        return (column > 2**31 - 1) | (column < -(2**31))
+    return column.isNotNull() & column.try_cast(target).isNull()
+
+
+def contract_checks(df: DataFrame) -> dict[str, Column]:
+    """Reason to condition for everything that keeps a coerced row out of the base table."""
+    checks = {}
     for name, type_ in BASE_TYPES.items():
-        column = F.col(name)
         if name in NOT_NULL_COLUMNS:
-            checks.append(F.when(column.isNull(), F.lit(f"{name} missing")))
+            checks[f"{name} missing"] = F.col(name).isNull()
         if name in MAX_LENGTHS:
-            checks.append(F.when(F.length(column) > MAX_LENGTHS[name], F.lit(f"{name} too long")))
+            checks[f"{name} too long"] = F.length(name) > MAX_LENGTHS[name]
         if type_ != "string":
-            checks.append(F.when(column.isNotNull() & _as_base_type(name).isNull(), F.lit(f"{name} not {type_}")))
-    return F.array_compact(F.array(*checks))
+            checks[f"{name} not {type_}"] = _unfit(df, name)
+    return {reason: F.coalesce(holds, F.lit(False)) for reason, holds in checks.items()}
+
+
+def _broken(df: DataFrame) -> Column:
+    return reduce(lambda a, b: a | b, contract_checks(df).values())
 
 
-def check_contract(df: DataFrame) -> DataFrame:
-    """Coerced rows plus ``violations``; filter on its size to split valid rows from quarantine."""
-    return project_listing(df).withColumn("violations", contract_violations(df))
+def violations(df: DataFrame) -> Column:
+    """ARRAY<STRING> of the broken rules of a row."""
+    return F.array_compact(F.array(*[F.when(holds, F.lit(reason)) for reason, holds in contract_checks(df).items()]))
 
 
 def apply_contract(df: DataFrame, mode: str = "quarantine") -> DataFrame:
@@ -68,25 +86,27 @@ def apply_contract(df: DataFrame, mode: str = "quarantine") -> DataFrame:
     ``quarantine`` leaves bad rows out (see :func:`quarantined`); ``fail`` makes the first bad row
     fail the job, so that nothing of the load is committed.
     """
-    checked = check_contract(df)
-    ok = F.size("violations") == 0
+    df = project_listing(df)
+    ok = ~_broken(df)
     if mode == "fail":
-        message = F.concat(F.lit("listing rejected: "), F.array_join("violations", ", "))
+        message = F.concat(F.lit("listing rejected: "), F.array_join(violations(df), ", "))
         ok = F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     elif mode != "quarantine":
         raise ValueError(f"unknown contract mode {mode!r}")
-    keep = [ORDER_KEY] if ORDER_KEY in checked.columns else []
-    return checked.where(ok).select(*[_as_base_type(c).alias(c) for c in RAW_COLUMNS], *keep)
+    keep = [ORDER_KEY] if ORDER_KEY in df.columns else []
+    return df.where(ok).select(*[F.col(c).try_cast(BASE_TYPES[c]).alias(c) for c in RAW_COLUMNS], *keep)
 
 
 def quarantined(df: DataFrame) -> DataFrame:
-    return check_contract(df).where(F.size("violations") > 0)
+    """Rows that break the contract, with the broken rules in ``violations``."""
+    df = project_listing(df)
+    return df.where(_broken(df)).withColumn("violations", violations(df))
 
 
 def _url_keys() -> list[Column]:
     # A NULL URL never conflicts. Giving such a row its own order key as a second key part keeps
     # all of them and spreads them evenly.
-    return [F.col("product_url"), F.when(F.col("product_url").isNull(), F.col(ORDER_KEY))]
+    return [F.col("product_url"), F.when(F.col("product_url").isNull(), F.to_json(F.struct(ORDER_KEY)))]
 
 
 def first_wins(batch: DataFrame) -> DataFrame:
