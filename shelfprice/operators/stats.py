@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.buckets import PRICE_LABELS, bucket_label, bucket_ord
 from shelfprice.functions.numeric import exact_mean, exact_sum, rint2, rint6
+from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.topk import top
 from shelfprice.schema import ORDER_KEY
 
@@ -180,15 +181,17 @@ def bucket_avg_price(cleaned: DataFrame) -> DataFrame:
 def price_extremes(cleaned: DataFrame) -> DataFrame:
     """Per platform the cheapest and the dearest listing; ties go to the first by order key.
 
-    The dearest is the smallest by negated price, so that both sides prefer the smaller order key.
+    A first pass over two columns finds the extreme prices by hash aggregation. Only listings at
+    those prices enter the second aggregation, which sorts because it compares whole rows.
     """
-    listing = [F.col(ORDER_KEY).alias("key"), F.col("product_name"), F.col("brand"), F.col("current_price")]
-    cheapest = F.min(F.struct(F.col("current_price").alias("by"), *listing))
-    dearest = F.min(F.struct((-F.col("current_price")).alias("by"), *listing))
-    picked = (
-        cleaned.where(F.col("current_price").isNotNull())
-        .groupBy("platform")
-        .agg(cheapest.alias("cheapest"), dearest.alias("dearest"))
+    price = F.col("current_price")
+    priced = cleaned.where(price.isNotNull() & F.col("platform").isNotNull())
+    bounds = priced.groupBy("platform").agg(F.min(price).alias("_low"), F.max(price).alias("_high"))
+    at_bounds = attach_groups(priced, bounds, ["platform"], "inner").where(price.isin(F.col("_low"), F.col("_high")))
+    listing = F.struct(F.col(ORDER_KEY).alias("key"), F.col("product_name"), F.col("brand"), price)
+    picked = at_bounds.groupBy("platform").agg(
+        F.min(F.when(price == F.col("_low"), listing)).alias("cheapest"),
+        F.min(F.when(price == F.col("_high"), listing)).alias("dearest"),
     )
     return picked.select(
         "platform",

@@ -9,6 +9,8 @@ of 1000 and a bin at most 1e5 distinct values: every sort below works on a bound
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +20,17 @@ BIN_WIDTH = 1000.0
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """``keys, value, n``: how often each non-null value occurs in each group."""
+    """``keys, value, bin, n``: how often each value occurs in each group; NULL keys form no group.
+
+    The counts feed two branches of the quantile plan that join on the keys and the bin. Stating here
+    that those are not NULL keeps the branches alike, so that Spark runs the scan and the shuffle
+    below them once and reuses the exchange.
+    """
+    bin_ = F.floor(F.col(value) / BIN_WIDTH)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col(value).isNotNull())
     return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("value"))
+        df.where(present & bin_.isNotNull())
+        .groupBy(*keys, F.col(value).alias("value"), bin_.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -40,7 +49,6 @@ def quantiles_of_counts(
     counts: DataFrame, keys: list[str], probs: dict[str, float], method: str = "linear"
 ) -> DataFrame:
     """One row per group: ``keys`` plus one column per entry of ``probs`` (name to probability)."""
-    binned = counts.withColumn("bin", F.floor(F.col("value") / BIN_WIDTH))
     along = Window.partitionBy(*keys).orderBy("bin")
     whole = Window.partitionBy(*keys)
 
@@ -59,7 +67,7 @@ def quantiles_of_counts(
         return lambda r: (r["rank"] >= first) & (r["rank"] < first + n)
 
     wanted = (
-        binned.groupBy(*keys, "bin")
+        counts.groupBy(*keys, "bin")
         .agg(F.sum("n").alias("bin_n"))
         .withColumn("before", F.sum("bin_n").over(along) - F.col("bin_n"))
         .withColumn("total", F.sum("bin_n").over(whole))
@@ -70,7 +78,7 @@ def quantiles_of_counts(
     in_bin = Window.partitionBy(*keys, "bin").orderBy("value")
     first = F.col("before") + F.sum("n").over(in_bin) - F.col("n")
     hits = (
-        binned.join(wanted, [*keys, "bin"])
+        counts.join(wanted, [*keys, "bin"])
         .withColumn("first", first)
         .select(*keys, "value", F.explode(F.filter("ranks", inside(F.col("first"), F.col("n")))).alias("r"))
         .select(*keys, "value", "r.*")
