@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
