@@ -15,6 +15,7 @@ from collections import Counter
 
 import duckdb
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from checks.queries import ORACLES, QUERIES
 
@@ -54,6 +55,12 @@ def _plain(value):
     return value
 
 
+def _sql_type(type_: T.DataType) -> str:
+    names = {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
+    name = type_.simpleString()
+    return names.get(name, name.upper())
+
+
 def difference(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
     """None when equal, else what differs."""
     df = QUERIES[name](spark, sf_dir)
@@ -63,6 +70,11 @@ def difference(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
     names = [d[0] for d in result.description]
     if sorted(names) != columns:
         return f"columns {columns} vs {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    unlike = {c: (_sql_type(df.schema[c].dataType), types[c]) for c in columns}
+    unlike = {c: pair for c, pair in unlike.items() if pair[0] != pair[1]}
+    if unlike:
+        return f"types {unlike}"
     order = [names.index(c) for c in columns]
     theirs = Counter(tuple(_plain(r[i]) for i in order) for r in result.fetchall())
     if mine == theirs:

@@ -191,20 +191,24 @@ register(
 )
 
 
-def _stored_half(raw_: DataFrame) -> DataFrame:
-    return load.first_wins(raw_.where(F.col(f"{ORDER_KEY}.l_orderkey") % 2 == 0))
+_LOADED_BEFORE = "1998-01-01"
+
+
+def _stored(raw_: DataFrame) -> DataFrame:
+    """What an earlier load of the captures up to a date has stored."""
+    return load.first_wins(raw_.where(F.col("scraped_at") < _LOADED_BEFORE))
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     batch = fx.raw_listings(spark, sf, missing_urls=True)
-    return _listing_columns(load.insert_if_absent(batch, _stored_half(batch)))
+    return _listing_columns(load.insert_if_absent(batch, _stored(batch)))
 
 
 _INSERT = ",".join(
     [
         raw(True),
-        "even AS (SELECT * FROM raw WHERE l_orderkey%2=0)",
-        first_wins("even", "stored"),
+        f"earlier AS (SELECT * FROM raw WHERE scraped_at<'{_LOADED_BEFORE}')",
+        first_wins("earlier", "stored"),
         "candidates AS (SELECT * FROM raw WHERE product_url IS NULL OR product_url NOT IN "
         "(SELECT product_url FROM stored WHERE product_url IS NOT NULL))",
         first_wins("candidates", "inserted"),
@@ -221,7 +225,7 @@ register(
 
 def load_summary(spark: SparkSession, sf: str) -> DataFrame:
     batch = fx.raw_listings(spark, sf, missing_urls=True)
-    stored = _stored_half(batch)
+    stored = _stored(batch)
     return load.load_summary(batch, load.insert_if_absent(batch, stored), stored)
 
 
@@ -789,9 +793,10 @@ def raw_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Two drops with different header orders, one with an extra column, written and read back."""
     folder = new_path(spark, "drops")
     listings = fx.text_listings(spark, sf)
-    even = F.col(f"{ORDER_KEY}.l_orderkey") % 2 == 0
-    write_raw_csv(listings.where(even), folder, "run-0")
-    write_raw_csv(listings.where(~even).withColumn("extra", F.lit('a "b", c')), folder, "run-1", ["extra", *RAW_COLUMNS[::-1]])
+    early = F.col("scraped_at") < _LOADED_BEFORE
+    write_raw_csv(listings.where(early), folder, "run-0")
+    late = listings.where(~early).withColumn("extra", F.lit('a "b", c'))
+    write_raw_csv(late, folder, "run-1", ["extra", *RAW_COLUMNS[::-1]])
     return load.coerce_types(read_raw_csv(spark, folder)).select(*RAW_COLUMNS)
 
 
@@ -808,14 +813,16 @@ register(
 )
 
 RUNS = 4
+_RUN_SQL = "CASE WHEN scraped_at='not a date' THEN 0 ELSE (CAST(substr(scraped_at, 6, 2) AS INTEGER)-1)//3 END"
 
 
 def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """The fixture in four drops, the stream run once after each."""
+    """The fixture in four drops, one per quarter of the capture time; the stream runs after each."""
     folder, table = new_path(spark, "landing"), new_path(spark, "loaded")
     listings = stage(fx.text_listings(spark, sf), "text_listings")
+    run_no = F.coalesce(F.quarter(F.try_to_date("scraped_at")) - 1, F.lit(0))
     for run in range(RUNS):
-        part = listings.where(F.col(f"{ORDER_KEY}.l_orderkey") % RUNS == run).orderBy(ORDER_KEY)
+        part = listings.where(run_no == run).orderBy(ORDER_KEY)
         write_raw_csv(part, folder, f"run-{run}")
         load_drops(spark, folder, table, f"{table}-checkpoint", f"{table}-quarantine").awaitTermination()
     return read_loaded(spark, table).select(*RAW_COLUMNS)
@@ -830,7 +837,7 @@ register(
         f"""SELECT platform, product_name, brand, {_DECIMAL.format('current_price', '10,2')},
   {_DECIMAL.format('original_price', '10,2')}, {_DECIMAL.format('discount_pct', '5,2')}, {_DECIMAL.format('rating', '3,2')},
   review_count, product_url, CAST(scraped_at AS TIMESTAMP) AS scraped_at, category
-FROM (SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY l_orderkey%{RUNS}, {KEY}) AS rn FROM raw
+FROM (SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY {_RUN_SQL}, {KEY}) AS rn FROM raw
   WHERE scraped_at<>'not a date') q WHERE rn=1 OR product_url IS NULL""",
     ),
 )

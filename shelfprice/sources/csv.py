@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv as text_csv
-import uuid
+import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +78,20 @@ def _ordered(df: DataFrame, from_files: bool = True) -> DataFrame:
     return df.select(*df.columns, key.alias(ORDER_KEY))
 
 
-def write_raw_csv(listings: DataFrame, folder: str, run: str | None = None, columns: list[str] | None = None) -> str:
-    """Write a drop below ``folder`` in the fixed column order, NULL as empty; returns its path.
+def run_name(site: str, captured_at: datetime.datetime | None = None, category: str = "fashion") -> str:
+    """Name of a capture run; names of one site sort by time, and loads read drops in name order."""
+    return f"{site}_{category}_{captured_at or datetime.datetime.now():%Y%m%d_%H%M%S}"
 
-    Every run writes a directory of its own, so drops never overwrite each other.
+
+def write_raw_csv(listings: DataFrame, folder: str, run: str, columns: list[str] | None = None) -> str:
+    """Write a drop ``folder/run`` in the fixed column order, NULL as empty; returns its path.
+
+    Every run is a directory of its own, so drops never overwrite each other. An empty batch writes
+    nothing and returns "".
     """
-    path = f"{folder.rstrip('/')}/{run or 'run-' + uuid.uuid4().hex}"
+    if listings.isEmpty():
+        return ""
+    path = f"{folder.rstrip('/')}/{run}"
     out = listings.select(*(columns or RAW_COLUMNS))
     out.write.options(**WRITE_OPTIONS).csv(path)
     return path

@@ -33,9 +33,11 @@ def append_listings(listings: DataFrame, path: str) -> None:
     stamped.write.mode("append").partitionBy("platform").parquet(path)
 
 
-def write_cleaned(cleaned: DataFrame, path: str) -> None:
+def write_cleaned(cleaned: DataFrame, path: str, rebalance: bool = False) -> None:
     """Replace the cleaned table, partitioned by platform.
 
+    By default every task writes its own file per platform and nothing is shuffled. ``rebalance``
+    shuffles once into evenly sized files instead, splitting a platform that holds much of the rows.
     Refuses to overwrite files the plan still reads: stage the cleaned rows first in that case.
     """
     target = path.rstrip("/").split(":", 1)[-1].lstrip("/")
@@ -43,6 +45,8 @@ def write_cleaned(cleaned: DataFrame, path: str) -> None:
         raise ValueError(f"{path} is an input of the rows to be written")
     keep = [ORDER_KEY] if ORDER_KEY in cleaned.columns else []
     typed = cleaned.select(*[F.col(c).cast(CLEANED_TYPES[c]).alias(c) for c in RAW_COLUMNS], *keep)
+    if rebalance:
+        typed = typed.hint("rebalance", "platform")
     typed.write.mode("overwrite").partitionBy("platform").parquet(path)
 
 

@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -58,7 +59,10 @@ def test_csv_round_trip_of_awkward_text(spark, tmp_path, listings):
         {"platform": "Q", "product_name": "\\", "brand": None},
     )
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns if c != "order_key"])
-    path = csv.write_raw_csv(text, str(tmp_path))
+    name = csv.run_name("site", datetime.datetime(2024, 1, 2, 3, 4, 5))
+    assert name == "site_fashion_20240102_030405"
+    path = csv.write_raw_csv(text, str(tmp_path), name)
+    assert csv.write_raw_csv(text.limit(0), str(tmp_path), "empty") == "" and not (tmp_path / "empty").exists()
     back = csv.read_raw_csv(spark, path).drop("order_key")
     assert values(back) == values(text)
 
@@ -68,7 +72,7 @@ def test_cleaned_table_is_replaced_and_protected(spark, tmp_path, listings):
     df = listings({"platform": "a", "product_name": "n", "scraped_at": None}, {"platform": "b", "product_name": "m"})
     df = df.withColumn("scraped_at", F.col("scraped_at").try_cast("timestamp_ntz"))
     tables.write_cleaned(df, path)
-    tables.write_cleaned(df.where("platform = 'a'"), path)
+    tables.write_cleaned(df.where("platform = 'a'"), path, rebalance=True)
     back = tables.read_listings(spark, path)
     assert back.count() == 1 and dict(back.dtypes)["current_price"] == "double"
     with pytest.raises(ValueError, match="input"):
