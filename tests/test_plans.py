@@ -55,26 +55,28 @@ def no_auto_broadcast(spark):
     spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("limit", [10_000, 0])
 def test_attach_groups_same_rows_on_both_strategies(spark, limit, no_auto_broadcast):
-    rows = [("hot", i) for i in range(2000)] + [(f"g{i % 20}", i) for i in range(300)] + [("lost", -1), (None, -2)]
+    rows = [("hot", i) for i in range(9000)] + [(f"g{i}", i) for i in range(3000)] + [(None, -i) for i in range(99)]
+    rows += [("lost", i) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, v int")
     groups = df.where("k <> 'lost'").groupBy("k").agg(F.max("v").alias("m"))
     left = attach_groups(df, groups, ["k"], max_broadcast_rows=limit)
     assert left.count() == len(rows)
-    best = {k: max(v for g, v in rows if g == k) for k, _ in rows if k and k != "lost"}
+    best = {"hot": 8999, **{f"g{i}": i for i in range(3000)}}
     assert all(r["m"] == best.get(r["k"]) for r in left.collect())
-    assert attach_groups(df, groups, ["k"], "inner", limit).count() == len(rows) - 2
+    assert attach_groups(df, groups, ["k"], "inner", limit).count() == 12000
+    assert left.columns == ["k", "v", "m"]
     plan = left._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (limit > 0)
-    assert ("_salt" in plan) == (limit == 0)
+    assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan) == (limit == 0)
 
 
-def test_salts_split_a_hot_group(spark, no_auto_broadcast):
-    df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    joined = attach_groups(df, df.groupBy("k").agg(F.count("v").alias("n")), ["k"], max_broadcast_rows=0, salts=8)
+@pytest.mark.parametrize("key", ["hot", None])
+def test_hot_and_missing_keys_are_split(spark, no_auto_broadcast, key):
+    df = spark.range(4000).select(F.lit(key).cast("string").alias("k"), F.col("id").alias("v"))
+    joined = attach_groups(df, df.groupBy("k").agg(F.count("v").alias("n")), ["k"], max_broadcast_rows=0)
     sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
-    assert sum(sizes) == 4000 and max(sizes) < 3000
+    assert sum(sizes) == 4000 and max(sizes) < 1000
 
 
 def test_first_per_group_prunes_before_the_shuffle(spark):
