@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from html.parser import HTMLParser
 
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -108,8 +107,7 @@ def read_page(html: str) -> Element:
     return builder.root
 
 
-@lru_cache(maxsize=1024)
-def _chains(group: str) -> list:
+def selector_chains(group: str) -> list:
     """Group of selectors as chains of (relation, simple tests), the target first."""
     chains = []
     for selector in group.split(","):
@@ -158,16 +156,18 @@ def _fits(element: Element, chain: list) -> bool:
     return False
 
 
-def _matches(elements: Iterable[Element], group: str) -> Iterator[Element]:
-    chains = _chains(group)
+def _matches(elements: Iterable[Element], chains: list) -> Iterator[Element]:
     return (e for e in elements if any(_fits(e, chain) for chain in chains))
 
 
-def first_match(elements: list[Element], tiers: list[str]) -> Element | None:
-    """First element that fits the first tier with a match; ``elements`` in document order."""
-    return next((e for group in tiers for e in _matches(elements, group)), None)
+def first_match(elements: list[Element], tiers: list) -> Element | None:
+    """First element that fits the first tier with a match; ``elements`` in document order.
 
+    Tiers are given as their :func:`selector_chains`.
+    """
+    return next((e for chains in tiers for e in _matches(elements, chains)), None)
 
-def all_matches(elements: list[Element], tiers: list[str]) -> list[Element]:
+
+def all_matches(elements: list[Element], tiers: list) -> list[Element]:
     """Every element that fits the first tier with a match."""
-    return next((found for group in tiers if (found := list(_matches(elements, group)))), [])
+    return next((found for chains in tiers if (found := list(_matches(elements, chains)))), [])

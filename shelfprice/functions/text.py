@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators that also count as blank.
+# Unicode white space plus the four ASCII separators that also count as blank, for patterns and, one
+# by one, for trimming without a pattern.
 _BLANK = r"\s\x1c-\x1f"
-_EDGE_BLANKS = rf"(?U)^[{_BLANK}]+|[{_BLANK}]+$"
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _WORD_SEPARATORS = rf"(?U)[{_BLANK}\-/|]+"
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
 _CASE_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
@@ -15,7 +16,7 @@ _CASE_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
 
 def strip(text: Column) -> Column:
     """Drop blanks on both ends (all Unicode blanks; SQL trim drops only U+0020)."""
-    return F.regexp_replace(text, _EDGE_BLANKS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def title_case(text: Column) -> Column:

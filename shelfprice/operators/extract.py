@@ -6,14 +6,17 @@ text into numbers and URLs is native. Pages are independent rows, so nothing is
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfprice.functions.markup import all_matches, first_match, read_page
+from shelfprice.functions import markup
+from shelfprice.functions.markup import all_matches, first_match, read_page, selector_chains
 from shelfprice.functions.parse import (
     absolutise_url,
     assign_prices,
@@ -60,6 +63,17 @@ def _page_cards(html: str, rules: dict) -> list[dict]:
     return found or [{}]
 
 
+def _compiled(layouts: dict) -> dict:
+    """Layouts with every selector group taken apart once, on the driver."""
+    return {
+        name: {
+            field: [selector_chains(group) for group in tiers] if isinstance(tiers, list) else tiers
+            for field, tiers in rules.items()
+        }
+        for name, rules in layouts.items()
+    }
+
+
 def _card_reader(layouts: dict, arrow_schema: pa.Schema) -> Callable:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,8 +108,12 @@ def _card_schema() -> tuple[T.StructType, pa.Schema]:
 
 def card_texts(pages: DataFrame, layouts: dict = LAYOUTS) -> DataFrame:
     """One row per card with its raw texts, plus one row without ``card_no`` per page without cards."""
+    # The reader travels with the job, so workers need no installed copy of this package.
+    for module in (markup, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(module)
     schema, arrow_schema = _card_schema()
-    return pages.select(*PAGE_COLUMNS, "html").mapInArrow(_card_reader(layouts, arrow_schema), schema)
+    reader = _card_reader(_compiled(layouts), arrow_schema)
+    return pages.select(*PAGE_COLUMNS, "html").mapInArrow(reader, schema)
 
 
 def _rule(layouts: dict, holds: Callable[[dict], bool]) -> Column:

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from shelfprice.functions.markup import all_matches, first_match, read_page
+from shelfprice.functions.markup import all_matches, first_match, read_page, selector_chains
 from shelfprice.operators import extract
 from shelfprice.schema import PAGE_SCHEMA
 
@@ -13,8 +13,12 @@ def elements(html):
     return list(read_page(html).elements())
 
 
+def tiers(*groups):
+    return [selector_chains(group) for group in groups]
+
+
 def texts(html, group):
-    return [e.text() for e in all_matches(elements(html), [group])]
+    return [e.text() for e in all_matches(elements(html), tiers(group))]
 
 
 @pytest.mark.parametrize(
@@ -45,9 +49,9 @@ def test_selectors(html, group, found):
 
 def test_first_tier_with_a_match_wins():
     nodes = elements("<b>1</b><i>2</i><i>3</i>")
-    assert [e.text() for e in all_matches(nodes, ["u", "i", "b"])] == ["2", "3"]
-    assert first_match(nodes, ["u", "i", "b"]).text() == "2"
-    assert first_match(nodes, ["u"]) is None
+    assert [e.text() for e in all_matches(nodes, tiers("u", "i", "b"))] == ["2", "3"]
+    assert first_match(nodes, tiers("u", "i", "b")).text() == "2"
+    assert first_match(nodes, tiers("u")) is None
 
 
 def pages(spark, *rows):
@@ -98,7 +102,7 @@ def test_a_broken_card_is_isolated(monkeypatch):
         return {"name": "n"}
 
     monkeypatch.setattr(extract, "_card_texts", fails_on_second)
-    found = extract._page_cards("<b>1</b><b>2</b><b>3</b>", {"cards": ["b"]})
+    found = extract._page_cards("<b>1</b><b>2</b><b>3</b>", {"cards": tiers("b")})
     assert [c.get("error") for c in found] == [None, "card: odd card", None]
 
 
