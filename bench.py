@@ -2,8 +2,8 @@
 
 ``BENCH_SF_DIR`` names the input tables, ``BENCH_CPUS`` the local cores. Each query runs once in one
 session and writes its whole result to the no-op sink. ``load_base`` and ``clean_table`` build the
-chain's two written tables (fixture -> first-wins -> base table -> cleaned table); the queries on
-cleaned listings then read the cleaned table, as every reader after the cleaning job does.
+chain's two written tables (fixture -> first-wins -> base table -> cleaned table), ``page_table`` the
+captured pages; the queries behind them then read these tables, as every reader after those jobs does.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ HEADLINE = [
 
 
 def main() -> None:
-    from checks import fixture
+    from checks import fixture, pages
     from checks.compare import session
     from checks.queries import QUERIES
 
@@ -66,6 +66,7 @@ def main() -> None:
     jobs = {
         "load_base": lambda: fixture.base_listings(spark, SF_DIR),
         "clean_table": lambda: fixture.cleaned_listings(spark, SF_DIR),
+        "page_table": lambda: pages.captured_pages(spark, SF_DIR),
         **{name: (lambda name=name: QUERIES[name](spark, SF_DIR)) for name in HEADLINE},
     }
     only = sys.argv[1:]

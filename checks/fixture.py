@@ -81,7 +81,7 @@ _written: dict[tuple[str, str, str], str] = {}
 _lock = threading.RLock()
 
 
-def _written_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str]) -> DataFrame:
+def written_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by: list[str]) -> DataFrame:
     """A table of the load -> clean -> analyse chain, written once per application and read back."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     with _lock:
@@ -94,12 +94,12 @@ def _written_once(spark: SparkSession, sf_dir: str, name: str, build, partition_
 
 def base_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base table: the fixture after first-wins."""
-    return _written_once(spark, sf_dir, "listings", lambda: first_wins(raw_listings(spark, sf_dir)), [])
+    return written_once(spark, sf_dir, "listings", lambda: first_wins(raw_listings(spark, sf_dir)), [])
 
 
 def cleaned_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned table, partitioned by platform."""
-    df = _written_once(
+    df = written_once(
         spark, sf_dir, "listings_cleaned", lambda: clean(base_listings(spark, sf_dir)), ["platform"]
     )
     return df.select(*RAW_COLUMNS, ORDER_KEY)

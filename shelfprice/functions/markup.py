@@ -157,7 +157,11 @@ def _fits(element: Element, chain: list) -> bool:
 
 
 def _matches(elements: Iterable[Element], chains: list) -> Iterator[Element]:
-    return (e for e in elements if any(_fits(e, chain) for chain in chains))
+    for element in elements:
+        for chain in chains:
+            if _fits(element, chain):
+                yield element
+                break
 
 
 def first_match(elements: list[Element], tiers: list) -> Element | None:
@@ -165,7 +169,10 @@ def first_match(elements: list[Element], tiers: list) -> Element | None:
 
     Tiers are given as their :func:`selector_chains`.
     """
-    return next((e for chains in tiers for e in _matches(elements, chains)), None)
+    for chains in tiers:
+        for element in _matches(elements, chains):
+            return element
+    return None
 
 
 def all_matches(elements: list[Element], tiers: list) -> list[Element]:

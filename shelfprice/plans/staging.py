@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +40,23 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table that is deleted at the end of the block, for work that ends inside it."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged. Call when no staged table is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    _delete(spark, shared_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

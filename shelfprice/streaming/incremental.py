@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfprice.operators.load import apply_contract, coerce_types, insert_if_absent, quarantined, reduce_stored
-from shelfprice.plans.staging import stage
+from shelfprice.plans.staging import staged
 from shelfprice.schema import BASE_TYPES, ORDER_KEY
 from shelfprice.sources.csv import CSV_FILES, read_raw_csv
 
@@ -34,15 +34,16 @@ def read_loaded(spark: SparkSession, table: str) -> DataFrame:
 
 
 def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: str | None, load_id: str) -> None:
-    raw = coerce_types(read_raw_csv(spark, paths))
-    batch = stage(apply_contract(raw, "quarantine" if quarantine else "fail"), "batch")
-    # Everything but this load: when a failed batch is retried, its own half-written rows don't count.
-    stored = read_loaded(spark, table).where(F.col("load_id") != load_id).select("product_url")
-    fresh = insert_if_absent(batch, reduce_stored(stored, batch))
-    fresh = fresh.withColumn("created_at", F.localtimestamp())
-    fresh.write.mode("overwrite").parquet(f"{table}/load_id={load_id}")
-    if quarantine:
-        quarantined(raw).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
+    # The text files are parsed once; counting, checking and inserting read the staged rows.
+    with staged(coerce_types(read_raw_csv(spark, paths)), "drops") as raw:
+        batch = apply_contract(raw, "quarantine" if quarantine else "fail")
+        # Everything but this load: when a failed batch is retried, its own rows don't count.
+        stored = read_loaded(spark, table).where(F.col("load_id") != load_id).select("product_url")
+        fresh = insert_if_absent(batch, reduce_stored(stored, batch))
+        fresh = fresh.withColumn("created_at", F.localtimestamp())
+        fresh.write.mode("overwrite").parquet(f"{table}/load_id={load_id}")
+        if quarantine:
+            quarantined(raw).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
 
 
 def load_drops(

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -96,3 +97,11 @@ def test_stage_writes_below_the_shared_folder(spark):
     staged = staging.stage(spark.range(10).toDF("x"), "numbers")
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
     assert values(staged) == [(i,) for i in range(10)]
+
+
+def test_staged_block_cleans_up(spark):
+    with staging.staged(spark.range(3).toDF("x"), "numbers") as df:
+        assert df.count() == 3
+        folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
