@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfprice.functions.numeric import empty_to_null, to_double, to_whole
+from shelfprice.plans.joins import BROADCAST_ROWS, is_small
 from shelfprice.plans.topk import first_per_group
 from shelfprice.schema import (
     BASE_TYPES,
@@ -125,14 +126,14 @@ def insert_if_absent(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return first_per_group(both, _url_keys(), F.col("_new"), F.col(ORDER_KEY)).where("_new = 1").drop("_new")
 
 
-def reduce_stored(stored: DataFrame, batch: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
+def reduce_stored(stored: DataFrame, batch: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Shrink ``stored`` to the URLs of a small batch, so that a large table is not shuffled.
 
-    ``batch`` must be cheap to count (staged). A batch above the bound leaves ``stored`` as it is;
+    ``batch`` must be cheap to measure (staged). A batch above the bounds leaves ``stored`` as it is;
     the insert is exact either way.
     """
     urls = batch.where(F.col("product_url").isNotNull()).select("product_url")
-    if urls.count() > max_broadcast_rows:
+    if not is_small(urls, max_broadcast_rows):
         return stored
     return stored.join(F.broadcast(urls.distinct()), "product_url", "left_semi")
 

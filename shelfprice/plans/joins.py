@@ -6,12 +6,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfprice.plans.staging import stage
 
-# Rows of a per-group table (a key of at most a few hundred bytes plus a few numbers) that may be
-# broadcast: some tens of MB at most.
+# A table may be broadcast up to this many rows and bytes of text in them.
 BROADCAST_ROWS = 100_000
+BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
 
 # A group is hot when it holds at least this part of all rows, so at most 1000 groups can be.
 HOT_PART = 1000
@@ -20,6 +21,14 @@ HOT_PART = 1000
 SPREAD = 65_536
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_text_bytes: int = BROADCAST_TEXT_BYTES) -> bool:
+    """Measure, in one pass over a table that is cheap to read, whether it may be broadcast."""
+    texts = [F.octet_length(F.coalesce(f.name, F.lit(""))) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    text_bytes = F.coalesce(F.sum(reduce(lambda a, b: a + b, texts, F.lit(0))), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), text_bytes).first()
+    return rows <= max_rows and size <= max_text_bytes
+
+
 def attach_groups(
     rows: DataFrame,
     groups: DataFrame,
@@ -29,11 +38,11 @@ def attach_groups(
 ) -> DataFrame:
     """Join one-row-per-group values back to the rows of their groups (``how`` left or inner).
 
-    ``groups`` is staged and counted first. Up to ``max_broadcast_rows`` it is broadcast, so the
-    rows are not shuffled at all; beyond that the rows are shuffled with hot groups split.
+    ``groups`` is staged and measured first. A small one is broadcast, so the rows are not shuffled
+    at all; otherwise the rows are shuffled with hot groups split.
     """
     groups = stage(groups, "groups")
-    if groups.count() <= max_broadcast_rows:
+    if is_small(groups, max_broadcast_rows):
         return rows.join(F.broadcast(groups), on, how)
     return _shuffled(rows, groups, on, how)
 

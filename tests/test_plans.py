@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfprice.plans import staging
-from shelfprice.plans.joins import attach_groups
+from shelfprice.plans.joins import attach_groups, is_small
 from shelfprice.plans.quantiles import exact_quantiles
 from shelfprice.plans.topk import first_per_group, top
 from tests.conftest import values
@@ -72,6 +72,12 @@ def test_attach_groups_same_rows_on_both_strategies(spark, limit, no_auto_broadc
     assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan) == (limit == 0)
 
 
+def test_small_means_few_rows_and_few_bytes(spark):
+    df = spark.createDataFrame([("é" * 10, 1), (None, 2)], "k string, v int")
+    assert is_small(df, 2, 20) and not is_small(df, 1, 20) and not is_small(df, 2, 19)
+    assert is_small(df.limit(0), 0, 0) and is_small(df.select("v"), 2, 0)
+
+
 @pytest.mark.parametrize("key", ["hot", None])
 def test_hot_and_missing_keys_are_split(spark, no_auto_broadcast, key):
     df = spark.range(4000).select(F.lit(key).cast("string").alias("k"), F.col("id").alias("v"))
