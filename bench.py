@@ -80,11 +80,8 @@ def main() -> None:
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     total = round(sum(seconds.values()), 3)
-    print(
-        json.dumps(
-            {"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": float(sf), "cpus": int(CPUS)}
-        )
-    )
+    result = {"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": seconds}
+    print(json.dumps({**result, "sf": float(sf), "cpus": int(CPUS)}))
 
 
 if __name__ == "__main__":

@@ -762,7 +762,11 @@ register(
 )
 register(
     "search_regex",
-    _on_view(lambda df: views.search_listings(df, r"^(old|new) |#1\d$", regex=True).select("product_url", "product_name", "brand")),
+    _on_view(
+        lambda df: views.search_listings(df, r"^(old|new) |#1\d$", regex=True).select(
+            "product_url", "product_name", "brand"
+        )
+    ),
     over(
         _VIEW,
         """SELECT product_url, product_name, brand FROM chosen

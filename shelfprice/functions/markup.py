@@ -97,7 +97,15 @@ class _Builder(HTMLParser):
             self.open = node.parent
 
     def handle_data(self, data):
-        self.open.children.append(data)
+        # A lone "<" splits the data of one text; a comment ends it.
+        pieces = self.open.children
+        if pieces and isinstance(pieces[-1], str):
+            pieces[-1] += data
+        else:
+            pieces.append(data)
+
+    def handle_comment(self, data):
+        self.open.children.append("")
 
 
 def read_page(html: str) -> Element:
@@ -117,7 +125,8 @@ def selector_chains(group: str) -> list:
             if part == "+":
                 relation = "+"
             elif part:
-                steps.append((relation, [m.group("tag", "cls", "attr", "op", "val", "first") for m in _SIMPLE.finditer(part)]))
+                tests = [m.group("tag", "cls", "attr", "op", "val", "first") for m in _SIMPLE.finditer(part)]
+                steps.append((relation, tests))
                 relation = " "
         chains.append(steps[::-1])
     return chains

@@ -125,7 +125,9 @@ def bucket_share(listings: DataFrame) -> DataFrame:
     )
     rows = [
         F.struct(
-            F.lit(i).alias("bucket_ord"), F.lit(PRICE_LABELS[i]).alias("price_bucket"), F.col(f"n_{i}").alias("product_count")
+            F.lit(i).alias("bucket_ord"),
+            F.lit(PRICE_LABELS[i]).alias("price_bucket"),
+            F.col(f"n_{i}").alias("product_count"),
         )
         for i in ranges
     ]

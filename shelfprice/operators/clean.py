@@ -16,7 +16,7 @@ from shelfprice.functions.numeric import finite_or_null, rint2
 from shelfprice.functions.text import first_word_title, is_junk_name, normalise_platform
 from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.quantiles import exact_quantiles
-from shelfprice.schema import ORDER_KEY, RAW_COLUMNS
+from shelfprice.schema import RAW_COLUMNS
 
 PRICE_CAP_PROB = 0.99
 _CAP = "_price_cap"
@@ -135,8 +135,7 @@ def clean(listings: DataFrame, steps: list[Step] = STEPS) -> DataFrame:
     df = as_doubles(listings)
     for step in steps:
         df = run_step(df, step)
-    keep = [c for c in [*RAW_COLUMNS, ORDER_KEY] if c in df.columns]
-    return df.select(*keep)
+    return df.select(*RAW_COLUMNS, *[c for c in df.columns if c not in RAW_COLUMNS])
 
 
 def _counter(step: Step) -> str:

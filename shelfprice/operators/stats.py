@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfprice.functions.buckets import PRICE_LABELS, bucket_label, bucket_ord
 from shelfprice.functions.numeric import exact_mean, exact_sum, rint2, rint6
+from shelfprice.functions.text import title_case
 from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.topk import top
 from shelfprice.schema import ORDER_KEY
@@ -259,10 +260,11 @@ def key_insights(cleaned: DataFrame) -> DataFrame:
 
 def insight_text(insights: DataFrame) -> DataFrame:
     """``insight_no, text``: one English sentence per finding."""
-    number, subject = F.col("insight_no"), F.initcap("subject")
+    number, subject = F.col("insight_no"), title_case(F.col("subject"))
     pct = F.format_string("%.1f%%", "value")
     share = F.format_string("%.1f%%", "share")
     count = F.format_string("%.0f", "value")
+    mean_price = F.format_string("%.2f", "value")
     text = (
         F.when(number == 1, F.concat(subject, F.lit(" discounts deepest: "), pct, F.lit(" off on average.")))
         .when(number == 2, F.concat(subject, F.lit(" discounts most often: "), pct, F.lit(" of its listings.")))
@@ -271,6 +273,6 @@ def insight_text(insights: DataFrame) -> DataFrame:
             number == 4,
             F.concat(F.lit("Most listings cost "), F.col("subject"), F.lit(": "), count, F.lit(" ("), share, F.lit(").")),
         )
-        .otherwise(F.concat(subject, F.lit(" is the dearest platform: "), F.format_string("%.2f", "value"), F.lit(" on average.")))
+        .otherwise(F.concat(subject, F.lit(" is the dearest platform: "), mean_price, F.lit(" on average.")))
     )
     return insights.select("insight_no", text.alias("text"))

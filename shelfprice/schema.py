@@ -22,7 +22,7 @@ RAW_COLUMNS = [
 FLOAT_COLUMNS = ["current_price", "original_price", "discount_pct", "rating"]
 INT_COLUMNS = ["review_count"]
 
-# Total, first-seen-first order of the listings. Any orderable type works (a BIGINT serial, or a
+# Total, first-seen-first order of the listings, unique per row. Any orderable type works (a BIGINT serial, or a
 # struct such as (file path, row in file)); ties in every operator are broken by it.
 ORDER_KEY = "order_key"
 

@@ -43,8 +43,8 @@ def write_cleaned(cleaned: DataFrame, path: str, rebalance: bool = False) -> Non
     target = path.rstrip("/").split(":", 1)[-1].lstrip("/")
     if any(f"/{target}/" in file for file in cleaned.inputFiles()):
         raise ValueError(f"{path} is an input of the rows to be written")
-    keep = [ORDER_KEY] if ORDER_KEY in cleaned.columns else []
-    typed = cleaned.select(*[F.col(c).cast(CLEANED_TYPES[c]).alias(c) for c in RAW_COLUMNS], *keep)
+    rest = [c for c in cleaned.columns if c not in RAW_COLUMNS]
+    typed = cleaned.select(*[F.col(c).cast(CLEANED_TYPES[c]).alias(c) for c in RAW_COLUMNS], *rest)
     if rebalance:
         typed = typed.hint("rebalance", "platform")
     typed.write.mode("overwrite").partitionBy("platform").parquet(path)

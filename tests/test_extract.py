@@ -38,6 +38,7 @@ def texts(html, group):
         ("<p>1<div>2</div>", "p", ["1"]),
         ("<div><br>1<img src=x>2</div></b>", "div", ["12"]),
         ("<div> a <b> b</b> c<script>x</script><!-- y --></div>", "div", ["abc"]),
+        ("<div>1 < 2 <!-- y --> 3 &amp; 4</div>", "div", ["1 < 23 & 4"]),
         ("<div>&lt;a&gt; &amp;&nbsp;</div>", "div", ["<a> &"]),
         ("<div><p>open", "div p", ["open"]),
         ("", "p", []),
@@ -64,9 +65,11 @@ def test_sale_and_regular_prices(spark):
         return f"<a data-test-id='productLink' href='/p'><b data-test-id='productTitle'>N</b>{inner}</a>"
 
     regular, sale = "<i data-test-id='originalPrice'>RM{}</i>", "<i data-test-id='specialPrice'>{}</i>"
-    html = card(regular.format(50) + sale.format("RM30 - RM40")) + card(regular.format(50)) + card(sale.format("soon")) + card("")
+    inners = [regular.format(50) + sale.format("RM30 - RM40"), regular.format(50), sale.format("soon"), ""]
+    html = "".join(map(card, inners))
     rows = extract.extract_listings(pages(spark, ("Z", html))).orderBy("order_key").collect()
-    assert [(r["current_price"], r["original_price"]) for r in rows] == [(30.0, 50.0), (50.0, None), (None, None), (None, None)]
+    prices = [(r["current_price"], r["original_price"]) for r in rows]
+    assert prices == [(30.0, 50.0), (50.0, None), (None, None), (None, None)]
     assert {r["scraped_at"] for r in rows} == {"2024-03-10T02:30:15"}
     assert {(r["platform"], r["category"], r["product_url"]) for r in rows} == {("PZ", "fashion", "https://h.example/p")}
 

@@ -1,9 +1,10 @@
 from shelfprice.operators import load
+from shelfprice.schema import RAW_COLUMNS
 from shelfprice.sources import csv
 from shelfprice.streaming import incremental
 from tests.conftest import values
 
-HEADER = "platform,product_name,brand,current_price,original_price,discount_pct,rating,review_count,product_url,scraped_at,category\n"
+HEADER = ",".join(RAW_COLUMNS) + "\n"
 
 
 def drop(folder, name, *rows, header=HEADER):
@@ -36,11 +37,9 @@ def test_stream_equals_one_batch_load(spark, tmp_path):
     drop(landing, "a.csv", row("a1", "u1"), row("a2", "u1"), row("a3", ""), row("bad", "u9", platform=""))
     assert names(run(spark, tmp_path)) == ["a1", "a3"]
     drop(landing, "b.csv", row("b1", "u1"), row("b2", "u2"), row("b3", ""))
-    drop(landing, "c.csv", "u2,c1,P", "u3,c2,P", header="product_url,product_name,platform\n".replace("\n", ",rating\n"))
-    (landing / "c.csv").write_text(
-        ",".join(["product_url", *HEADER.strip().replace(",product_url", "").split(",")])
-        + "\nu2,P,c1,,1,,,,,2024-01-05T10:00:00,c\nu3,P,c2,,1,,,,,2024-01-05T10:00:00,c\n"
-    )
+    url_first = ",".join(["product_url", *[c for c in RAW_COLUMNS if c != "product_url"]]) + "\n"
+    rest = ",1,,,,,2024-01-05T10:00:00,c"
+    drop(landing, "c.csv", f"u2,P,c1,{rest}", f"u3,P,c2,{rest}", header=url_first)
     loaded = run(spark, tmp_path)
     assert names(loaded) == ["a1", "a3", "b2", "b3", "c2"]
     assert names(run(spark, tmp_path)) == names(loaded)
