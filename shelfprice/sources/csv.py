@@ -13,6 +13,9 @@ from shelfprice.schema import ORDER_KEY, RAW_COLUMNS, RAW_SCHEMA
 # Drops are *.csv files, directly in the folder or in one directory per run.
 CSV_FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 _OPTIONS = {**CSV_FILES, "multiLine": True, "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
+# A file up to this size fits into a task as one text.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+
 # Cells are written as they are: by default Spark would trim their outer blanks.
 WRITE_OPTIONS = {
     "header": True,
@@ -25,19 +28,21 @@ WRITE_OPTIONS = {
 }
 
 
-def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``path, header``: first line of every file, found by the tasks that read the files.
+def first_lines(spark: SparkSession, paths: str | list[str], whole_up_to: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``path, header``: first line of every non-empty file, found by the tasks that read the files.
 
-    Each task keeps one line per file before anything is shuffled.
+    Files up to a size are read as one text each and cut at the first line end. Larger ones are read
+    by line in parallel, where each task keeps one line per file before anything is shuffled. The
+    condition on the size prunes the list of files, so no file is read twice.
     """
-    lines = spark.read.options(**CSV_FILES).text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_no"),
-        "value",
-    )
-    at_start = lines.where(F.col("block") == 0)
-    return at_start.groupBy("path").agg(F.min_by("value", "line_no").alias("header"))
+    path, size = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size")
+    reader = spark.read.options(**CSV_FILES)
+    small = reader.text(paths, wholetext=True).where((size <= whole_up_to) & (F.col("value") != ""))
+    cut = F.substring_index(F.substring_index("value", "\n", 1), "\r", 1)
+    lines = reader.text(paths).where((size > whole_up_to) & (F.col("_metadata.file_block_start") == 0))
+    numbered = lines.select(path, F.monotonically_increasing_id().alias("line_no"), "value")
+    large = numbered.groupBy("path").agg(F.min_by("value", "line_no").alias("header"))
+    return small.select(path, cut.alias("header")).unionByName(large)
 
 
 def read_raw_csv(spark: SparkSession, paths: str | list[str], uniform_header: list[str] | None = None) -> DataFrame:

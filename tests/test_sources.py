@@ -37,6 +37,16 @@ def test_cells_bind_by_header_name(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("limit", [csv.WHOLE_FILE_BYTES, 0, 8])
+def test_first_lines_of_small_and_large_files(spark, tmp_path, limit):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name, data in {"a": b"x,y\r\n1,2\r\n", "b": b"y,x\n", "c": b"", "d": b"x", "e": b"x,z\n" * 999}.items():
+        (folder / f"{name}.csv").write_bytes(data)
+    found = {r["path"][-5]: r["header"] for r in csv.first_lines(spark, str(folder), limit).collect()}
+    assert found == {"a": "x,y", "b": "y,x", "d": "x", "e": "x,z"}
+
+
 def test_uniform_header_reads_once_and_rejects_other_headers(spark, tmp_path):
     folder = tmp_path / "raw"
     write(folder, "a.csv", "platform,brand\nP,B\n")
