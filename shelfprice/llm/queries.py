@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, mixing, quality, simhash_dedup
+from shelfprice.llm import chat, decontam, line_dedup, mixing, quality, simhash_dedup, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,6 +100,64 @@ register(
     """,
 )
 
+# --- op4: surrogates ---------------------------------------------------------------------------
+
+# A key for tests; whoever publishes rewritten texts sets a secret one.
+TEST_KEY = b"key of the registered query"
+
+
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rewritten, spans = surrogates.with_surrogates(table(spark, sf_dir, "documents").select("doc_id", "text"), TEST_KEY)
+    kinds = F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["kind"])))
+    return rewritten.select(
+        "doc_id", "text", F.size(spans).cast("long").alias("n_entities"), F.array_join(kinds, ",").alias("kinds")
+    )
+
+
+register("op4_pii_surrogates", pii_surrogates)
+
+# --- op6: repeated lines -----------------------------------------------------------------------
+
+
+def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return kept.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(spans, ",").alias("removed"))
+
+
+_LOWERED = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+register(
+    "op6_line_repeats",
+    line_repeats,
+    rf"""
+    WITH lines AS (
+      SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS unit FROM documents),
+    placed AS (
+      SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
+        trim(regexp_replace({_LOWERED}, '[ 	-]+', ' ', 'g'), ' ') AS normal
+      FROM lines),
+    ranked AS (
+      SELECT *, length(normal) - length(replace(normal, ' ', '')) >= {line_dedup.MIN_WORDS - 1}
+          AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit) > 1 AS repeated
+      FROM placed)
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (WHERE NOT repeated), '') AS text,
+      count_if(repeated)::BIGINT AS n_removed,
+      coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY unit) FILTER (WHERE repeated), '') AS removed
+    FROM ranked GROUP BY doc_id
+    """,
+)
+
+# --- op7: benchmark passages -------------------------------------------------------------------
+
+
+def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+register("op7_benchmark_passages", benchmark_passages)
+
 # --- op8: SimHash near-duplicates --------------------------------------------------------------
 
 
