@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfprice.llm import mixing, quality, simhash_dedup
+from shelfprice.llm import decontam, mixing, quality, simhash_dedup, surrogates
 from shelfprice.plans.staging import stage
 
+# A key for tests; whoever publishes rewritten texts sets a secret one.
+KEY = b"key of the registered pipeline"
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the certified quality rules keep."""
@@ -23,6 +26,16 @@ def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_dedup.keep_first(docs)
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for the personal data in their texts."""
+    return surrogates.rewrite(docs, KEY)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often each remaining document is taken."""
     return mixing.mix(docs)
@@ -31,6 +44,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", good),
     ("SimHash near-dedup", unlike),
+    ("benchmark decontamination", clean),
+    ("personal data", private),
     ("mixing sources", mixed),
 ]
 
