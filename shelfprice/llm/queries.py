@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, line_dedup, mixing, quality, simhash_dedup, surrogates
+from shelfprice.llm import chat, decontam, html_text, line_dedup, mixing, quality, simhash_dedup, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,7 +136,8 @@ register(
         generate_subscripts(string_split(text, chr(10)), 1) AS unit FROM documents),
     placed AS (
       SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
-        trim(regexp_replace({_LOWERED}, '[ 	-]+', ' ', 'g'), ' ') AS normal
+        trim(regexp_replace({_LOWERED}, '[ 	-
+]+', ' ', 'g'), ' ') AS normal
       FROM lines),
     ranked AS (
       SELECT *, length(normal) - length(replace(normal, ' ', '')) >= {line_dedup.MIN_WORDS - 1}
@@ -168,6 +169,10 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("op8_simhash_groups", simhash_groups)
 
+# --- op9: main text of pages -------------------------------------------------------------------
+
+register("op9_main_text", lambda spark, sf_dir: html_text.extract_main_text(table(spark, sf_dir, "pages")))
+
 # --- op10: mixing sources ----------------------------------------------------------------------
 
 
