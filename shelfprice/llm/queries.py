@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, html_text, line_dedup, mixing, quality, simhash_dedup, surrogates
+from shelfprice.llm import chat, decontam, html_text, line_dedup, mixing, quality, simhash_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _id_remainder(modulus: int) -> Column:
+    """crc32 of the id as text, by which documents are held out."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+# --- op1: toxicity -----------------------------------------------------------------------------
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _id_remainder(3) == 1
+    scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+register("op1_toxicity", toxicity_scores)
+
 # --- op2: quality rules ------------------------------------------------------------------------
 
 
