@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, html_text, line_dedup, mixing, quality, simhash_dedup, surrogates, toxicity
+from shelfprice.llm import chat, decontam, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +116,17 @@ register(
     """,
 )
 
+# --- op3: language model scores ----------------------------------------------------------------
+
+
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _id_remainder(7) == 2
+    scores = lm_score.lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), *[c for c in scores.columns if c != "doc_id"])
+
+
+register("op3_lm_scores", lm_scores)
+
 # --- op4: surrogates ---------------------------------------------------------------------------
 
 # A key for tests; whoever publishes rewritten texts sets a secret one.
