@@ -171,10 +171,12 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, rules: Rules = RULES
         for side, who in (("good", good), ("bad", bad))
     ]
     per_stratum = labelled.groupBy("stratum").agg(F.count_if(good).alias("n_good"), *sums)
+    # Counted before the walks are laid out: it is the number of strata that corrects the level.
+    per_stratum = per_stratum.withColumn("n_strata", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
     tests = per_stratum.select(
         "stratum",
         "n_good",
-        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("n_strata"),
+        "n_strata",
         F.explode(
             F.array(
                 *[

@@ -48,7 +48,58 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
-register("op2_quality_rules", quality_rules)
+def _quality_sql(rules: quality.Rules) -> str:
+    steps = ", ".join(f"('{rule}', {i}, {cutoff})" for rule, walk in rules.walks.items() for i, cutoff in enumerate(walk))
+    p = rules.limit
+    word = r"[^\x20\x09-\x0D]"
+    return rf"""
+    WITH cut AS (
+      SELECT doc_id, lang, coalesce(text, '') AS text,
+        [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w,
+        [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '{word}')] AS l FROM documents),
+    starts AS (
+      SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM (
+          SELECT doc_id, i, array_to_string(w[i:i + {quality.WINDOW - 1}], ' ') AS run
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - {quality.WINDOW - 2})) AS i FROM cut))) WHERE n > 1),
+    repeats AS (
+      SELECT doc_id, sum(least({quality.WINDOW}, coalesce(next - i, {quality.WINDOW})))::BIGINT AS n FROM starts GROUP BY doc_id),
+    counts AS (
+      SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g'))) AS n_capitals,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
+        len([i FOR i IN range(1, len(w)) IF w[i] = w[i + 1]]) AS n_stutters, coalesce(n, 0)::BIGINT AS n_repeat_words
+      FROM cut LEFT JOIN repeats USING (doc_id)),
+    measured AS (
+      SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+        coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols, coalesce(n_capitals / nullif(word_chars, 0), 0) AS capitals,
+        coalesce(n_stutters / nullif(n_words, 0), 0) AS stutter, coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS same_lines
+      FROM counts),
+    long AS (UNPIVOT measured ON symbols, capitals, stutter, same_lines INTO NAME rule VALUE m),
+    known AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL),
+    tests AS (
+      SELECT lang, rule, step, cutoff, count_if(quality >= 1)::BIGINT AS n, count_if(quality >= 1 AND m > cutoff)::BIGINT AS k,
+        count_if(quality < 1 AND m > cutoff) AS hits
+      FROM long JOIN known USING (doc_id) JOIN (VALUES {steps}) s(rule, step, cutoff) USING (rule)
+      WHERE NOT base_failed GROUP BY lang, rule, step, cutoff),
+    passed AS (
+      SELECT *, CASE WHEN k < n * {p} THEN list_sum([exp(lgamma(n + 1) - lgamma(j + 1)
+          - lgamma(n - j + 1) + j * ln({p}) + (n - j) * ln(1 - {p})) FOR j IN range(0, k + 1)]) ELSE 1 END
+        <= {rules.risk} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM tests)) * {len(rules.walks)}) AS ok FROM tests),
+    certified AS (
+      SELECT *, max(hits) OVER (PARTITION BY lang, rule) AS best
+      FROM (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY step) AS sure FROM passed) WHERE sure),
+    cutoffs AS (SELECT lang, rule, max(cutoff) AS cutoff FROM certified WHERE hits = best AND hits > 0 GROUP BY lang, rule)
+    SELECT doc_id, any_value(n_words) AS n_words, any_value(word_chars) AS word_chars, any_value(n_symbols) AS n_symbols,
+      any_value(n_dup_lines) AS n_dup_lines, any_value(n_repeat_words) AS n_repeat_words, any_value(base_failed) AS base_failed,
+      NOT any_value(base_failed) AND NOT bool_or(coalesce(m > cutoff, false)) AS kept
+    FROM long LEFT JOIN cutoffs ON long.rule = cutoffs.rule AND long.lang IS NOT DISTINCT FROM cutoffs.lang
+    GROUP BY doc_id
+    """
+
+
+register("op2_quality_rules", quality_rules, _quality_sql(quality.RULES))
 
 # --- op5: chat formatting ----------------------------------------------------------------------
 
