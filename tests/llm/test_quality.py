@@ -1,0 +1,114 @@
+import re
+from collections import Counter
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfprice.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    runs = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(runs)
+    covered = {j for i, run in enumerate(runs) if often[run] > 1 for j in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def measured(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = quality.count(docs, F.col("text"), F.col("doc_id")).collect()
+    return {r.doc_id: tuple(r[c] for c in quality.COUNTS) for r in got}
+
+
+def test_counts_of_odd_texts(spark):
+    eight = "a b c d e f g h"
+    texts = [
+        None, "", " \n\t", "one", f"{eight} {eight}", f"{eight} x {eight}", "w " * 40, f"{eight}\n{eight}\n{eight}",
+        "x|y <b> #1 *** é ü", "\x0bA\x0cB\rC\x1cD", f"{eight} i {eight} i {eight}", "long " * 5000 + eight * 3,
+    ]
+    assert measured(spark, texts) == {i: brute_counts(t) for i, t in enumerate(texts)}
+
+
+def test_counts_of_the_test_table(spark, table):
+    docs = table("documents")
+    got = quality.count(docs, F.col("text"), F.col("doc_id")).collect()
+    want = {r.doc_id: brute_counts(r.text) for r in docs.collect()}
+    assert {r.doc_id: tuple(r[c] for c in quality.COUNTS) for r in got} == want
+
+
+@pytest.mark.parametrize("p", [0.025, 0.3])
+def test_binomial_tail_is_exact(spark, p):
+    cases = [(0, 1), (0, 250), (3, 400), (9, 1000), (0, 0), (5, 10), (60, 1500)]
+    df = spark.createDataFrame(cases, "k long, n long")
+    for r in df.select("k", "n", quality.binomial_tail(F.col("k"), F.col("n"), p).alias("tail")).collect():
+        exact = sum(comb(r.n, i) * p**i * (1 - p) ** (r.n - i) for i in range(r.k + 1)) if r.k < r.n * p else 1.0
+        assert r.tail == pytest.approx(exact, rel=1e-9)
+
+
+def test_cut_off_tail_never_understates(spark, monkeypatch):
+    df = spark.createDataFrame([(40, 2000)], "k long, n long")
+    exact = df.select(quality.binomial_tail(F.col("k"), F.col("n"), 0.025)).first()[0]
+    monkeypatch.setattr(quality, "TAIL_TERMS", 5)
+    bound = df.select(quality.binomial_tail(F.col("k"), F.col("n"), 0.025)).first()[0]
+    assert exact <= bound < 1.5 * exact
+
+
+def labelled(spark, n, stratum="en", symbols_in_good=0, first=0):
+    """n good documents, the first ``symbols_in_good`` with symbols, and 20 bad ones full of symbols."""
+    text = " ".join(f"w{i}" for i in range(30))
+    noisy = " ".join(f"w{i}###" for i in range(30))
+    data = [(first + i, noisy if i < symbols_in_good else text, stratum) for i in range(n)]
+    data += [(first + n + i, noisy, stratum) for i in range(20)]
+    labels = [(first + i, int(i < n)) for i in range(n + 20)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def cutoffs(docs, labels):
+    counts = quality.count(docs, F.col("text"), F.col("doc_id"), F.col("lang").alias("stratum"))
+    return {r.stratum: r.symbols for r in quality.certified_cutoffs(counts, labels).collect()}
+
+
+def test_cutoffs_need_enough_good_labels(spark):
+    # One stratum, four walks: 0.975 ** n <= 0.1 / 4 from n = 146.
+    assert cutoffs(*labelled(spark, 140)) == {}
+    assert cutoffs(*labelled(spark, 150)) == {"en": 2.0}
+
+
+def test_level_is_divided_by_the_strata(spark):
+    docs, labels = labelled(spark, 150)
+    more, more_labels = labelled(spark, 150, stratum=None, first=1000)
+    # Two strata: 0.975 ** n <= 0.1 / 8 from n = 174.
+    assert cutoffs(docs.union(more), labels.union(more_labels)) == {}
+
+
+def test_cutoffs_that_reject_good_documents_are_not_certified(spark):
+    assert cutoffs(*labelled(spark, 400, symbols_in_good=30)) == {}
+
+
+def test_kept_documents_keep_their_columns_and_clashing_names(spark):
+    docs, labels = labelled(spark, 200)
+    odd = spark.createDataFrame(
+        [(9001, None, None), (9002, "", "xx"), (9002, "", "xx"), (None, " ".join(f"v{i}" for i in range(25)), None)],
+        docs.schema,
+    )
+    docs = docs.union(odd).selectExpr("*", "1 AS n_words", "'a' AS kept", "0 AS stratum", "2 AS words")
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == list(range(200)) and ids.count(None) == 1
+    assert quality.keep_good(docs.limit(0), labels).count() == 0
+    assert quality.keep_good(docs, labels.limit(0)).count() == 221
+
+
+def test_repeated_labels_count_once_and_the_lowest_holds(spark):
+    docs, labels = labelled(spark, 150)
+    again = labels.union(labels).union(spark.createDataFrame([(0, None), (777, 1)], labels.schema))
+    assert cutoffs(docs, again) == {"en": 2.0}

@@ -1,0 +1,127 @@
+import random
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from shelfprice.llm import simhash_dedup
+from shelfprice.llm.components import connected_components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fingerprint(text, k=3):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    runs = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(marks, distance=3):
+    """Smallest id reachable, by comparing all pairs."""
+    ids = sorted(marks)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if (marks[a] ^ marks[b]).bit_count() <= distance:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def signed(x):
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+TEXTS = [
+    None, "", "  \n", "One", "one two", "one two three", "ONE two\tthree", "é É è x y z", "a " * 200_000,
+    "a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o q", " nbsp is no blank",
+]
+
+
+def test_fingerprints_of_odd_texts(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r.doc_id: r.fp for r in simhash_dedup.fingerprints(docs).collect()}
+    assert got == {i: signed(brute_fingerprint(t)) for i, t in enumerate(TEXTS)}
+
+
+def test_long_texts_are_summed_in_chunks(monkeypatch):
+    text = " ".join(f"w{i % 97}" for i in range(1000))
+    monkeypatch.setattr(simhash_dedup, "_CHUNK", 64)
+    assert simhash_dedup.fingerprint(text.encode()) == signed(brute_fingerprint(text))
+
+
+def test_groups_of_the_test_table(spark, table):
+    docs = table("documents")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(docs).collect()}
+    assert got == brute_groups({r.doc_id: brute_fingerprint(r.text) for r in docs.collect()})
+
+
+def clustered(seed, n, spread):
+    """Fingerprints around few centres, with few bits that vary, in both halves."""
+    draw = random.Random(seed)
+    centres = [draw.getrandbits(64) for _ in range(4)]
+    bits = draw.sample(range(64), spread)
+    return sorted({c ^ sum(1 << b for b in draw.sample(bits, draw.randrange(5))) for c in centres for _ in range(n)})
+
+
+@pytest.mark.parametrize("hot", [1, 3, 256])
+@pytest.mark.parametrize("distance", [2, 3])
+def test_links_are_complete_for_any_bucket_limit(spark, hot, distance):
+    marks = clustered(5, 60, 14)
+    df = spark.createDataFrame([(signed(m),) for m in marks], "fp long")
+    got = {frozenset((r.a, r.b)) for r in simhash_dedup.links(df, distance, hot).collect()}
+    want = {
+        frozenset((signed(a), signed(b)))
+        for i, a in enumerate(marks)
+        for b in marks[i + 1 :]
+        if (a ^ b).bit_count() <= distance
+    }
+    assert got == want
+
+
+def test_other_distances_are_refused(spark):
+    df = spark.createDataFrame([(1,)], "fp long")
+    with pytest.raises(ValueError, match="distances"):
+        simhash_dedup.links(df, 5)
+
+
+@pytest.mark.parametrize(
+    "edges",
+    [
+        [],
+        [(1, 1), (None, 2)],
+        [(i, i + 1) for i in range(40)],
+        [(i + 1, i) for i in range(0, 40, 2)] + [(0, i) for i in range(1, 40, 3)],
+        [(0, i) for i in range(1, 50)] + [(100, 101)] * 3,
+        [(-5, 7), (7, 9), (9, 8), (20, 21)],
+    ],
+)
+def test_components(spark, edges):
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    nodes = {x for e in edges if None not in e and e[0] != e[1] for x in e}
+    root = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in edges:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+
+
+def test_one_document_of_each_group_stays(spark):
+    base = " ".join(f"w{i}" for i in range(40))
+    data = [(5, base), (3, base), (9, base + " "), (9, base), (1, "something else here"), (None, None), (None, "zz yy xx"), (7, ""), (8, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 AS fp", "2 AS component_id", "'x' AS id", "0 AS kept_id")
+    kept = simhash_dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None) == [(1, "something else here"), (3, base), (7, "")]
+    assert simhash_dedup.keep_first(docs.limit(0)).count() == 0
+    assert simhash_dedup.near_duplicates(docs.limit(0)).count() == 0
+    assert simhash_dedup.near_duplicates(docs).where(F.col("component_id") == 3).count() == 4
