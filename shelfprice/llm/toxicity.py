@@ -428,16 +428,26 @@ def _scoring(model: object) -> Callable:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, eligible: Column, per_class: int = SAMPLE_PER_CLASS, max_bytes: int = SAMPLE_BYTES
 ) -> tuple[list[bytes], list[int]]:
-    """At most ``per_class`` labelled texts of each class, chosen by a hash of the id, and their labels."""
+    """At most ``per_class`` labelled texts of each class, chosen by a hash of the id, and their labels.
+
+    Of rows that share an id the least text is taken.
+    """
     known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic IS NOT NULL")
-    short = docs.where(eligible & (F.octet_length("text") <= max_bytes)).select("doc_id", "text")
-    joined = short.join(known, "doc_id").withColumn("place", F.xxhash64("doc_id"))
+    # Lengths meet labels, not texts; then the few ids that were picked are looked up.
+    lengths = docs.where(eligible).select("doc_id", F.octet_length("text").alias("bytes")).where(F.col("bytes") <= max_bytes)
+    joined = lengths.select("doc_id").join(known, "doc_id").distinct().withColumn("place", F.xxhash64("doc_id"))
     picked = []
     for y in (0, 1):
-        of_class = joined.where((F.col("toxic") >= 1) == F.lit(bool(y))).orderBy("place", "text").limit(per_class)
-        picked += [(r.place, r.text.encode(), y) for r in of_class.select("place", "text").collect()]
-    picked.sort()
-    return [t for _, t, _ in picked], [y for _, _, y in picked]
+        of_class = joined.where((F.col("toxic") >= 1) == F.lit(bool(y))).orderBy("place", "doc_id").limit(per_class)
+        picked += [(r.doc_id, r.place, y) for r in of_class.select("doc_id", "place").collect()]
+    if not picked:
+        return [], []
+    schema = f"wanted {docs.schema['doc_id'].dataType.simpleString()}, place bigint, toxic int"
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(picked, schema))  # at most two classes of per_class ids
+    rows = docs.where(F.octet_length("text") <= max_bytes).join(wanted, F.col("doc_id") == F.col("wanted"))
+    least = rows.groupBy("wanted", "place", wanted["toxic"]).agg(F.min("text").alias("text")).collect()
+    least.sort(key=lambda r: (r.place, r.wanted))
+    return [r.text.encode() for r in least], [r.toxic for r in least]
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, eligible: Column) -> DataFrame:
