@@ -140,6 +140,48 @@ def _items(benchmark: DataFrame, lane: int) -> DataFrame:
     return one.select("*", simhash(F.col("shingles"), lane).alias("item_fp"), _numbered(F.col("shingles")).alias("item_set"))
 
 
+def _shingle() -> Column:
+    return F.explode(F.array_distinct("shingles")).alias("shingle")
+
+
+def _places(docs: DataFrame, width: int) -> DataFrame:
+    """Every shingle of every document: ``doc_id, n, grams`` and its place ``at`` in ``grams``."""
+    grams = _grams(docs.select("doc_id", "text"), "text", "doc_id").select("doc_id", "n", F.col(f"g{width}").alias("grams"))
+    # The outer form, as Spark would compute the grams a second time to filter out empty ones.
+    return grams.select("doc_id", "n", "grams", F.posexplode_outer("grams").alias("at", "shingle"))
+
+
+def _start() -> Column:
+    return F.greatest(F.least("at", F.col("n") - F.col("length")), F.lit(0)).alias("start")
+
+
+def _window(width: int) -> Column:
+    return F.slice("grams", F.col("start") + 1, F.greatest(F.col("length") - width + 1, F.lit(0))).alias("window")
+
+
+def _windows_in_place(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """``doc_id, item, start, window``, cut while the document's grams are at hand; nothing is shuffled.
+
+    For items whose shingles were measured to be few enough to broadcast.
+    """
+    wanted = F.broadcast(items.select("item", "length", _shingle()))
+    hits = _places(docs, width).join(wanted, "shingle").select("doc_id", "item", "length", "grams", _start())
+    return hits.select("doc_id", "item", "start", _window(width))
+
+
+def _windows_again(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """The same for any number of items: shingles are shuffled to find the starts, then the documents that
+    have any are read once more."""
+    wanted = items.select("item", "length", _shingle())
+    starts = _places(docs, width).drop("grams").join(wanted, "shingle").select("doc_id", "item", "length", _start())
+    starts = stage(starts.distinct(), "window_starts")
+    per_doc = starts.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("item", "length", "start")).alias("windows"))
+    grams = _grams(docs.select("doc_id", "text"), "text", "doc_id").select("doc_id", F.col(f"g{width}").alias("grams"))
+    met = grams.join(per_doc, F.col("doc_id").eqNullSafe(F.col("of")))
+    met = met.select("doc_id", "grams", F.explode_outer("windows").alias("x")).select("doc_id", "grams", "x.*")
+    return met.select("doc_id", "item", "start", _window(width))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, min_similarity: float = SIMILARITY, radius: int = RADIUS
 ) -> DataFrame:
@@ -152,27 +194,14 @@ def contaminated(
     widths = sorted(w for w in sizes[1] if w) or [WIDTH]  # five at most
     items = stage(_items(benchmark, lane), "items")
 
-    wanted = items.select("item", "length", "width", F.explode(F.array_distinct("shingles")).alias("shingle"))
-    grams = _grams(docs.select("doc_id", "text"), "text", "doc_id")
-    found = None
+    windows = None
     for width in widths:
-        places = grams.select("doc_id", "n", F.posexplode(f"g{width}").alias("at", "shingle"))
-        of_width = _small_or_not(wanted.where(F.col("width") == width))
-        hits = places.join(of_width, "shingle").select(
-            "doc_id", "item", "length", "width", F.greatest(F.least("at", F.col("n") - F.col("length")), F.lit(0)).alias("start")
-        )
-        found = hits if found is None else found.unionByName(hits)
-    starts = stage(found.distinct(), "window_starts")
-
-    # The words of the documents that have such a place, once more.
-    per_doc = starts.groupBy("doc_id").agg(F.collect_list(F.struct("item", "length", "width", "start")).alias("windows"))
-    again = _grams(docs.select("doc_id", "text"), "text", "doc_id")
-    of = per_doc.withColumnRenamed("doc_id", "of")
-    met = again.join(of, F.col("doc_id").eqNullSafe(F.col("of")))
-    met = met.select("doc_id", *[f"g{w}" for w in widths], F.explode("windows").alias("x")).select("*", "x.*")
-    shingles = F.slice(_of_width(F.col("width"), widths), F.col("start") + 1, F.col("length") - F.col("width") + 1)
-    windows = met.select("doc_id", "item", "start", shingles.alias("window")).where(F.size("window") > 0)
-    marked = windows.select("*", simhash(F.col("window"), lane).alias("fp"))
+        of_width = items.where(F.col("width") == width)
+        some = _windows_in_place(docs, of_width, width) if is_small(of_width.select("item", _shingle())) else _windows_again(docs, of_width, width)
+        windows = some if windows is None else windows.unionByName(some)
+    windows = windows.where(F.size("window") > 0)
+    # Written, so that no window is hashed again for each of its blocks.
+    marked = stage(windows.select("*", simhash(F.col("window"), lane).alias("fp")), "windows")
 
     table = _in_blocks(items.select("item", "item_fp", "item_set", "length"), "item_fp", radius)
     candidates = _in_blocks(marked, "fp", radius).join(_small_or_not(table), ["item", "block", "value"])
