@@ -4,7 +4,8 @@ A page is cut into blocks: runs of text between block-level tags, known by the p
 their classes) from the root. Per path the length of the text, its punctuation and its share inside links are added up over all
 blocks of the page and divided by their number. These ratios are fused into one score, which is smoothed
 along the page, more strongly the more of their paths two neighbours share, and averaged over each path
-again. Paths with a fair part of the best score are content, and their blocks are the text.
+again. Paths with a fair part of the best score are content, and so are the shorter parts of running text
+(headings, lists, tables) in the same containers, if they are not mostly links; their blocks are the text.
 
 Elements that are never article text (scripts, styles, forms, menus, headers, footers, sidebars, notices,
 adverts and reader comments, known by tag, role, class or id) are left out before the ratios are formed;
@@ -50,6 +51,11 @@ _NAMES = frozenset(
 )
 _HEADERS = frozenset({"header", "headers"})
 _WHOLE = frozenset({"html", "body", "main", "article"})
+# Blocks that are parts of running text.
+_IN_TEXT = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption "
+    "details summary address center".split()
+)
 # An open element of the first kind ends where one of the second kind begins.
 _ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -68,7 +74,10 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 # --- scores --------------------------------------------------------------------------------------
 
+# Elements that lie deeper belong to the element at this depth, so that nesting costs no more than this per tag.
+MAX_DEPTH = 256
 ARTICLE_PRIOR = 5.0
+STRANGERS = 0.03
 REACH = 3
 SHARE_OF_BEST = 0.12
 
@@ -83,7 +92,7 @@ def _is_left_out(tag: str, rest: str, in_article: bool) -> bool:
     if tag in _LEFT_OUT or (tag == "header" and not in_article):
         return True
     attributes = _attributes(rest)
-    if not attributes or tag in _WHOLE and "comment" not in attributes.get("class", ""):
+    if not attributes or (tag in _WHOLE and not (tag == "article" and "comment" in attributes.get("class", ""))):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in _ROLES:
         return True
@@ -133,6 +142,8 @@ class _Page:
             self.parts.append(" ")
         if tag in _VOID:
             return
+        if len(self.open) >= MAX_DEPTH:
+            return
         outer = bool(self.open) and self.open[-1][1]
         in_article = any(t in ("article", "main") for t, _ in self.open)
         self.open.append((tag, outer or _is_left_out(tag, rest, in_article)))
@@ -191,14 +202,30 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     return state.blocks
 
 
+def _tag_of(label: str) -> str:
+    return label.partition(".")[0]
+
+
 def _alike(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """How much of their paths two blocks share."""
+    """How much of their paths two blocks share; hardly anything if only the whole page."""
     common = 0
     for x, y in zip(a, b, strict=False):
         if x != y:
             break
         common += 1
-    return (common / max(len(a), len(b), 1)) ** 2
+    if all(_tag_of(x) in ("html", "body") for x in a[:common]):
+        return STRANGERS
+    return (common / max(len(a), len(b))) ** 2
+
+
+def _belongs(path: tuple[str, ...], containers: set[tuple[str, ...]]) -> bool:
+    """Whether a path lies in a container of content, below it only in parts of running text."""
+    for i in range(len(path), -1, -1):
+        if path[:i] in containers:
+            return True
+        if i and _tag_of(path[i - 1]) not in _IN_TEXT and not any(_tag_of(x) in ("article", "main") for x in path[:i]):
+            return False
+    return False
 
 
 def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
@@ -212,7 +239,7 @@ def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
         s[3] += linked * len(text)
     raw = {}
     for path, (n, length, marks, linked) in sums.items():
-        prior = ARTICLE_PRIOR if any(p.partition(".")[0] in ("article", "main") for p in path) else 1.0
+        prior = ARTICLE_PRIOR if any(_tag_of(x) in ("article", "main") for x in path) else 1.0
         raw[path] = prior * (length / n) * (1 + marks / n) * (1 - linked / length) ** 2
     totals: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0])
     for i, (path, _, _) in enumerate(blocks):
@@ -226,7 +253,13 @@ def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
         totals[path][1] += 1
     smooth = {path: value / n for path, (value, n) in totals.items()}
     best = max(smooth.values(), default=0.0)
-    return [text for path, text, _ in blocks if smooth[path] >= SHARE_OF_BEST * best]
+    chosen = {path for path, score in smooth.items() if score >= SHARE_OF_BEST * best}
+    # What holds content paths, unless it is the page as a whole, holds the shorter parts of the same text.
+    containers = {path[:-1] for path in chosen if any(_tag_of(x) not in ("html", "body") for x in path[:-1])}
+    for path, (_, length, _, linked) in sums.items():
+        if path not in chosen and 2 * linked < length and _belongs(path, containers):
+            chosen.add(path)
+    return [text for path, text, _ in blocks if path in chosen]
 
 
 def main_text(page: str | None) -> str:

@@ -24,6 +24,7 @@ import sys
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ SAMPLE_PER_CLASS = 1500
 SAMPLE_BYTES = 100_000
 TOXIC_SHARE = 0.2
 ROUNDS = 7
+STEPS = 40
 BATCH = 64
 RATE = 0.006
 
@@ -229,11 +231,36 @@ def window_starts(n: int) -> list[int]:
     return [*range(0, n - WINDOW, STRIDE), n - WINDOW]
 
 
+def _run(table: np.ndarray, steps: Iterator[np.ndarray], u: np.ndarray, out: Iterator[np.ndarray] | None = None) -> np.ndarray:
+    """Last states of a GRU without masks; at each step the projected inputs are the rows ``steps`` of ``table``."""
+    h, size = None, u.shape[0]
+    for rows in steps:
+        x = table.take(rows, axis=0)
+        if h is None:
+            h = np.zeros((len(rows), size), np.float32)
+        a = h @ u
+        gates = x[:, : 2 * size] + a[:, : 2 * size]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        n = a[:, 2 * size :] * gates[:, size:]
+        n += x[:, 2 * size :]
+        np.tanh(n, out=n)
+        h -= n
+        h *= gates[:, :size]
+        h += n
+        if out is not None:
+            next(out)[:] = h
+    return h
+
+
 class Scorer:
     """Scores windows; the inputs of words are computed once per distinct word."""
 
     def __init__(self, w: Weights) -> None:
         self.w = w
+        self.letters = {side: w["char"] @ w[f"cW{side}"] + w[f"cb{side}"] for side in "fb"}
         self._forget()
 
     def _forget(self) -> None:
@@ -254,15 +281,29 @@ class Scorer:
             if room < len(self.row):
                 more = np.empty((max(room // 2, len(self.row) - room), 3 * _HIDDEN), np.float32)
                 self.inputs[side] = np.concatenate((self.inputs[side], more))
-        for at in range(0, len(new), _WORDS_AT_ONCE):
-            part = new[at : at + _WORDS_AT_ONCE]
-            inputs, _ = _word_inputs(self.w, part)
-            for side in "fb":
-                rows = slice(first + at, first + at + len(part))
-                self.inputs[side][rows] = inputs @ self.w[f"W{side}"] + self.w[f"b{side}"]
+        at = 0
+        for length, same in groupby(new, key=len):
+            same = list(same)
+            for i in range(0, len(same), _WORDS_AT_ONCE):
+                inputs = self._word_inputs(same[i : i + _WORDS_AT_ONCE], length)
+                rows = slice(first + at, first + at + len(inputs))
+                at += len(inputs)
+                for side in "fb":
+                    self.inputs[side][rows] = inputs @ self.w[f"W{side}"] + self.w[f"b{side}"]
         for x, stripped in plain.items():
             self.number[x] = self.row[stripped]
 
+    def _word_inputs(self, words: list[bytes], length: int) -> np.ndarray:
+        """Inputs of words of one length."""
+        w = self.w
+        inputs = np.zeros((len(words), _WORD_DIM + 2 * _CHAR_HIDDEN), np.float32)
+        if length:
+            codes = np.frombuffer(b"".join(words), np.uint8).reshape(-1, length).T
+            inputs[:, :_WORD_DIM] = w["word"][[_bucket(x) for x in words]]
+            inputs[:, _WORD_DIM : _WORD_DIM + _CHAR_HIDDEN] = _run(self.letters["f"], iter(codes), w["cUf"])
+            inputs[:, _WORD_DIM + _CHAR_HIDDEN :] = _run(self.letters["b"], iter(codes[::-1]), w["cUb"])
+        return inputs
+
     def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         if len(self.number) > _REMEMBERED:
             self._forget()
@@ -274,26 +315,11 @@ class Scorer:
 
     def logits(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Logit per window; ``ids`` is (windows, WINDOW)."""
-        w, steps = self.w, ids.T
+        w, steps = self.w, np.ascontiguousarray(ids.T)
         batch = ids.shape[0]
         states = np.empty((WINDOW, batch, 2 * _HIDDEN), np.float32)
-        for side, order in (("f", range(WINDOW)), ("b", range(WINDOW - 1, -1, -1))):
-            inputs, u = self.inputs[side], w[f"U{side}"]
-            at = slice(0, _HIDDEN) if side == "f" else slice(_HIDDEN, None)
-            h = np.zeros((batch, _HIDDEN), np.float32)
-            for t in order:
-                x = inputs[steps[t]]
-                a = h @ u
-                gates = x[:, : 2 * _HIDDEN] + a[:, : 2 * _HIDDEN]
-                np.negative(gates, out=gates)
-                np.exp(gates, out=gates)
-                gates += 1
-                np.reciprocal(gates, out=gates)
-                n = a[:, 2 * _HIDDEN :] * gates[:, _HIDDEN:]
-                n += x[:, 2 * _HIDDEN :]
-                np.tanh(n, out=n)
-                h = n + gates[:, :_HIDDEN] * (h - n)
-                states[t, :, at] = h
+        _run(self.inputs["f"], iter(steps), w["Uf"], iter(states[:, :, :_HIDDEN]))
+        _run(self.inputs["b"], iter(steps[::-1]), w["Ub"], iter(states[::-1, :, _HIDDEN:]))
         real = np.arange(WINDOW)[:, None] < np.maximum(1, lengths)
         pooled, _, _ = _pool(w, states, real)
         return pooled @ w["o"] + w["ob"][0]
@@ -368,7 +394,9 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> tuple[Weights
             for s in best[: 1 if toxic[i] else 2]:
                 windows.append(_as_window(words[i], starts[s]))
                 target.append(toxic[i])
-        order = draw.permutation(len(windows))
+        # Small samples are gone through more often.
+        passes = max(1, round(STEPS * BATCH / len(windows)))
+        order = np.concatenate([draw.permutation(len(windows)) for _ in range(passes)])
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
             _, g = _step(w, [windows[i] for i in part], np.array([target[i] for i in part], np.float32))
@@ -394,12 +422,20 @@ def _calibrated(logit: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     share = np.where(toxic > 0, TOXIC_SHARE / max(1, (toxic > 0).sum()), (1 - TOXIC_SHARE) / max(1, (toxic == 0).sum()))
     weight = share * len(toxic)
     start = np.array([1.0, 0.0])
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((weight * (np.logaddexp(0, z) - toxic * z)).sum() + 0.5 * ((beta - start) ** 2).sum())
+
     beta = start.copy()
     for _ in range(25):
         p = _sigmoid(x @ beta)
         gradient = x.T @ (weight * (p - toxic)) + (beta - start)
         curvature = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(2)
-        beta -= np.clip(np.linalg.solve(curvature, gradient), -2, 2)
+        step, size = np.linalg.solve(curvature, gradient), 1.0
+        while size > 1e-4 and loss(beta - size * step) > loss(beta):
+            size /= 2
+        beta = beta - size * step
     return float(max(beta[0], 0.05)), float(beta[1])
 
 
