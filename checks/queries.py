@@ -22,10 +22,11 @@ from shelfprice.functions.parse import (
 from shelfprice.operators import charts, clean, deals, extract, load, report, stats, views
 from shelfprice.operators.views import ListingFilter
 from shelfprice.plans.staging import new_path, stage
-from shelfprice.schema import ORDER_KEY, RAW_COLUMNS
+from shelfprice.schema import DISPLAY_COLUMNS, ORDER_KEY, RAW_COLUMNS
 from shelfprice.sources.csv import read_raw_csv, write_raw_csv
 from shelfprice.sources.reports import read_report, write_report
-from shelfprice.streaming.incremental import load_drops, read_loaded
+from shelfprice.sources.tables import read_listings, write_cleaned, write_export
+from shelfprice.streaming.incremental import FILES_PER_LOAD, load_drops, read_loaded, read_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -537,8 +538,8 @@ _stat("top_brands_count", stats.top_brands_count, _TOP_BRANDS.format(source="cle
 
 
 def _top_mean_sql(column: str, alias: str) -> str:
-    return f"""SELECT brand, {r2('m')} AS {alias}, n AS count FROM (
-  SELECT brand, {r6(mean(column))} AS m, count({column}) AS n FROM cleaned WHERE brand IS NOT NULL GROUP BY brand) q
+    return f"""SELECT brand, {r2(r6('m'))} AS {alias}, n AS count FROM (
+  SELECT brand, {mean(column)} AS m, count({column}) AS n FROM cleaned WHERE brand IS NOT NULL GROUP BY brand) q
 WHERE n>=3 ORDER BY m DESC, brand LIMIT 10"""
 
 
@@ -820,18 +821,41 @@ RUNS = 4
 _RUN_SQL = "CASE WHEN scraped_at='not a date' THEN 0 ELSE (CAST(substr(scraped_at, 6, 2) AS INTEGER)-1)//3 END"
 
 
-def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """The fixture in four drops, one per quarter of the capture time; the stream runs after each."""
+def _loaded(spark: SparkSession, sf: str, files_per_load: int = FILES_PER_LOAD) -> str:
+    """Table of the fixture loaded in four drops, one per quarter of the capture time; the stream runs after each.
+
+    The names of the drops fall, so that a load that ordered rows by name across loads would be found out.
+    """
     folder, table = new_path(spark, "landing"), new_path(spark, "loaded")
     listings = stage(fx.text_listings(spark, sf), "text_listings")
     run_no = F.coalesce(F.quarter(F.try_to_date("scraped_at")) - 1, F.lit(0))
     for run in range(RUNS):
         part = listings.where(run_no == run).orderBy(ORDER_KEY)
-        write_raw_csv(part, folder, f"run-{run}")
-        load_drops(spark, folder, table, f"{table}-checkpoint", f"{table}-quarantine").awaitTermination()
-    return read_loaded(spark, table).select(*RAW_COLUMNS)
+        write_raw_csv(part, folder, f"run-{RUNS - run}")
+        load_drops(
+            spark, folder, table, f"{table}-checkpoint", f"{table}-quarantine", files_per_load
+        ).awaitTermination()
+    return table
+
+
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    return read_loaded(spark, _loaded(spark, sf)).select(*RAW_COLUMNS)
+
+
+def loaded_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Ties over several loads: of equally cheap or dear listings the one that was loaded first is named."""
+    return stats.price_extremes(read_loaded(spark, _loaded(spark, sf, 3)))
+
+
+def loader_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What the loads say of themselves, added up over the loads."""
+    totals = read_summary(spark, _loaded(spark, sf)).groupBy("platform")
+    return totals.agg(*[F.sum(c).alias(c) for c in ("offered", "inserted", "skipped")])
 
 
+_LOADED_SQL = f"""(SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY {_RUN_SQL}, {KEY}) AS rn FROM raw
+  WHERE scraped_at<>'not a date') q WHERE rn=1 OR product_url IS NULL)"""
 _DECIMAL = "CAST({0} AS DECIMAL({1})) AS {0}"
 register(
     "incremental_load",
@@ -840,9 +864,66 @@ register(
         raw(True),
         f"""SELECT platform, product_name, brand, {_DECIMAL.format('current_price', '10,2')},
   {_DECIMAL.format('original_price', '10,2')}, {_DECIMAL.format('discount_pct', '5,2')}, {_DECIMAL.format('rating', '3,2')},
-  review_count, product_url, CAST(scraped_at AS TIMESTAMP) AS scraped_at, category
-FROM (SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY {_RUN_SQL}, {KEY}) AS rn FROM raw
-  WHERE scraped_at<>'not a date') q WHERE rn=1 OR product_url IS NULL""",
+  review_count, product_url, CAST(scraped_at AS TIMESTAMP) AS scraped_at, category FROM {_LOADED_SQL}""",
+    ),
+)
+_FIRST_AT = "row_number() OVER (PARTITION BY platform ORDER BY {0}, " + f"{_RUN_SQL}, {KEY}) AS r"
+_LOADED_PRICES = f"(SELECT * REPLACE (CAST(current_price AS DECIMAL(10,2)) AS current_price) FROM {_LOADED_SQL}) WHERE current_price IS NOT NULL"
+register(
+    "loaded_extremes",
+    loaded_extremes,
+    over(
+        raw(True),
+        f"""SELECT lo.platform, lo.product_name AS cheapest_name, lo.brand AS cheapest_brand, lo.current_price AS cheapest_price,
+  hi.product_name AS dearest_name, hi.brand AS dearest_brand, hi.current_price AS dearest_price
+FROM (SELECT *, {_FIRST_AT.format('current_price')} FROM {_LOADED_PRICES}) lo
+JOIN (SELECT *, {_FIRST_AT.format('current_price DESC')} FROM {_LOADED_PRICES}) hi
+  ON lo.platform=hi.platform AND lo.r=1 AND hi.r=1""",
+    ),
+)
+register(
+    "loader_summary",
+    loader_summary,
+    over(
+        raw(True),
+        f"""SELECT platform, sum(o)::BIGINT AS offered, sum(i)::BIGINT AS inserted, sum(o - i)::BIGINT AS skipped FROM (
+  SELECT platform, 1 AS o, 0 AS i FROM raw WHERE scraped_at<>'not a date'
+  UNION ALL SELECT platform, 0, 1 FROM {_LOADED_SQL}) q GROUP BY platform""",
+    ),
+)
+
+
+
+def replaced_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned table written, read, and replaced by a part of itself."""
+    path = new_path(spark, "cleaned table")
+    write_cleaned(fx.cleaned_listings(spark, sf), path)
+    write_cleaned(read_listings(spark, path).where("platform != 'asia'"), path)
+    return read_listings(spark, path).select(*RAW_COLUMNS)
+
+
+register("replaced_cleaned", replaced_cleaned, f"SELECT * FROM ({ORACLES['cleaned_listings']}) WHERE platform <> 'asia'")
+
+
+def export_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Filter, search and display columns of the view, written as CSV and read back as text."""
+    path = new_path(spark, "export")
+    view = views.filter_listings(fx.cleaned_listings(spark, sf), ListingFilter(price_max=50.0, min_discount=50))
+    write_export(views.display_columns(views.search_listings(view, "a[lr]m", regex=True)), path)
+    back = spark.read.csv(path, header=True, escape='"', schema=", ".join(f"{c} string" for c in DISPLAY_COLUMNS))
+    counted = back.groupBy("platform", F.coalesce("brand", F.lit("")).alias("brand"))
+    return counted.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("current_price").cast("double")).alias("dearest"))
+
+
+register(
+    "export_view",
+    export_view,
+    over(
+        CLEANED,
+        """SELECT platform, brand, count(*) AS n, max(current_price) AS dearest FROM cleaned
+WHERE current_price BETWEEN 0 AND 50 AND discount_pct>=50
+  AND (regexp_matches(lower(product_name), 'a[lr]m') OR regexp_matches(lower(brand), 'a[lr]m'))
+GROUP BY platform, brand""",
     ),
 )
 

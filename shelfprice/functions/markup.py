@@ -33,6 +33,7 @@ _SIMPLE = re.compile(
       | (?P<first>:first-child)""",
     re.VERBOSE,
 )
+_WHOLE = re.compile(r"(?=.)(?:[a-zA-Z][\w-]*)?(?:\.[\w-]+|\[[\w-]+(?:\*?='[^']*')?\]|:first-child)*")
 
 
 class Element:
@@ -116,7 +117,11 @@ def read_page(html: str) -> Element:
 
 
 def selector_chains(group: str) -> list:
-    """Group of selectors as chains of (relation, simple tests), the target first."""
+    """Group of selectors as chains of (relation, simple tests), the target first.
+
+    Raises ``ValueError`` for anything but the supported syntax, as a selector that is read in part
+    would match something else than its author meant.
+    """
     chains = []
     for selector in group.split(","):
         parts = re.split(r"\s*(\+)\s*|\s+", selector.strip())
@@ -125,9 +130,13 @@ def selector_chains(group: str) -> list:
             if part == "+":
                 relation = "+"
             elif part:
+                if not _WHOLE.fullmatch(part):
+                    raise ValueError(f"unsupported selector {part!r} in {group!r}")
                 tests = [m.group("tag", "cls", "attr", "op", "val", "first") for m in _SIMPLE.finditer(part)]
                 steps.append((relation, tests))
                 relation = " "
+        if not steps or relation == "+" or steps[0][0] == "+":
+            raise ValueError(f"incomplete selector in {group!r}")
         chains.append(steps[::-1])
     return chains
 

@@ -123,11 +123,12 @@ def brands_by_count(profile: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def _brands_by_mean(profile: DataFrame, what: str, alias: str, n: int) -> DataFrame:
-    mean = rint6(F.col(f"sum_{what}") / F.col(f"n_{what}"))
+    # Sums are exact, so the quotient is the same whatever the partitioning, and ranks as it is.
+    mean = F.col(f"sum_{what}") / F.col(f"n_{what}")
     ranked = profile.where(F.col(f"n_{what}") >= MIN_BRAND_LISTINGS).select(
         "brand", mean.alias("_mean"), F.col(f"n_{what}").alias("count")
     )
-    return top(ranked, n, F.desc("_mean"), F.asc("brand")).select("brand", rint2(F.col("_mean")).alias(alias), "count")
+    return top(ranked, n, F.desc("_mean"), F.asc("brand")).select("brand", rint2(rint6(F.col("_mean"))).alias(alias), "count")
 
 
 def brands_by_discount(profile: DataFrame, n: int = TOP_N) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfprice.functions.numeric import exact_mean, rint2
@@ -122,12 +122,20 @@ def filtered_box(listings: DataFrame, choice: ListingFilter) -> DataFrame:
     return price_box_stats(filter_listings(listings, choice))
 
 
+def _compile(pattern: str) -> None:
+    """Let the engine that will run the pattern read it first."""
+    try:
+        SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException as error:
+        raise ValueError(f"not a pattern: {pattern!r}: {error}") from None
+
+
 def _matches(term: str, regex: bool) -> Column:
     wanted = term.strip().lower()
     if not wanted:
         return F.lit(True)
     if regex:
-        re.compile(wanted)
+        _compile(wanted)
         hits = [F.lower(c).rlike(wanted) for c in ("product_name", "brand")]
     else:
         hits = [F.lower(c).contains(F.lit(wanted)) for c in ("product_name", "brand")]

@@ -17,14 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
+def _is_one_process(master: str) -> bool:
+    """Whether driver and executor are one; ``local-cluster`` starts executors of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Run-specific folder below ``spark.checkpoint.dir``."""
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_one_process(spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="run-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="run-")
+        root = _local_folders[app]
     return f"{root.rstrip('/')}/shelfprice-{app}"
 
 
@@ -57,6 +64,14 @@ def drop_staged(spark: SparkSession) -> None:
     _delete(spark, shared_folder(spark))
 
 
+def delete_matching(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that match a glob pattern, if any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    for status in found or ():
+        _delete(spark, status.getPath().toString())
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

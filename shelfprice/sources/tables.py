@@ -2,16 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfprice.schema import CLEANED_TYPES, ORDER_KEY, RAW_COLUMNS
+from shelfprice.schema import BASE_TYPES, CLEANED_TYPES, ORDER_KEY, RAW_COLUMNS
 from shelfprice.sources.csv import WRITE_OPTIONS
 
 
+# A versioned table is a folder of versions and this file, which names the current one and its columns.
+_CURRENT = "_current.json"
+# Directory names cannot hold an empty platform; it and what starts alike are written behind this sign.
+_SIGN = "\u2205"
+
+
+def _named(platform: Column) -> Column:
+    return F.when((platform == "") | platform.startswith(_SIGN), F.concat(F.lit(_SIGN), platform)).otherwise(platform)
+
+
+def _unnamed(platform: Column) -> Column:
+    return F.when(platform.startswith(_SIGN), F.substring(platform, 2, 1_000_000)).otherwise(platform)
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Scan of a listing table. Not sorted: order-sensitive operators use the order key."""
-    return spark.read.parquet(path)
+    """Scan of a listing table. Not sorted: order-sensitive operators use the order key.
+
+    A table of :func:`write_cleaned` has the columns it was written with. Of other Parquet files the
+    columns are taken from the files, but those of directory names are always text: "007" stays as it is.
+    """
+    current = _read_current(spark, path)
+    if current is None:
+        found = spark.read.option("recursiveFileLookup", False).parquet(path).schema
+        texts = [T.StructField(f.name, T.StringType() if f.name in BASE_TYPES and BASE_TYPES[f.name] == "string" else f.dataType) for f in found]
+        return spark.read.schema(T.StructType(texts)).parquet(path)
+    schema = T.StructType.fromJson(current["schema"])
+    table = spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{current['version']}")
+    return table.withColumn("platform", _unnamed(F.col("platform"))).select(*schema.names)
+
+
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _read_current(spark: SparkSession, path: str) -> dict | None:
+    file, system = _file_system(spark, f"{path.rstrip('/')}/{_CURRENT}")
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _switch(spark: SparkSession, path: str, current: dict) -> None:
+    """Put a new pointer in the place of the old one; the file is complete before it gets its name."""
+    new, system = _file_system(spark, f"{path}/.{current['version']}.json")
+    stream = system.create(new, True)
+    stream.write(json.dumps(current).encode())
+    stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(system.makeQualified(new), system.makeQualified(_file_system(spark, f"{path}/{_CURRENT}")[0]), options)
 
 
 def read_listings_jdbc(
@@ -27,27 +86,30 @@ def read_listings_jdbc(
     return df.withColumnRenamed("id", ORDER_KEY)
 
 
-def append_listings(listings: DataFrame, path: str) -> None:
-    """Append loaded rows to the base table with their load time."""
-    stamped = listings.withColumn("created_at", F.localtimestamp())
-    stamped.write.mode("append").partitionBy("platform").parquet(path)
-
-
-def write_cleaned(cleaned: DataFrame, path: str, rebalance: bool = False) -> None:
+def write_cleaned(cleaned: DataFrame, path: str, rebalance: bool = True) -> None:
     """Replace the cleaned table, partitioned by platform.
 
-    By default every task writes its own file per platform and nothing is shuffled. ``rebalance``
-    shuffles once into evenly sized files instead, splitting a platform that holds much of the rows.
-    Refuses to overwrite files the plan still reads: stage the cleaned rows first in that case.
+    The rows go to a version folder of their own; then one small file is replaced that names the version
+    to read. A reader sees the old table or the new one, a failed write leaves the old one, and the rows
+    may come from the table itself. The version before stays for plans that still read it; older ones go.
+
+    ``rebalance`` shuffles once into evenly sized files, splitting a platform that holds much of the
+    rows; without it every task writes a file of its own per platform.
     """
-    target = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-    if any(f"/{target}/" in file for file in cleaned.inputFiles()):
-        raise ValueError(f"{path} is an input of the rows to be written")
+    spark, path = cleaned.sparkSession, path.rstrip("/")
     rest = [c for c in cleaned.columns if c not in RAW_COLUMNS]
     typed = cleaned.select(*[F.col(c).cast(CLEANED_TYPES[c]).alias(c) for c in RAW_COLUMNS], *rest)
+    before = _read_current(spark, path)
+    version = f"v-{uuid.uuid4().hex}"
+    named = typed.withColumn("platform", _named(F.col("platform")))
     if rebalance:
-        typed = typed.hint("rebalance", "platform")
-    typed.write.mode("overwrite").partitionBy("platform").parquet(path)
+        named = named.hint("rebalance", "platform")
+    named.write.partitionBy("platform").parquet(f"{path}/{version}")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in typed.schema])
+    _switch(spark, path, {"version": version, "before": before and before["version"], "schema": schema.jsonValue()})
+    if before and before["before"]:
+        folder, system = _file_system(spark, f"{path}/{before['before']}")
+        system.delete(folder, True)
 
 
 def write_export(view: DataFrame, path: str) -> None:

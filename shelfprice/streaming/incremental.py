@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfprice.operators.load import apply_contract, coerce_types, insert_if_absent, quarantined, reduce_stored
-from shelfprice.plans.staging import staged
+from shelfprice.operators.load import (
+    apply_contract,
+    coerce_types,
+    insert_if_absent,
+    load_summary,
+    quarantined,
+    reduce_stored,
+)
+from shelfprice.plans.staging import delete_matching, staged
 from shelfprice.schema import BASE_TYPES, ORDER_KEY
 from shelfprice.sources.csv import CSV_FILES, read_raw_csv
 
-FILES_PER_BATCH = 10_000
+# Files that are read as one batch of rows; a larger backlog is loaded in several.
+FILES_PER_LOAD = 10_000
 _FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
-_ORDER_TYPE = "struct<path:string,row:bigint>"
+# Loads count up; within a load the files go by name, whatever their times.
+_ORDER_TYPE = "struct<load:bigint,path:string,row:bigint>"
 
 
 def _table_schema() -> T.StructType:
@@ -23,14 +32,28 @@ def _table_schema() -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{name} {type_}" for name, type_ in columns.items()))
 
 
-def read_loaded(spark: SparkSession, table: str) -> DataFrame:
-    """The base table written by :func:`load_drops`; empty before the first load."""
+def _read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     try:
-        return spark.read.schema(_table_schema()).parquet(table)
+        return spark.read.schema(schema).parquet(folder)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], _table_schema())
+        return spark.createDataFrame([], schema)
+
+
+def read_loaded(spark: SparkSession, table: str) -> DataFrame:
+    """The base table written by :func:`load_drops`; empty before the first load."""
+    return _read(spark, table, _table_schema())
+
+
+def summary_folder(table: str) -> str:
+    return f"{table.rstrip('/')}-summary"
+
+
+def read_summary(spark: SparkSession, table: str) -> DataFrame:
+    """Rows offered, inserted and skipped per load and platform, as :func:`load_drops` wrote them."""
+    schema = "platform string, offered bigint, inserted bigint, skipped bigint, load_id string"
+    return _read(spark, summary_folder(table), T.StructType.fromDDL(schema))
 
 
 def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: str | None, load_id: str) -> None:
@@ -38,39 +61,49 @@ def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: s
     with staged(coerce_types(read_raw_csv(spark, paths)), "drops") as raw:
         batch = apply_contract(raw, "quarantine" if quarantine else "fail")
         # Everything but this load: when a failed batch is retried, its own rows don't count.
-        stored = read_loaded(spark, table).where(F.col("load_id") != load_id).select("product_url")
-        fresh = insert_if_absent(batch, reduce_stored(stored, batch))
-        fresh = fresh.withColumn("created_at", F.localtimestamp())
-        fresh.write.mode("overwrite").parquet(f"{table}/load_id={load_id}")
+        earlier = read_loaded(spark, table).where(F.col("load_id") != load_id)
+        last = earlier.agg(F.max(f"{ORDER_KEY}.load")).first()[0]
+        load = F.lit(0 if last is None else last + 1).cast("bigint").alias("load")
+        key = F.struct(load, f"{ORDER_KEY}.path", f"{ORDER_KEY}.row")
+        fresh = insert_if_absent(batch, reduce_stored(earlier.select("product_url"), batch))
+        fresh = fresh.withColumns({ORDER_KEY: key, "created_at": F.localtimestamp()})
+        target = f"{table}/load_id={load_id}"
+        fresh.write.mode("overwrite").parquet(target)
         if quarantine:
             quarantined(raw).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
+        inserted = spark.read.schema(fresh.schema).parquet(target)
+        result = load_summary(batch, inserted, inserted.limit(0))
+        result.coalesce(1).write.mode("overwrite").parquet(f"{summary_folder(table)}/load_id={load_id}")
 
 
 def load_drops(
-    spark: SparkSession, landing: str, table: str, checkpoint: str, quarantine: str | None = None
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    quarantine: str | None = None,
+    files_per_load: int = FILES_PER_LOAD,
 ) -> StreamingQuery:
     """Load the CSV files below ``landing`` that no earlier run of this checkpoint has loaded.
 
-    The stream carries file names only; each batch is read header-bound, checked and inserted where
-    its URLs are new. A batch writes a directory of its own and replaces it on retry, so loading is
-    exactly-once. One stream per table: plain Parquet does not arbitrate between writers. Without a
-    ``quarantine`` folder a row that breaks the contract fails the load.
+    The stream carries file names only. All waiting files are one batch and go by name; cut into loads
+    of ``files_per_load``, they are read header-bound, checked and inserted where their URLs are new. As
+    the cuts follow the order by which the first row of a URL wins, they do not change what is loaded. A
+    load writes directories of its own (rows, quarantine, summary) and a retried batch first removes
+    those it left, so loading is exactly-once. One stream per table: plain Parquet does not arbitrate
+    between writers. Without a ``quarantine`` folder a row that breaks the contract fails the load.
     """
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         paths = sorted(row.path for row in files.select("path").collect())
-        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if paths:
-            _load_files(session, paths, table, quarantine, f"{stream}-{batch_id:06d}")
-
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .options(**CSV_FILES, maxFilesPerTrigger=FILES_PER_BATCH)
-        .load(landing)
-        .select("path")
-    )
+        batch = f"{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:06d}"
+        for folder in filter(None, (table, quarantine, summary_folder(table))):
+            delete_matching(session, f"{folder}/load_id={batch}-*")
+        for number, at in enumerate(range(0, len(paths), files_per_load)):
+            _load_files(session, paths[at : at + files_per_load], table, quarantine, f"{batch}-{number:06d}")
+
+    files = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).options(**CSV_FILES).load(landing).select("path")
     return (
         files.writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)

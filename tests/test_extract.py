@@ -113,3 +113,14 @@ def test_whole_page_is_read(spark):
     filler = "<p>" + "x" * 3_000_000 + "</p>"
     card = "<a data-test-id='productLink' href='/p'><b data-test-id='productTitle'>N</b></a>"
     assert extract.extract_listings(pages(spark, ("Z", filler + card))).count() == 1
+
+
+@pytest.mark.parametrize("bad", ["#k", '[a="b"]', "div > a", "[a^='b']", "p:nth-child(2)", "p:not(.a)", "*", "", "a,", "a +", "+ a", "a. b"])
+def test_selectors_that_are_not_understood_are_refused(bad):
+    with pytest.raises(ValueError, match="selector"):
+        selector_chains(bad)
+
+
+def test_layouts_with_such_selectors_fail_before_any_job(spark):
+    with pytest.raises(ValueError, match="selector"):
+        extract.card_texts(spark.createDataFrame([], PAGE_SCHEMA), {"x": {"card": ["#k"]}})

@@ -77,18 +77,45 @@ def test_csv_round_trip_of_awkward_text(spark, tmp_path, listings):
     assert values(back) == values(text)
 
 
-def test_cleaned_table_is_replaced_and_protected(spark, tmp_path, listings):
-    path = str(tmp_path / "cleaned")
+def test_cleaned_table_is_replaced(spark, tmp_path, listings):
+    path = str(tmp_path / "cleaned table")
     df = listings({"platform": "a", "product_name": "n", "scraped_at": None}, {"platform": "b", "product_name": "m"})
     df = df.withColumn("scraped_at", F.col("scraped_at").try_cast("timestamp_ntz"))
     tables.write_cleaned(df, path)
-    tables.write_cleaned(df.where("platform = 'a'"), path, rebalance=True)
+    both = tables.read_listings(spark, path)
+    tables.write_cleaned(both.where("platform = 'a'"), path)
     back = tables.read_listings(spark, path)
-    assert back.count() == 1 and dict(back.dtypes)["current_price"] == "double"
-    with pytest.raises(ValueError, match="input"):
-        tables.write_cleaned(back, path)
+    assert back.count() == 1 and dict(back.dtypes)["current_price"] == "double" and back.columns == df.columns
+    assert both.count() == 2  # a plan over the version before still reads it
+    tables.write_cleaned(back, path, rebalance=False)
+    assert values(tables.read_listings(spark, path)) == values(df.where("platform = 'a'"))
+    assert sum(p.name.startswith("v-") for p in (tmp_path / "cleaned table").iterdir()) == 2
     plan = back.where("platform = 'a' and current_price > 5")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(platform" in plan and "GreaterThan(current_price,5.0)" in plan
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "GreaterThan(current_price,5.0)" in plan
+
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path, listings):
+    path = str(tmp_path / "t")
+    tables.write_cleaned(listings({"platform": "a", "product_name": "n"}).withColumn("scraped_at", F.lit(None)), path)
+    failing = tables.read_listings(spark, path).withColumn("product_name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_cleaned(failing, path)
+    assert tables.read_listings(spark, path).count() == 1
+
+
+@pytest.mark.parametrize("versioned", [True, False])
+def test_platforms_come_back_as_text(spark, tmp_path, listings, versioned):
+    names = ["007", "2024-01-01", "1e3", "a=b/c d", *(["", "\u2205", "\u2205x"] if versioned else [])]
+    df = listings(*[{"platform": p, "product_name": "n"} for p in names]).withColumn("scraped_at", F.lit(None).cast("timestamp_ntz"))
+    path = str(tmp_path / "t")
+    if versioned:
+        tables.write_cleaned(df, path)
+    else:
+        df.write.partitionBy("platform").parquet(path)
+    back = tables.read_listings(spark, path)
+    assert dict(back.dtypes)["platform"] == "string"
+    assert sorted(r.platform for r in back.collect()) == sorted(names)
+    assert back.where("platform in ('007', '')").count() == (2 if versioned else 1)
 
 
 def test_export_leaves_out_the_order_key(spark, tmp_path, listings):
@@ -97,13 +124,6 @@ def test_export_leaves_out_the_order_key(spark, tmp_path, listings):
     assert header.split(",") == RAW_COLUMNS
 
 
-def test_append_stamps_the_load(spark, tmp_path, listings):
-    path = str(tmp_path / "base")
-    tables.append_listings(listings({"platform": "a"}), path)
-    tables.append_listings(listings({"platform": "a"}), path)
-    assert tables.read_listings(spark, path).where("created_at is not null").count() == 2
-
-
 def report_rows(listings):
     return listings(
         {"platform": "b", "product_name": "Köln", "brand": "x", "current_price": 10.0, "discount_pct": 60.0},

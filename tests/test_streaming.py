@@ -1,3 +1,5 @@
+import pytest
+
 from shelfprice.operators import load
 from shelfprice.schema import RAW_COLUMNS
 from shelfprice.sources import csv
@@ -16,13 +18,14 @@ def row(name, url, price="1.50", platform="P"):
     return f"{platform},{name},,{price},,,,,{url},2024-01-05T10:00:00,c"
 
 
-def run(spark, tmp_path, quarantine=True):
+def run(spark, tmp_path, quarantine=True, files_per_load=incremental.FILES_PER_LOAD):
     incremental.load_drops(
         spark,
         str(tmp_path / "landing"),
         str(tmp_path / "table"),
         str(tmp_path / "checkpoint"),
         str(tmp_path / "quarantine") if quarantine else None,
+        files_per_load,
     ).awaitTermination()
     return incremental.read_loaded(spark, str(tmp_path / "table"))
 
@@ -70,3 +73,35 @@ def test_without_quarantine_a_bad_row_fails_the_load(spark, tmp_path):
         failed = "current_price not decimal(10,2)" in str(error)
     assert failed
     assert incremental.read_loaded(spark, str(tmp_path / "table")).count() == 0
+
+
+@pytest.mark.parametrize("files_per_load", [1, 2, 10_000])
+def test_cuts_of_a_backlog_change_nothing(spark, tmp_path, files_per_load):
+    landing = tmp_path / "landing"
+    # Written in the order opposite to that of their names.
+    for name, price in (("c", "3"), ("b", "2"), ("a", "1")):
+        drop(landing, f"{name}.csv", row(f"{name}1", "u1", price), row(f"{name}2", f"u{name}", price))
+    loaded = run(spark, tmp_path, files_per_load=files_per_load)
+    assert names(loaded) == ["a1", "a2", "b2", "c2"]
+    assert [r["product_name"] for r in loaded.orderBy("order_key").collect()] == ["a1", "a2", "b2", "c2"]
+    summary = incremental.read_summary(spark, str(tmp_path / "table")).groupBy("platform").sum("offered", "inserted", "skipped")
+    assert [tuple(r) for r in summary.collect()] == [("P", 6, 4, 2)]
+
+
+def test_later_loads_come_later_in_the_order(spark, tmp_path):
+    landing = tmp_path / "landing"
+    drop(landing, "z.csv", row("first", "u1"))
+    run(spark, tmp_path)
+    drop(landing, "a.csv", row("second", "u2"))
+    loaded = run(spark, tmp_path)
+    assert [r["product_name"] for r in loaded.orderBy("order_key").collect()] == ["first", "second"]
+
+
+def test_a_retried_batch_removes_loads_of_another_cut(spark, tmp_path):
+    for name in "abc":
+        drop(tmp_path / "landing", f"{name}.csv", row(name, f"u{name}"))
+    run(spark, tmp_path, files_per_load=1)
+    commit = tmp_path / "checkpoint" / "commits"
+    for file in [*commit.glob("0"), *commit.glob(".0.crc")]:
+        file.unlink()
+    assert names(run(spark, tmp_path)) == ["a", "b", "c"]
