@@ -7,7 +7,8 @@ descendant and next-sibling relations, and groups of those.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
 
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -37,12 +38,13 @@ _WHOLE = re.compile(r"(?=.)(?:[a-zA-Z][\w-]*)?(?:\.[\w-]+|\[[\w-]+(?:\*?='[^']*'
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "classes", "parent", "before", "children")
+    __slots__ = ("tag", "attrs", "classes", "parent", "before", "children", "number")
 
     def __init__(self, tag, attrs, parent, before):
         self.tag, self.attrs, self.parent, self.before = tag, attrs, parent, before
         self.classes = attrs["class"].split() if "class" in attrs else ()
         self.children = []
+        self.number = -1
 
     def elements(self):
         """Descendants in document order."""
@@ -68,6 +70,12 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Element("", {}, None, None)
+        self.names = Counter()  # of the open elements
+
+    def _close_up_to(self, node):
+        while self.open is not node:
+            self.names[self.open.tag] -= 1
+            self.open = self.open.parent
 
     def _end_implied(self, tag):
         node, ends = self.open, _ENDS.get(tag, ())
@@ -77,7 +85,7 @@ class _Builder(HTMLParser):
                 outermost = node
             node = node.parent
         if outermost is not None:
-            self.open = outermost.parent
+            self._close_up_to(outermost.parent)
 
     def handle_starttag(self, tag, attrs):
         self._end_implied(tag)
@@ -86,16 +94,17 @@ class _Builder(HTMLParser):
         self.open.children.append(element)
         if tag not in _VOID:
             self.open = element
+            self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.open
-        while node is not self.root and node.tag != tag:
-            node = node.parent
-        if node is not self.root:
-            self.open = node.parent
+        if self.names[tag] > 0:
+            node = self.open
+            while node.tag != tag:
+                node = node.parent
+            self._close_up_to(node.parent)
 
     def handle_data(self, data):
         # A lone "<" splits the data of one text; a comment ends it.
@@ -158,41 +167,61 @@ def _fits_one(element: Element, tests: list) -> bool:
     return True
 
 
-def _fits(element: Element, chain: list) -> bool:
-    relation, tests = chain[0]
-    if not _fits_one(element, tests):
-        return False
-    if len(chain) == 1:
-        return True
-    if relation == "+":
-        return element.before is not None and _fits(element.before, chain[1:])
-    above = element.parent
-    while above is not None and above.tag:
-        if _fits(above, chain[1:]):
-            return True
-        above = above.parent
-    return False
-
-
-def _matches(elements: Iterable[Element], chains: list) -> Iterator[Element]:
-    for element in elements:
-        for chain in chains:
-            if _fits(element, chain):
-                yield element
-                break
+class Matches:
+    """Which elements of a page fit which selectors; each selector is matched once for the whole page.
 
-
-def first_match(elements: list[Element], tiers: list) -> Element | None:
-    """First element that fits the first tier with a match; ``elements`` in document order.
-
-    Tiers are given as their :func:`selector_chains`.
+    Elements are known by their number in document order, so that those inside an element are a range of
+    numbers. Whether an element or one above it fits the upper part of a selector is handed down from
+    parent to child, so a selector costs the same per element however deep the page is nested.
     """
-    for chains in tiers:
-        for element in _matches(elements, chains):
-            return element
-    return None
-
 
-def all_matches(elements: list[Element], tiers: list) -> list[Element]:
-    """Every element that fits the first tier with a match."""
-    return next((found for chains in tiers if (found := list(_matches(elements, chains)))), [])
+    def __init__(self, root: Element):
+        self.elements = list(root.elements())
+        self.ends = list(range(1, len(self.elements) + 1))
+        self._known: dict[int, tuple[list, list[int]]] = {}
+        for number, element in enumerate(self.elements):
+            element.number = number
+        for element in reversed(self.elements):
+            above = element.parent
+            if above is not root and self.ends[above.number] < self.ends[element.number]:
+                self.ends[above.number] = self.ends[element.number]
+
+    def _fitting(self, chain: list) -> list[bool]:
+        fits: list[bool] = []
+        for place in range(len(chain) - 1, -1, -1):
+            relation, tests = chain[place]
+            upper, fits, below = fits, [], []
+            for element in self.elements:
+                above = element.parent.number
+                if place == len(chain) - 1:
+                    holds = True
+                elif relation == "+":
+                    holds = element.before is not None and upper[element.before.number]
+                else:
+                    # below: whether an element above this one fits the upper part.
+                    below.append(above >= 0 and (upper[above] or below[above]))
+                    holds = below[-1]
+                fits.append(holds and _fits_one(element, tests))
+        return fits
+
+    def _numbers(self, chains: list) -> list[int]:
+        if id(chains) not in self._known:
+            found = [self._fitting(chain) for chain in chains]
+            numbers = [i for i in range(len(self.elements)) if any(fits[i] for fits in found)]
+            # The chains are kept too, so that no others can get their identity.
+            self._known[id(chains)] = (chains, numbers)
+        return self._known[id(chains)][1]
+
+    def all(self, tiers: list) -> list[Element]:
+        """Every element that fits the first tier with a match. Tiers are given as their :func:`selector_chains`."""
+        return next(([self.elements[i] for i in found] for t in tiers if (found := self._numbers(t))), [])
+
+    def first(self, tiers: list, inside: Element | None = None) -> Element | None:
+        """First element (below ``inside``, if given) that fits the first tier with such a match."""
+        start, end = (0, len(self.elements)) if inside is None else (inside.number + 1, self.ends[inside.number])
+        for chains in tiers:
+            found = self._numbers(chains)
+            at = bisect_left(found, start)
+            if at < len(found) and found[at] < end:
+                return self.elements[found[at]]
+        return None

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfprice.functions import markup
-from shelfprice.functions.markup import all_matches, first_match, read_page, selector_chains
+from shelfprice.functions.markup import Matches, read_page, selector_chains
 from shelfprice.functions.parse import (
     absolutise_url,
     assign_prices,
@@ -35,15 +35,15 @@ PAGE_COLUMNS = ["page_id", "layout", "platform", "captured_at", "url"]
 _ROWS_PER_BATCH = 512
 
 
-def _card_texts(card, rules: dict) -> dict:
-    texts, inside = {}, list(card.elements())
+def _card_texts(page: Matches, card, rules: dict) -> dict:
+    texts = {}
     for field in FIELDS:
         tiers = rules.get(field)
         if field == "link":
-            element = card if tiers is None else first_match(inside, tiers)
+            element = card if tiers is None else page.first(tiers, card)
             texts[field] = element.attrs.get("href", "") if element is not None else None
         else:
-            element = first_match(inside, tiers) if tiers else None
+            element = page.first(tiers, card) if tiers else None
             texts[field] = element.text() if element is not None else None
     return texts
 
@@ -51,13 +51,14 @@ def _card_texts(card, rules: dict) -> dict:
 def _page_cards(html: str, rules: dict) -> list[dict]:
     """One entry per card; a card or page that cannot be read gives an entry with ``error``."""
     try:
-        cards = all_matches(list(read_page(html or "").elements()), rules["cards"])
+        matches = Matches(read_page(html or ""))
+        cards = matches.all(rules["cards"])
     except Exception as error:
         return [{"error": f"page: {error}"}]
     found = []
     for number, card in enumerate(cards):
         try:
-            found.append({"card_no": number, **_card_texts(card, rules)})
+            found.append({"card_no": number, **_card_texts(matches, card, rules)})
         except Exception as error:
             found.append({"card_no": number, "error": f"card: {error}"})
     return found or [{}]

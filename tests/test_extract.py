@@ -1,16 +1,17 @@
 import datetime
+import time
 
 import pytest
 
-from shelfprice.functions.markup import all_matches, first_match, read_page, selector_chains
+from shelfprice.functions.markup import Matches, read_page, selector_chains
 from shelfprice.operators import extract
 from shelfprice.schema import PAGE_SCHEMA
 
 NOW = datetime.datetime(2024, 3, 10, 2, 30, 15, 999999)  # inside a daylight-saving gap
 
 
-def elements(html):
-    return list(read_page(html).elements())
+def matches(html):
+    return Matches(read_page(html))
 
 
 def tiers(*groups):
@@ -18,7 +19,7 @@ def tiers(*groups):
 
 
 def texts(html, group):
-    return [e.text() for e in all_matches(elements(html), tiers(group))]
+    return [e.text() for e in matches(html).all(tiers(group))]
 
 
 @pytest.mark.parametrize(
@@ -49,10 +50,27 @@ def test_selectors(html, group, found):
 
 
 def test_first_tier_with_a_match_wins():
-    nodes = elements("<b>1</b><i>2</i><i>3</i>")
-    assert [e.text() for e in all_matches(nodes, tiers("u", "i", "b"))] == ["2", "3"]
-    assert first_match(nodes, tiers("u", "i", "b")).text() == "2"
-    assert first_match(nodes, tiers("u")) is None
+    page = matches("<b>1</b><i>2</i><i>3</i>")
+    assert [e.text() for e in page.all(tiers("u", "i", "b"))] == ["2", "3"]
+    assert page.first(tiers("u", "i", "b")).text() == "2"
+    assert page.first(tiers("u")) is None
+
+
+def test_first_inside_an_element():
+    page = matches("<div class=c><p><b>1</b></p></div><b>2</b><div class=c><b>3</b><b>4</b></div><div class=c></div>")
+    inside = [page.first(tiers("b"), card) for card in page.all(tiers(".c"))]
+    assert [e.text() if e else None for e in inside] == ["1", "3", None]
+    assert [e.text() for e in page.all(tiers(".c p b, .c+b"))] == ["1", "2"]
+
+
+def test_deeply_nested_pages_take_linear_time():
+    times, card, field = [], tiers("div .c"), tiers("div .c i")
+    for depth in (5_000, 20_000):
+        start = time.perf_counter()
+        page = matches("<div class='c'><i>" * depth + "</b>" * depth)
+        assert sum(page.first(field, found) is not None for found in page.all(card)) == depth - 1
+        times.append(time.perf_counter() - start)
+    assert times[1] < 12 * times[0]
 
 
 def pages(spark, *rows):
@@ -98,7 +116,7 @@ def test_empty_unknown_and_unreadable_pages_do_not_stop_the_run(spark, monkeypat
 
 
 def test_a_broken_card_is_isolated(monkeypatch):
-    def fails_on_second(card, rules, seen=[]):
+    def fails_on_second(page, card, rules, seen=[]):
         seen.append(card)
         if len(seen) == 2:
             raise ValueError("odd card")
