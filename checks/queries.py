@@ -927,7 +927,104 @@ GROUP BY platform, brand""",
     ),
 )
 
-register("report_json", on_cleaned(report.report_json))
+GENERATED_AT = "2024-01-01T00:00:00"
+register("report_json", on_cleaned(lambda df: report.report_json(df, GENERATED_AT)))
+
+
+def report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The saved report document, read back and laid out as rows: section, key, value."""
+    path = new_path(spark, "report")
+    write_report(fx.cleaned_listings(spark, sf), path, GENERATED_AT)
+    saved = read_report(spark, path)
+
+    def rows(section: str, entries: Column, key: Callable, value: Callable) -> DataFrame:
+        parts = F.transform(entries, lambda e: F.struct(key(e).alias("key"), value(e).cast("double").alias("value")))
+        return saved.select(F.lit(section).alias("section"), F.inline(parts))
+
+    def listing(e: Column) -> Column:
+        return F.concat_ws("|", e["platform"], e["brand"], e["product_name"])
+
+    overview, deep = F.map_entries("platform_overview"), F.map_entries("discount_behaviour.over_50pct_per_platform")
+    extremes, brands = F.map_entries("price_analysis.extremes_per_platform"), F.col("brand_analysis")
+    prices, spread = F.col("price_analysis"), F.col("discount_behaviour.distribution")
+    parts = [
+        rows("total_rows", F.array("total_rows"), lambda e: F.lit(""), lambda e: e),
+        *[
+            rows(m, overview, lambda e: e["key"], lambda e, m=m: e["value"][m])
+            for m in ("total_products", "avg_current_price", "avg_discount_pct", "pct_products_with_discount")
+        ],
+        *[rows(m, F.array(spread[m]), lambda e: F.lit(""), lambda e: e) for m in _SPREAD],
+        rows("most_discounted", F.col("discount_behaviour.top10_most_discounted"), listing, lambda e: e["discount_pct"]),
+        rows("over_50pct", deep, lambda e: e["key"], lambda e: e["value"]),
+        *[
+            rows(v, brands[name], lambda e: e["brand"], lambda e, v=v: e[v])
+            for name, v in (
+                ("top10_by_product_count", "product_count"),
+                ("top10_by_avg_discount", "avg_discount"),
+                ("top10_by_avg_price", "avg_price"),
+            )
+        ],
+        rows("bucket_counts", prices["bucket_counts"], lambda e: e["price_bucket"], lambda e: e["product_count"]),
+        rows(
+            "bucket_prices",
+            prices["avg_price_per_platform_per_bucket"],
+            lambda e: F.concat_ws("|", e["platform"], e["price_bucket"]),
+            lambda e: e["avg_price"],
+        ),
+        *[
+            rows(
+                side,
+                extremes,
+                lambda e, side=side: F.concat_ws("|", e["key"], e["value"][side]["brand"], e["value"][side]["product_name"]),
+                lambda e, side=side: e["value"][side]["current_price"],
+            )
+            for side in ("cheapest", "most_expensive")
+        ],
+        rows("key_insights", F.col("key_insights"), lambda e: e, lambda e: F.lit(0)),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+_SPREAD = ("min", "max", "mean", "median", "count_above_50pct")
+
+
+def _section(name: str, key: str, value: str, twin: str) -> str:
+    return f"""SELECT '{name}' AS section, {key} AS "key", CAST({value} AS DOUBLE) AS "value" FROM ({ORACLES[twin]}) q"""
+
+
+_TITLE = "array_to_string([upper(x[1]) || x[2:] FOR x IN string_split(subject, ' ')], ' ')"
+_INSIGHT = f"""CASE insight_no WHEN 1 THEN {_TITLE} || ' discounts deepest: ' || printf('%.1f%%', "value") || ' off on average.'
+  WHEN 2 THEN {_TITLE} || ' discounts most often: ' || printf('%.1f%%', "value") || ' of its listings.'
+  WHEN 3 THEN printf('%.0f', "value") || ' listings (' || printf('%.1f%%', share) || ') are more than 50% off.'
+  WHEN 4 THEN 'Most listings cost ' || subject || ': ' || printf('%.0f', "value") || ' (' || printf('%.1f%%', share) || ').'
+  ELSE {_TITLE} || ' is the dearest platform: ' || printf('%.2f', "value") || ' on average.' END"""
+register(
+    "report_rows",
+    report_rows,
+    " UNION ALL ".join(
+        [
+            _section("total_rows", "''", "total_rows", "dataset_header"),
+            *[
+                _section(m, "platform", m, "platform_overview")
+                for m in ("total_products", "avg_current_price", "avg_discount_pct", "pct_products_with_discount")
+            ],
+            *[_section(m, "''", m, "discount_distribution") for m in _SPREAD],
+            _section("most_discounted", "concat_ws('|', platform, brand, product_name)", "discount_pct", "top_discounted"),
+            _section("over_50pct", "platform", "listings", "over50_by_platform"),
+            _section("product_count", "brand", "product_count", "top_brands_count"),
+            _section("avg_discount", "brand", "avg_discount", "top_brands_discount"),
+            _section("avg_price", "brand", "avg_price", "top_brands_price"),
+            _section("bucket_counts", "price_bucket", "product_count", "bucket_counts"),
+            _section("bucket_prices", "concat_ws('|', platform, price_bucket)", "avg_price", "bucket_avg_price"),
+            _section("cheapest", "concat_ws('|', platform, cheapest_brand, cheapest_name)", "cheapest_price", "price_extremes"),
+            _section("most_expensive", "concat_ws('|', platform, dearest_brand, dearest_name)", "dearest_price", "price_extremes"),
+            _section("key_insights", _INSIGHT, "0", "key_insights"),
+        ]
+    ),
+)
 
 
 def saved_report_kpi(spark: SparkSession, sf: str) -> DataFrame:
