@@ -151,14 +151,19 @@ def _grouped(marks: DataFrame, max_distance: int) -> DataFrame:
 def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One document of each group, that with the smallest id, with its own columns.
 
-    Rows that share that id are one document; the first by text is kept. Where ids are unique nothing
-    but ids, fingerprints and the kept documents is shuffled.
+    Rows that share that id are one document; the first by text is kept. Documents meet the ids that go,
+    which are fewer than those that stay, and texts are grouped only where ids repeat.
     """
-    groups = near_duplicates(docs, shingle_words, max_distance)
-    first = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    chosen = stage(first, "simhash_kept").select(F.col("doc_id").alias("kept_id"))
+    groups = stage(near_duplicates(docs, shingle_words, max_distance), "simhash_components")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(stays).alias("stays"))
+    apart = stage(ids.where("rows > 1 OR NOT stays").select(F.col("doc_id").alias("other_id"), "stays"), "simhash_apart")
     packed = carried(docs, F.col("doc_id").alias("id"))
-    kept = packed.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
-    # Rows of one id meet here; each map task sends one at most.
-    one = kept.groupBy("id").agg(F.min_by(ROW, F.struct(F.coalesce(F.col(f"{ROW}.text"), F.lit("")))).alias(ROW))
-    return unpacked(one)
+    same = F.col("id").eqNullSafe(F.col("other_id"))
+    kept = packed.join(apart, same, "left_anti").select(ROW)
+    repeated = apart.where("stays")
+    if not repeated.isEmpty():
+        # Rows of one id meet here; each map task sends one at most.
+        first = F.min_by(ROW, F.struct(F.coalesce(F.col(f"{ROW}.text"), F.lit("")))).alias(ROW)
+        kept = kept.unionByName(packed.join(repeated, same, "left_semi").groupBy("id").agg(first).select(ROW))
+    return unpacked(kept)
