@@ -19,11 +19,6 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
-def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def carried(df: DataFrame, *more: Column) -> DataFrame:
     """``df`` with its whole row packed in one column, so that no name can clash with those of an operator."""
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(ROW), *more)

@@ -5,7 +5,3 @@ import pytest
 def table(spark, sf_dir):
     """Reader of the driver's tables at the smallest scale."""
     return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

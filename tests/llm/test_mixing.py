@@ -87,7 +87,7 @@ def test_giants_do_not_stay_over(spark):
     data = [(0, "a", "w " * 5000)] + [(i, "a", "w " * 100) for i in range(1, 181)] + [(1000 + i, "b", "w " * 50) for i in range(100)]
     rows = mixing.mix(spark.createDataFrame(data, "doc_id long, source string, text string"), weights=(1, 1)).collect()
     taken = check(rows, {"a": 23000, "b": 5000})
-    assert abs(taken["a"] - rows[0].target if rows[0].source == "a" else 0) <= 100 or taken["a"] % 100 == 0
+    assert abs(taken["a"] - 14_000) <= 100 and abs(taken["b"] - 14_000) <= 50
 
 
 def test_odd_rows(spark):
