@@ -224,8 +224,16 @@ def contaminated(
     return best.join(named, "item").select("doc_id", "item_id", "best.*")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a benchmark passage, with their own columns."""
-    dirty = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("dirty_id")).distinct(), "contaminated")
-    packed = carried(docs, F.col("doc_id").alias("id"))
-    return unpacked(packed.join(dirty, F.col("id").eqNullSafe(F.col("dirty_id")), "left_anti").select(ROW))
+def keep_clean(docs: DataFrame, benchmark: DataFrame, by_text: bool = False) -> DataFrame:
+    """The documents without a benchmark passage, with their own columns.
+
+    With ``by_text`` rows that share a doc_id are documents of their own, known by a hash of the text as well,
+    so that a clean text stays beside another one of its id.
+    """
+    text_hash = F.xxhash64("text") if by_text else F.lit(0).cast("bigint")
+    known = docs.select(F.struct("doc_id", text_hash.alias("text_hash")).alias("doc_id"), "text")
+    dirty = contaminated(known, benchmark).select(F.col("doc_id.doc_id").alias("dirty_id"), F.col("doc_id.text_hash").alias("dirty_hash"))
+    dirty = stage(dirty.distinct(), "contaminated")
+    packed = carried(docs, F.col("doc_id").alias("id"), text_hash.alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("dirty_id")) & (F.col("hash") == F.col("dirty_hash"))
+    return unpacked(packed.join(dirty, same, "left_anti").select(ROW))

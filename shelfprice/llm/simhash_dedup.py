@@ -135,11 +135,12 @@ def _matches(probes: DataFrame, table: DataFrame, on: list[str], near: Column) -
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id`` (the smallest id of its group)."""
     marks = stage(fingerprints(docs, shingle_words), "simhash_marks")
-    return _grouped(marks, max_distance)
+    return _grouped(marks, F.min("doc_id"), max_distance)
 
 
-def _grouped(marks: DataFrame, max_distance: int) -> DataFrame:
-    distinct = stage(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash_distinct")
+def _grouped(marks: DataFrame, least: Column, max_distance: int) -> DataFrame:
+    """``marks`` with ``component_id``, the least of the group by the aggregate ``least`` of a fingerprint's rows."""
+    distinct = stage(marks.groupBy("fp").agg(least.alias("first")), "simhash_distinct")
     roots = connected_components(links(distinct.select("fp"), max_distance).distinct())
     of = roots.select(F.col("node").alias("fp"), "root")
     rooted = stage(distinct.join(of, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash_roots")
@@ -149,21 +150,26 @@ def _grouped(marks: DataFrame, max_distance: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """One document of each group, that with the smallest id, with its own columns.
+    """One document of each group, that with the smallest id (NULL last), with its own columns.
 
-    Rows that share that id are one document; the first by text is kept. Documents meet the ids that go,
-    which are fewer than those that stay, and texts are grouped only where ids repeat.
+    Rows are known by id and a hash of the text, so unlike texts that share an id are documents of their own;
+    of one id in a group the least hash is kept, and of rows that agree in both one. Documents meet those that
+    go, which are fewer than those that stay, and rows are grouped only where id and text repeat.
     """
-    groups = stage(near_duplicates(docs, shingle_words, max_distance), "simhash_components")
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(stays).alias("stays"))
-    apart = stage(ids.where("rows > 1 OR NOT stays").select(F.col("doc_id").alias("other_id"), "stays"), "simhash_apart")
-    packed = carried(docs, F.col("doc_id").alias("id"))
-    same = F.col("id").eqNullSafe(F.col("other_id"))
+    known = F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id")
+    marks = stage(fingerprints(docs.select(known, "text"), shingle_words).select("doc_id.*", "fp"), "simhash_marks")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    groups = _grouped(marks, F.min(order), max_distance).withColumn("stays", order == F.col("component_id"))
+    groups = stage(groups.select("doc_id", "text_hash", "stays"), "simhash_components")
+    rows = groups.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("stays").alias("stays"))
+    apart = rows.where("rows > 1 OR NOT stays").select(F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash"), "stays")
+    apart = stage(apart, "simhash_apart")
+    packed = carried(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("other_id")) & (F.col("hash") == F.col("other_hash"))
     kept = packed.join(apart, same, "left_anti").select(ROW)
     repeated = apart.where("stays")
     if not repeated.isEmpty():
-        # Rows of one id meet here; each map task sends one at most.
-        first = F.min_by(ROW, F.struct(F.coalesce(F.col(f"{ROW}.text"), F.lit("")))).alias(ROW)
-        kept = kept.unionByName(packed.join(repeated, same, "left_semi").groupBy("id").agg(first).select(ROW))
+        # Rows of one id and text meet here; each map task sends one at most.
+        first = F.min_by(ROW, F.xxhash64(F.to_json(ROW))).alias(ROW)
+        kept = kept.unionByName(packed.join(repeated, same, "left_semi").groupBy("id", "hash").agg(first).select(ROW))
     return unpacked(kept)

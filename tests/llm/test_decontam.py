@@ -94,3 +94,9 @@ def test_repeated_rows_extra_columns_and_empty_tables(spark):
     assert clean.columns == docs.columns and [r.text for r in clean.collect()] == ["clean text"]
     assert decontam.keep_clean(docs, items.limit(0)).count() == 6
     assert decontam.contaminated(docs.limit(0), items).count() == 0
+
+
+def test_clean_texts_stay_beside_others_of_their_id(spark):
+    docs, items = frames(spark, [(1, ITEM), (1, "clean"), (None, ITEM), (None, "clean too"), (None, None), (2, "clean")], [(1, ITEM)])
+    kept = decontam.keep_clean(docs, items, by_text=True).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == [(1, "clean"), (2, "clean"), (None, "clean too"), (None, None)]

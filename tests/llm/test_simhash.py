@@ -125,3 +125,16 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash_dedup.keep_first(docs.limit(0)).count() == 0
     assert simhash_dedup.near_duplicates(docs.limit(0)).count() == 0
     assert simhash_dedup.near_duplicates(docs).where(F.col("component_id") == 3).count() == 4
+
+
+def test_unlike_texts_of_one_id_stay(spark):
+    """Each group keeps one document, whatever ids are NULL, repeated or spread over groups."""
+    base = " ".join(f"w{i}" for i in range(40))
+    data = [
+        (3, base), (None, base), (None, "zz yy xx"), (None, "quite another text"), (None, "quite another text"),
+        (4, "spread over groups"), (4, "and over this one"), (5, "and over this one"), (4, base),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("tags", F.create_map(F.lit("a"), F.lit(1)))
+    kept = sorted(((r.doc_id, r.text) for r in simhash_dedup.keep_first(docs).collect()), key=repr)
+    want = [(3, base), (4, "spread over groups"), (4, "and over this one"), (None, "zz yy xx"), (None, "quite another text")]
+    assert kept == sorted(want, key=repr)
