@@ -1,9 +1,15 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct and coreferent.
 
 Detected kinds: e-mail and IP addresses, phone, card and social security numbers, IBANs, secrets that are
-assigned to a telling name, and names of persons behind a title. Each entity is first brought to a normal
-value (case, separators and country code do not make another entity), and the surrogate depends on the key,
-the kind and this value alone, so an entity has one surrogate wherever and however it is written.
+assigned to a telling name, and names of persons behind a title, with their other mentions in the same
+document, before or after, whose words begin with a capital. Each entity is first brought to a normal value (case,
+separators and country code do not make another entity), and the surrogate depends on the key, the kind and
+this value alone, so an entity has one surrogate wherever and however it is written.
+
+The kind of a given name holds the gender that the titles of the person tell anywhere in the document, so
+``Dr Anna Weber`` is renamed as ``Mrs Anna Weber`` beside it is. Where two persons of a document share a given
+name, a mention by it alone belongs to the one named last. A word that is a name in a document counts as one
+wherever it is capitalised there.
 
 Numbers, addresses and secrets go through a keyed permutation of all strings of their format, so distinct
 values cannot meet: digits stay digits, letters stay letters of their script and case, a card number keeps
@@ -24,6 +30,8 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -62,10 +70,11 @@ TITLES = {
 }
 _TITLE_FORMS = [form for t in TITLES for form in {t, t.upper()}]
 _GENDER = {t.casefold(): g for t, g in TITLES.items()}
-_PERSON = regex.compile(
-    r"(?<!\w)(?P<title>" + "|".join(sorted(map(regex.escape, _TITLE_FORMS), key=len, reverse=True)) + r")(?!\w)\.?[ \t]+"
-    r"(?P<name>\p{Lu}[\p{L}']+(?:[ \-]\p{Lu}[\p{L}']+){0,3})"
-)
+_ANY_TITLE = "(?:" + "|".join(sorted(map(regex.escape, _TITLE_FORMS), key=len, reverse=True)) + r")(?!\w)"
+# A word of a name; neither a title nor the ending of a genitive belongs to it.
+_NAME = rf"(?!{_ANY_TITLE})\p{{Lu}}(?:\p{{L}}|'(?=\p{{L}})(?!s(?!\w)))+"
+_PERSON = regex.compile(rf"(?<!\w)(?:(?P<title>{_ANY_TITLE})\.?[ \t]+)+(?P<name>{_NAME}(?:[ \-]{_NAME}){{0,3}})")
+_NAME_WORD = regex.compile(rf"(?<!\w){_NAME}(?!\w)")
 
 
 def _lines_with(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
@@ -106,18 +115,75 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             a, b = m.span(kind)
             found.append((a, b, kind, _normal(kind, text[a:b])))
     if any(form in text for form in _TITLE_FORMS):
-        for m in _PERSON.finditer(text):
-            gender = _GENDER[m["title"].casefold()]
-            parts = list(regex.finditer(r"[\p{L}']+", m["name"]))
-            for i, p in enumerate(parts):
-                kind = "family" if i == len(parts) - 1 else "given_" + gender
-                a = m.start("name") + p.start()
-                found.append((a, a + len(p[0]), kind, p[0].casefold()))
+        titled, bare = _persons(text)
+        found += titled
         found.sort()
         found = [x for i, x in enumerate(found) if i == 0 or x[0] >= max(y[1] for y in found[max(0, i - 8) : i])]
+        ends = [x[1] for x in found]
+        # A mention is taken if the first entity that ends behind its start begins behind it.
+        after = [bisect_right(ends, x[0]) for x in bare]
+        free = [x for x, i in zip(bare, after, strict=True) if i == len(found) or found[i][0] >= x[1]]
+        found = sorted(found + free)
     return found
 
 
+def _persons(text: str) -> tuple[list[tuple[int, int, str, str]], list[tuple[int, int, str, str]]]:
+    """Words of names behind titles, and words of the same names elsewhere, as ``entities`` has them."""
+    people = []
+    for m in _PERSON.finditer(text):
+        gender = next(filter(None, (_GENDER[t.casefold()] for t in m.captures("title"))), "")
+        at = m.start("name")
+        people.append((gender, [(at + p.start(), at + p.end(), p[0].casefold()) for p in regex.finditer(r"[\p{L}']+", m["name"])]))
+    givens = {w for _, parts in people for _, _, w in parts[:-1]}
+    families = {parts[-1][2] for _, parts in people if len(parts) > 1}
+    # Genders by person (first and last word of the name), and of a given name that stands alone.
+    genders: dict[tuple[str, str], set[str]] = defaultdict(set)
+    for gender, parts in people:
+        first, last = parts[0][2], parts[-1][2]
+        if gender and len(parts) > 1:
+            genders[first, last].add(gender)
+        elif gender and last in givens and last not in families:
+            genders[last, ""].add(gender)
+
+    def gender_of(first: str, last: str) -> str:
+        told = genders.get((first, last)) or genders.get((first, ""), set())
+        if not last:
+            told = {g for (w, _), gs in genders.items() if w == first for g in gs}
+        return next(iter(told)) if len(told) == 1 else ""
+
+    titled = []
+    known: dict[str, list[tuple[int, str]]] = defaultdict(list)
+    full = {}
+    for gender, parts in people:
+        alone = len(parts) == 1 and parts[0][2] in givens and parts[0][2] not in families
+        first, last = parts[0][2], "" if alone else parts[-1][2]
+        given = "given_" + (gender or gender_of(first, last))
+        if len(parts) > 1:
+            full[first, last] = given
+        for i, (a, b, word) in enumerate(parts):
+            kind = given if alone or i < len(parts) - 1 else "family"
+            titled.append((a, b, kind, word))
+            known[word].append((a, kind))
+    if not people:
+        return [], []
+    bare = []
+    before = None  # the last bare mention and where it stands in the text
+    for m in _NAME_WORD.finditer(text):
+        word = m[0].casefold()
+        mentions = known.get(word)
+        if mentions is None:
+            before = None
+            continue
+        i = bisect_right(mentions, (m.start(), "\uffff"))
+        kind = mentions[max(0, i - 1)][1]
+        if before and before[1] + 1 == m.start() and text[before[1]] in " -" and (before[3], word) in full:
+            bare[-1] = (*before[:2], full[before[3], word], before[3])
+            kind = "family"
+        before = (m.start(), m.end(), kind, word)
+        bare.append(before)
+    return titled, bare
+
+
 # --- surrogates ----------------------------------------------------------------------------------
 
 _ALPHABETS = [

@@ -117,3 +117,27 @@ def test_spans_point_at_surrogates(spark, table):
             assert r.text[s.start : s.end] == s.surrogate
         originals = {v for _, _, _, v in surrogates.entities(old[r.doc_id])}
         assert not originals & {v for _, _, _, v in surrogates.entities(r.text)}
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Mrs Anna Weber called. Later Weber said", [("given_f", "Anna"), ("family", "Weber"), ("family", "Weber")]),
+        ("WEBER came, Anna's too. Mrs Anna Weber's car, weber webers Webern", [("family", "WEBER"), ("given_f", "Anna"), ("given_f", "Anna"), ("family", "Weber")]),
+        ("Dr Anna Weber, Mrs Anna Weber", [("given_f", "Anna"), ("family", "Weber")] * 2),
+        ("Frau Anna Weber, Frau Anna", [("given_f", "Anna"), ("family", "Weber"), ("given_f", "Anna")]),
+        ("Herr Dr. Weber. Dr Weber", [("family", "Weber")] * 2),
+        ("Mr Kim Lee, Mrs Kim Park. Kim Lee. Kim", [("given_m", "Kim"), ("family", "Lee"), ("given_f", "Kim"), ("family", "Park"), ("given_m", "Kim"), ("family", "Lee"), ("given_f", "Kim")]),
+        ("Mrs Weber. Weber@mail.example.com", [("family", "Weber"), ("email", "Weber@mail.example.com")]),
+        ("Госпожа Анна Иванова. Иванова", [("given_f", "Анна"), ("family", "Иванова"), ("family", "Иванова")]),
+    ],
+)
+def test_other_mentions_of_titled_names(text, found):
+    assert kinds(text) == found
+
+
+def test_one_surrogate_for_all_mentions(spark):
+    out = rewritten(spark, ["Mrs Anna Weber called. Later Weber said that Dr Anna Weber is WEBER."])[0]
+    given, family = out.removeprefix("Mrs ").split()[:2]
+    assert out == f"Mrs {given} {family} called. Later {family} said that Dr {given} {family} is {family.upper()}."
+    assert family != "Weber" and given != "Anna"
