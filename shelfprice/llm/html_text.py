@@ -6,10 +6,12 @@ blocks of the page and divided by their number. These ratios are fused into one
 along the page, more strongly the more of their paths two neighbours share, and averaged over each path
 again. Paths with a fair part of the best score are content, and so are the shorter parts of running text
 (headings, lists, tables) in the same containers, if they are not mostly links; their blocks are the text.
+The body is such a container if paragraphs on content paths lie directly in it.
 
 Elements that are never article text (scripts, styles, forms, menus, headers, footers, sidebars, notices,
 adverts and reader comments, known by tag, role, class or id) are left out before the ratios are formed;
-paths inside ``article`` or ``main`` start with a higher score.
+paths inside ``article`` or ``main`` start with a higher score. A form that holds more than half of the page's
+sentences is no form to fill in but holds the page, and stays.
 
 Defined results: NULL, empty and text-less pages give ''; broken markup (unclosed or stray tags, comments
 without an end) is read as far as it goes; character references are decoded; white space inside a block,
@@ -21,7 +23,7 @@ from __future__ import annotations
 import html
 import re
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -72,9 +74,12 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
+_SENTENCE = re.compile(r"[.!?…。！？]")
+
 # --- scores --------------------------------------------------------------------------------------
 
-# Elements that lie deeper belong to the element at this depth, so that nesting costs no more than this per tag.
+# Elements that lie deeper belong to the element at this depth, so that nesting costs no more than this per tag;
+# the outermost of those that are left out is kept apart.
 MAX_DEPTH = 256
 ARTICLE_PRIOR = 5.0
 STRANGERS = 0.03
@@ -89,12 +94,14 @@ def _attributes(rest: str) -> dict[str, str]:
 
 
 def _is_left_out(tag: str, rest: str, in_article: bool) -> bool:
-    if tag in _LEFT_OUT or (tag == "header" and not in_article):
+    """Whether an element is left out, whatever it holds; of a form only what tells more than that it is one counts."""
+    if (tag in _LEFT_OUT and tag != "form") or (tag == "header" and not in_article):
         return True
     attributes = _attributes(rest)
     if not attributes or (tag in _WHOLE and not (tag == "article" and "comment" in attributes.get("class", ""))):
         return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in _ROLES:
+    own = {"form"} if tag == "form" else set()
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or (attributes.get("role") in _ROLES - own):
         return True
     if "display:none" in attributes.get("style", "").replace(" ", ""):
         return True
@@ -102,7 +109,7 @@ def _is_left_out(tag: str, rest: str, in_article: bool) -> bool:
         parts = set(re.split(r"[^a-z0-9]+", name))
         if parts & {"has", "with", "no", "without", "is"}:
             continue
-        if parts & _NAMES or (parts & _HEADERS and not in_article):
+        if parts & (_NAMES - own) or (parts & _HEADERS and not in_article):
             return True
     return False
 
@@ -113,7 +120,11 @@ class _Page:
     def __init__(self) -> None:
         self.open: list[tuple[str, bool]] = []  # (tag, left out with all inside)
         self.labels: list[str] = []  # tag and class of the same elements, as they stand in paths
+        # Of the element at that place: open elements inside it, by tag, that lie too deep to be listed.
+        self.deep: dict[int, Counter[str]] = {}
         self.blocks: list[tuple[tuple[str, ...], str, float]] = []
+        self.forms: list[int] = []  # number of the form that holds the same block, 0 for none
+        self.n_forms = 0
         self.parts: list[str] = []
         self.linked = 0
 
@@ -121,7 +132,7 @@ class _Page:
         if not raw or (self.open and self.open[-1][1]):
             return
         self.parts.append(raw)
-        if any(tag == "a" for tag, _ in self.open[-4:]):
+        if any(tag == "a" for tag, _ in self.open[-4:]) or (self.deep and self._inside()["a"]):
             self.linked += len(raw)
 
     def flush(self) -> None:
@@ -131,27 +142,38 @@ class _Page:
             if text:
                 path = tuple(label for (tag, _), label in zip(self.open, self.labels, strict=True) if tag in _BLOCK)
                 self.blocks.append((path, text, min(1.0, self.linked / len(raw))))
+                self.forms.append(self.n_forms if any(tag == "form" for tag, _ in self.open) else 0)
         self.parts, self.linked = [], 0
 
+    def _inside(self) -> Counter[str]:
+        return self.deep.get(len(self.open) - 1) or Counter()
+
     def start(self, tag: str, rest: str) -> None:
         block = tag in _BLOCK
         if block:
             self.flush()
-            self._end_implied(tag)
+            if not self.deep or not self._inside().total():
+                self._end_implied(tag)
         elif tag == "br":
             self.parts.append(" ")
         if tag in _VOID:
             return
-        if len(self.open) >= MAX_DEPTH:
-            return
         outer = bool(self.open) and self.open[-1][1]
         in_article = any(t in ("article", "main") for t, _ in self.open)
-        self.open.append((tag, outer or _is_left_out(tag, rest, in_article)))
+        left_out = outer or _is_left_out(tag, rest, in_article)
+        if len(self.open) >= MAX_DEPTH and (outer or not left_out):
+            self.deep.setdefault(len(self.open) - 1, Counter())[tag] += 1
+            return
+        if tag == "form" and not any(t == "form" for t, _ in self.open):
+            self.n_forms += 1
+        self.open.append((tag, left_out))
         name = _attributes(rest).get("class", "") if block and not outer else ""
         self.labels.append(f"{tag}.{name}" if name else tag)
 
     def _close(self, at: int) -> None:
         del self.open[at:], self.labels[at:]
+        for place in [x for x in self.deep if x >= at]:
+            del self.deep[place]
 
     def _end_implied(self, tag: str) -> None:
         if tag in _ENDS:
@@ -173,6 +195,9 @@ class _Page:
         block = tag in _BLOCK
         if block:
             self.flush()
+        if self.deep and (inside := self._inside())[tag]:
+            inside[tag] -= 1
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self._close(i)
@@ -199,7 +224,13 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             at = close.start() if close else len(page)
     state.text(page[at:])
     state.flush()
-    return state.blocks
+    if not any(state.forms):
+        return state.blocks
+    running: Counter[int] = Counter()
+    for form, (_, text, linked) in zip(state.forms, state.blocks, strict=True):
+        running[form] += len(text) * (1 - linked) if _SENTENCE.search(text) else 0
+    kept = {0, *(f for f, n in running.items() if 2 * n > running.total())}
+    return [b for f, b in zip(state.forms, state.blocks, strict=True) if f in kept]
 
 
 def _tag_of(label: str) -> str:
@@ -254,8 +285,14 @@ def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
     smooth = {path: value / n for path, (value, n) in totals.items()}
     best = max(smooth.values(), default=0.0)
     chosen = {path for path, score in smooth.items() if score >= SHARE_OF_BEST * best}
-    # What holds content paths, unless it is the page as a whole, holds the shorter parts of the same text.
-    containers = {path[:-1] for path in chosen if any(_tag_of(x) not in ("html", "body") for x in path[:-1])}
+    # What holds content paths holds the shorter parts of the same text.
+    containers = set()
+    for path in chosen:
+        in_text = bool(path) and _tag_of(path[-1]) in _IN_TEXT
+        if in_text or any(_tag_of(x) not in ("html", "body") for x in path[:-1]):
+            containers.add(path[:-1])
+        if not in_text:
+            containers.add(path)  # text that lies in it directly
     for path, (_, length, _, linked) in sums.items():
         if path not in chosen and 2 * linked < length and _belongs(path, containers):
             chosen.add(path)

@@ -86,3 +86,32 @@ def test_odd_rows(spark):
     rows = sorted((tuple(r) for r in extract_main_text(df).collect()), key=repr)
     assert rows == sorted([(1, "u", "", 0), (1, "u", "", 0), (None, None, "a", 1), (2, "v", "", 0)], key=repr)
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+PARTS = "<h1>Short</h1>" + "<p>A paragraph, of some length; it goes on, and on, for quite a while, as such things do.</p>" * 6
+PARTS += "<ul><li>one<li>two</ul><table><tr><td>cell</table><p class=s>small</p>"
+
+
+@pytest.mark.parametrize("page", ["<html><body>{}</body></html>", "{}", "<body><div>{}</div></body>", "<body><form id=form>{}<select><option>x</select></form></body>"])
+def test_short_parts_of_an_article_without_container_stay(page):
+    links = "<ul class=top><li><a href=1>Home</a></ul>"
+    lines = main_text(page.format(links + PARTS)).split("\n")
+    assert len(lines) == 11 and [x for x in lines if len(x) < 20] == ["Short", "one", "two", "cell", "small"]
+
+
+def test_headings_between_running_text_of_one_element():
+    text = "Words, and more words; they go on, and on, for quite a while, as such things do. " * 4
+    assert main_text(f"<body><div>{text}<h2>Head</h2>{text}</div><div class=z>Foot</div>").split("\n") == [text.strip(), "Head", text.strip()]
+
+
+def test_forms_to_fill_in_are_left_out():
+    form = "<form><p>Your name, please.</p><p>Name: <input></p></form>"
+    assert main_text(f"<body>{form}{PARTS}{form}</body>") == main_text(f"<body>{PARTS}</body>")
+    assert main_text("<form>Search <input></form>") == ""
+
+
+@pytest.mark.parametrize("depth", [200, 254, 255, 256, 257, 300])
+def test_left_out_elements_at_any_depth(depth):
+    deep = "<div>" * depth + f"{STORY}<nav><ul><li>Away, from. <div>here.</div> Go.</ul> Go.</nav><p>Last, and least. It ends.</p>" + "</div>" * depth
+    assert main_text(f"<body>{deep}<nav>Go, there. Go.</nav></body>").split("\n")[-1] == "Last, and least. It ends."
+    assert "Go" not in main_text(f"<body>{deep}</body>") and "Away" not in main_text(f"<body>{deep}</body>")
