@@ -23,7 +23,8 @@ SPREAD = 65_536
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_text_bytes: int = BROADCAST_TEXT_BYTES) -> bool:
     """Measure, in one pass over a table that is cheap to read, whether it may be broadcast."""
-    texts = [F.octet_length(F.coalesce(f.name, F.lit(""))) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    sized = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name in sized]
     text_bytes = F.coalesce(F.sum(reduce(lambda a, b: a + b, texts, F.lit(0))), F.lit(0))
     rows, size = df.agg(F.count(F.lit(1)), text_bytes).first()
     return rows <= max_rows and size <= max_text_bytes
