@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
+from shelfprice.llm import chat, decontam, fim, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,3 +260,38 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("op10_mix_sources", mix_sources)
+
+# --- op12: fill in the middle ------------------------------------------------------------------
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    digests = [F.sha2(c, 256).alias(f"{name}_sha256") for c, name in (("output", "output"), ("restored", "restored"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def _part_sql(start: str, end: str) -> str:
+    return f"coalesce(array_to_string(u[{start}:{end}], ''), '')"
+
+
+register(
+    "op12_fill_in_middle",
+    fill_in_middle,
+    rf"""
+    WITH drawn AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+        [('0x' || substr(sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')), i, 8))::BIGINT FOR i IN [1, 9, 17, 25]] AS h
+      FROM documents),
+    cut AS (
+      SELECT *, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= {fim.RATE_PERCENT}
+          THEN 'plain' WHEN h[4] % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    parts AS (
+      SELECT *, {_part_sql("1", "a")} AS prefix, {_part_sql("a + 1", "b")} AS middle, {_part_sql("b + 1", "len(u)")} AS suffix FROM cut)
+    SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM parts
+    """,
+)
