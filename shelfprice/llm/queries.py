@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, fim, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
+from shelfprice.llm import chat, decontam, exact_dedup, fim, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,3 +295,17 @@ register(
     FROM parts
     """,
 )
+
+# --- op13: exact duplicates --------------------------------------------------------------------
+
+register(
+    "op13_exact_groups",
+    lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
+    r"""
+    WITH normal AS (
+      SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+      row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+    FROM normal WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST)
+    """,
+)
