@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfprice.llm import chat, decontam, exact_dedup, fim, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
+from shelfprice.llm import chat, decontam, exact_dedup, filter_audit, fim, html_text, line_dedup, lm_score, mixing, quality, simhash_dedup, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -309,3 +309,48 @@ register(
     FROM normal WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST)
     """,
 )
+
+# --- op11: filter interaction audit ------------------------------------------------------------
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+register(
+    "op11_filter_audit",
+    filter_interactions,
+    rf"""
+    WITH texts AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+    marks AS (
+      SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+    cells AS (
+      SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM (
+        SELECT texts.doc_id, part, (len(w) < {filter_audit.MIN_WORDS})::INT
+            + 2 * (100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w))::INT
+            + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {filter_audit.MAX_CAPITALS_PERCENT} * length(t))::INT
+            + 8 * regexp_matches(t, '{filter_audit.SYMBOLS}')::INT
+            + 16 * coalesce(texts.doc_id > min(texts.doc_id) OVER (PARTITION BY t), false)::INT AS mask, good, toxic
+        FROM texts LEFT JOIN marks ON texts.doc_id = marks.doc_id) GROUP BY part, mask),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+    orders AS (
+      SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM letters a JOIN letters b ON a.x <> b.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+        JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+    steps AS (
+      SELECT filter_order, step::INTEGER AS step, bits[step] AS bit, list_sum(bits[1:step]) - bits[step] AS earlier
+      FROM orders, unnest([1, 2, 3, 4, 5]) s(step)),
+    counted AS (
+      SELECT part, filter_order, step, bit,
+        sum(n * (mask & (earlier + bit) = 0)::INT)::BIGINT AS kept,
+        sum(n * (mask & earlier = 0 AND mask & bit > 0)::INT)::BIGINT AS removed,
+        sum(n * (mask & earlier > 0 AND mask & bit > 0)::INT)::BIGINT AS redundant,
+        sum(n * (mask = bit)::INT)::BIGINT AS unique_fails,
+        sum(good * (mask & earlier = 0 AND mask & bit > 0)::INT)::BIGINT AS good_lost,
+        sum(toxic * (mask & earlier = 0 AND mask & bit > 0)::INT)::BIGINT AS toxic_lost
+      FROM cells, steps GROUP BY part, filter_order, step, bit)
+    SELECT * EXCLUDE bit, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counted
+    """,
+)
