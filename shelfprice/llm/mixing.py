@@ -4,17 +4,21 @@ Every document of a source should be taken ``target / source_size`` times. The w
 number is certain; what remains is a probability per document, and pivotal rounding turns these into
 whole copies: two documents meet, mass moves at random from one to the other until one of them is
 integral, and the other goes on with what is left. Mass is counted in words, so every meeting leaves
-the expected copies of both and the words of the source as they were; only the last document of a
-source is rounded on its own.
-
-Meetings form a reduction tree. Documents of a source are dealt into blocks of about ``BLOCK`` by a hash,
-meet one after another inside their block, the largest first so that a small one is left over, and the one left over goes up to the next level, which has
-one document per block of the level below. So the data that is shuffled shrinks by ``BLOCK`` per level
-and no source, however large, meets in one task.
+the expected copies of both and the words of the source as they were; only what is left over last
+in a source is rounded on its own.
+
+What is left over of a meeting is the larger one, as a rule: the smaller one cannot move it to a whole number. So
+sizes are met from large to small, where a large document meets all smaller ones of its source
+together, which share one fraction; they have the room to make it integral, and their fraction moves a little.
+That is done for the documents of over 1 / ``GIANTS`` of their source's words, fewer than ``GIANTS`` a source. The others meet
+in a reduction tree: they are dealt into blocks of about ``BLOCK`` by a hash, meet one after another inside their
+block, and the one left over goes up to the next level, which has one document per block of the level
+below. So the data that is shuffled shrinks by ``BLOCK`` per level, no source, however large, meets in
+one task, and the last one left over holds at most 1 / ``GIANTS`` of the source.
 
 Defined results: NULL texts have size 0; documents of size 0 take nothing; NULL is a source of its own
 and comes last; a source whose documents are all empty has target 0; rows that agree in source,
-document id and size are told apart by a number; an empty table gives an empty result.
+document id and size are told apart by a number; a NULL id is unlike any text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +33,9 @@ from shelfprice.plans.staging import stage
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK = 128
-GIANTS = 20
+GIANTS = 1000
+# Rows that agree in source, id and size are numbered in runs of so many, each by a task of its own.
+RUN = 10_000
 # Fractions nearer than this to a whole number are whole: sums of doubles leave such dust.
 DUST = 1e-9
 
@@ -160,35 +166,51 @@ def pivotal_copies(units: DataFrame, block: int = BLOCK) -> DataFrame:
     return result
 
 
-def _giants_first(units: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Round the giants of each source, documents with over 1 / ``GIANTS`` of its words, before the tree.
+def _large_to_small(giants: Column, fraction: Column, total: Column) -> Column:
+    """The copy of every giant, and the fraction that the documents behind them go on with.
 
-    A tree leaves a large document over, as small ones cannot move it to a whole number. So the fewer
-    than ``GIANTS`` giants of a source meet each other and then all its other documents together as one:
-    these share a fraction, and what that one gains or loses changes this fraction for all of them alike.
-    Returns the giants' copies and the fraction (by source) that the other documents go on with.
+    ``giants`` is sorted from large to small and ``total`` counts the words of the source's open documents. All that are
+    not decided yet share one fraction, so a giant and those behind it are two units that can meet.
     """
-    giants = units.where("giant").select("source", F.struct((-F.col("size")).alias("order"), "id", "size", "mass").alias("unit"))
-    rest = units.where("NOT giant").groupBy("source").agg(F.sum("size").alias("size"))
+    nothing = F.slice(F.transform(giants, lambda u: F.struct(u["id"].alias("id"), u["size"].alias("size"), F.lit(0).alias("copy"))), 1, 0)
+
+    def step(acc: Column, unit: Column) -> Column:
+        size, f, behind = unit["size"], acc["fraction"], acc["left"] - unit["size"]
+        up = F.least(f * size, (1 - f) * behind)
+        down = F.least(f * behind, (1 - f) * size)
+        draw = unit_interval(unit["id"], size, seed=3)
+        # What the giant gains; the others lose it. Nobody behind it, or nothing to move: it is decided alone.
+        gained = F.when(up + down <= size * DUST, F.lit(0.0)).when(draw * (up + down) < down, -up).otherwise(down)
+        share = f + gained / size
+        copy = F.when(share <= DUST, 0).when(share >= 1 - DUST, 1).otherwise((unit_interval(unit["id"], size, seed=2) < share).cast("int"))
+        settled = F.array(F.struct(unit["id"].alias("id"), size.alias("size"), copy.alias("copy")))
+        rest = F.when(behind > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), f - gained / behind))).otherwise(f)
+        return F.struct(F.concat(acc["settled"], settled).alias("settled"), rest.alias("fraction"), behind.alias("left"))
+
+    start = F.struct(nothing.alias("settled"), fraction.alias("fraction"), total.alias("left"))
+    return F.aggregate(giants, start, step)
+
+
+def _giants_first(units: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decide the giants of each source: their copies, and the fraction (by source) of the other documents."""
+    giant = F.when(F.col("giant"), F.struct((-F.col("size")).alias("order"), "id", "size"))
+    blocks = units.groupBy("source").agg(F.sort_array(F.collect_list(giant)).alias("giants"), F.sum("size").alias("total"))
     fractions = sources.select(F.col("source").alias("of"), "fraction")
-    rest = rest.join(fractions, F.col("source").eqNullSafe(F.col("of"))).select(
-        "source",
-        F.struct(
-            F.lit(0.0).alias("order"), F.lit("rest").alias("id"), "size", (F.col("size") * F.col("fraction")).alias("mass")
-        ).alias("unit"),
-    )
-    blocks = giants.unionByName(rest).groupBy("source").agg(F.sort_array(F.collect_list("unit")).alias("units"))
-    met = stage(blocks.select("source", _reduce(F.col("units")).alias("r")), "mixing_giants")
-    done = met.select("source", F.explode("r.settled").alias("u")).select("source", "u.*")
-    left = met.where("r.left IS NOT NULL").select("source", "r.left.*")
-    alone = left.where("id != 'rest'").select("source", "id", "size", _alone())
-    copies = done.where("id != 'rest'").unionByName(alone)
-    fraction = (
-        left.where("id = 'rest'")
-        .select("source", (F.col("mass") / F.col("size")).alias("fraction"))
-        .unionByName(done.where("id = 'rest'").select("source", F.col("copy").cast("double").alias("fraction")))
-    )
-    return copies, fraction
+    known = blocks.join(fractions, F.col("source").eqNullSafe(F.col("of")))
+    decided = known.select("source", _large_to_small(F.col("giants"), F.col("fraction"), F.col("total")).alias("r"))
+    decided = stage(decided, "mixing_giants")
+    copies = decided.select("source", F.explode("r.settled").alias("u")).select("source", "u.*")
+    return copies, decided.select("source", "r.fraction")
+
+
+def _numbered(counted: DataFrame, run: int) -> DataFrame:
+    """One row per document again, with a number among those that agree; many alike are numbered by several tasks."""
+    few = counted.where(F.col("rows") <= run).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    starts = F.sequence(F.lit(1).cast("long"), F.col("rows"), F.lit(run).cast("long"))
+    runs = counted.where(F.col("rows") > run).withColumn("start", F.explode(starts)).repartition("start", "size")
+    last = F.least("rows", F.col("start") + run - 1)
+    many = runs.withColumn("row", F.explode(F.sequence("start", last))).drop("start")
+    return few.unionByName(many).drop("rows")
 
 
 def mix(
@@ -197,9 +219,8 @@ def mix(
     """One row per document: ``doc_id, source, size, source_size, target, copies, taken``."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     counted = sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"))
-    # Rows that agree in all three become units told apart by a number; a NULL id is unlike any text.
-    units = counted.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows")
-    ident = F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("row").cast("string"))
+    units = _numbered(stage(counted, "mixing_counted"), RUN)
+    ident = F.concat(F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")), F.lit("#"), F.col("row"))
     units = stage(units.withColumn("id", ident), "mixing_units")
     targets = source_targets(units.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats)
     rate = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))

@@ -98,3 +98,40 @@ def test_odd_rows(spark):
     check(rows, {None: 2, "x": 7, "y": 3})
     assert mixing.mix(docs.limit(0)).count() == 0
     assert [r.taken for r in mixing.mix(docs.where("text = ''")).collect()] == [0]
+
+
+def test_no_id_is_not_the_id_null(spark):
+    data = [(doc_id, "x", "a b c") for doc_id in (None, "null", "#1", "=", "1#1", "1")] * 3 + [(None, None, "a b c")]
+    docs = spark.createDataFrame(data, "doc_id string, source string, text string")
+    rows = mixing.mix(docs).collect()
+    assert sorted((r.doc_id or "", r.source or "") for r in rows) == sorted((i or "", s or "") for i, s, _ in data)
+    check(rows, {"x": 54, None: 3})
+
+
+def test_many_alike_are_numbered_by_several_tasks(spark):
+    counted = spark.createDataFrame([("a", None, 3, 25), ("a", 1, 3, 1), ("b", 2, 4, 10)], "source string, doc_id long, size long, rows long")
+    got = sorted((r.source, r.doc_id or 0, r.row) for r in mixing._numbered(counted, 10).collect())
+    assert got == sorted([("a", 0, i) for i in range(1, 26)] + [("a", 1, 1)] + [("b", 2, i) for i in range(1, 11)])
+
+
+def test_the_miss_is_a_small_document(spark):
+    """Sizes from 20 to 9000 words: a large one left over would miss by far more than the median."""
+    docs = spark.range(1500).selectExpr(
+        "id AS doc_id", "concat('s', id % 3) AS source", "repeat('w ', cast(20 + 9000 * pow((id * 7919 % 1500) / 1500.0, 8) as int)) AS text"
+    )
+    rows = mixing.mix(docs, weights=(3, 2, 2)).collect()
+    target, sizes = {r.source: r.target for r in rows}, {r.source: r.source_size for r in rows}
+    median = {s: sorted(r.size for r in rows if r.source == s)[250] for s in sizes}
+    for source, words in check(rows, sizes).items():
+        assert abs(words - target[source]) <= median[source]
+
+
+def test_expected_copies_of_giants_are_kept(spark):
+    """Sources of three unlike documents, each wanted at three tenths: over many sources every place gets its share."""
+    sizes = (50, 30, 20)
+    docs = [(s * 10 + i, f"s{s:04}", "w " * n) for s in range(800) for i, n in enumerate(sizes)] + [(99_999, "t", "w " * 24_130)]
+    rows = mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, text string"), weights=(1,)).collect()
+    assert {round(r.target / r.source_size, 9) for r in rows if r.source != "t"} == {1.3}
+    for size in sizes:
+        copies = [r.copies for r in rows if r.size == size]
+        assert set(copies) == {1, 2} and abs(sum(copies) / 800 - 1.3) < 0.06
