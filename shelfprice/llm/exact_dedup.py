@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfprice.llm.text import BLANKS, carried, unpacked
+from shelfprice.llm.text import BLANKS, ROW, carried, unpacked
 from shelfprice.plans.joins import BROADCAST_ROWS, attach_groups
 from shelfprice.plans.staging import stage
 
@@ -35,7 +35,7 @@ GROWTH = 8
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """All rows, packed, with a number of their own that is written with them and so never changes."""
-    return carried(docs, docs["doc_id"], docs["text"], F.monotonically_increasing_id().alias("row"))
+    return carried(docs, F.monotonically_increasing_id().alias("row"))
 
 
 def _digit(text: Column, width: int) -> tuple[Column, Column]:
@@ -46,7 +46,7 @@ def _digit(text: Column, width: int) -> tuple[Column, Column]:
 def _rounds(numbered: DataFrame, digit_bytes: int, growth: int, max_broadcast_rows: int) -> list[DataFrame]:
     """Per round, the rows that leave in it: ``row, doc_id, text_sha256`` and ``node``, NULL for one without company."""
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), BLANKS, " ")
-    texts = numbered.select("row", "doc_id", normal.alias("text"))
+    texts = numbered.select("row", f"{ROW}.doc_id", f"{ROW}.text").select("row", "doc_id", normal.alias("text"))
     first = texts.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"), F.col("text").cast("binary").alias("text"))
     width = digit_bytes
     known = ["row", "doc_id", "text_sha256"]

@@ -203,28 +203,57 @@ def line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(spans, ",").alias("removed"))
 
 
-_LOWERED = "translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK = r"[\x20\x09-\x0D]"
 
 register(
     "op6_line_repeats",
     line_repeats,
     rf"""
     WITH lines AS (
-      SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-        generate_subscripts(string_split(text, chr(10)), 1) AS unit FROM documents),
+      SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS unit FROM (
+        SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+    cut AS (
+      SELECT *, regexp_extract_all(line, '{_BLANK}*[^{_BLANK[1:]}+') AS tokens,
+        (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit))::BIGINT - length(line) - 1 AS start FROM lines),
     placed AS (
-      SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id, text ORDER BY unit) - length(line) - 1 AS start,
-        trim(regexp_replace({_LOWERED}, '[ 	-
-]+', ' ', 'g'), ' ') AS normal
-      FROM lines),
-    ranked AS (
-      SELECT *, length(normal) - length(replace(normal, ' ', '')) >= {line_dedup.MIN_WORDS - 1}
-          AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit) > 1 AS repeated
-      FROM placed)
-    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (WHERE NOT repeated), '') AS text,
-      count_if(repeated)::BIGINT AS n_removed,
-      coalesce(string_agg(start || '-' || (start + length(line)), ',' ORDER BY unit) FILTER (WHERE repeated), '') AS removed
-    FROM ranked GROUP BY doc_id
+      SELECT doc_id, unit, k, start, tokens[k] AS token,
+        translate(regexp_replace(tokens[k], '^{_BLANK}+', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word,
+        row_number() OVER (PARTITION BY doc_id ORDER BY unit, k) AS pos,
+        start + (sum(length(tokens[k])) OVER (PARTITION BY doc_id, unit ORDER BY k))::BIGINT AS stop
+      FROM (SELECT *, unnest(range(1, len(tokens) + 1)) AS k FROM cut)),
+    texts AS (SELECT doc_id, list(word ORDER BY pos) AS w FROM placed GROUP BY doc_id),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(w[i:i + {line_dedup.PASSAGE - 1}], ' ')) AS run
+      FROM (SELECT *, unnest(range(1, len(w) - {line_dedup.PASSAGE - 2})) AS i FROM texts)),
+    later AS (
+      SELECT doc_id, i FROM (
+        SELECT *, first_value(doc_id) OVER r AS first_doc, first_value(i) OVER r AS first_i FROM windows
+        WINDOW r AS (PARTITION BY run ORDER BY doc_id, i))
+      WHERE NOT (doc_id = first_doc AND i < first_i + {line_dedup.PASSAGE})),
+    marked AS (
+      SELECT placed.*, coalesce(max(i) OVER (PARTITION BY placed.doc_id ORDER BY pos) > pos - {line_dedup.PASSAGE}, false) AS gone
+      FROM placed LEFT JOIN later ON placed.doc_id = later.doc_id AND pos = i),
+    edges AS (
+      SELECT *, bool_and(gone) OVER (PARTITION BY doc_id, unit) AS whole,
+        gone AND NOT coalesce(lag(gone) OVER u, false) AS opens, gone AND NOT coalesce(lead(gone) OVER u, false) AS closes
+      FROM marked WINDOW u AS (PARTITION BY doc_id, unit ORDER BY k)),
+    kept AS (
+      SELECT cut.doc_id, cut.unit, coalesce(any_value(whole), false) AS whole,
+        coalesce(string_agg(token, '' ORDER BY k) FILTER (WHERE NOT gone), '')
+          || any_value(regexp_extract(line, '{_BLANK}*$')) AS rest,
+        any_value(cut.start) AS start, any_value(length(line)) AS n,
+        list(stop - length(token) + length(regexp_extract(token, '^{_BLANK}*')) ORDER BY k) FILTER (WHERE opens) AS starts,
+        list(stop ORDER BY k) FILTER (WHERE closes) AS stops
+      FROM cut LEFT JOIN edges ON cut.doc_id = edges.doc_id AND cut.unit = edges.unit GROUP BY cut.doc_id, cut.unit),
+    spans AS (
+      SELECT doc_id, unit, whole, rest, CASE WHEN whole THEN [start || '-' || (start + n)]
+        ELSE [starts[x] || '-' || stops[x] FOR x IN range(1, len(starts) + 1)] END AS cuts FROM
+          (SELECT * REPLACE (coalesce(starts, []) AS starts, coalesce(stops, []) AS stops) FROM kept))
+    SELECT documents.doc_id, CASE WHEN any_value(text) IS NOT NULL
+        THEN coalesce(string_agg(rest, chr(10) ORDER BY unit) FILTER (WHERE NOT whole), '') END AS text,
+      coalesce(sum(len(cuts)), 0)::BIGINT AS n_removed,
+      coalesce(string_agg(array_to_string(cuts, ','), ',' ORDER BY unit) FILTER (WHERE len(cuts) > 0), '') AS removed
+    FROM documents LEFT JOIN spans ON documents.doc_id = spans.doc_id GROUP BY documents.doc_id
     """,
 )
 
