@@ -13,7 +13,9 @@ A passage need not be a whole line. So with ``window`` words given, every run of
 Digests of all runs would be many times the corpus, so anchors say first where to look: each text gives the hashes of
 short word grams that are the least of their neighbourhood. That choice depends on the words alone, and every run of ``window``
 words holds at least one gram so chosen, so two equal runs share it at the same place: no repeated run is missed.
-Only runs around a shared anchor get digests, and these are grouped as the units are. Of a run that overlaps its own earliest
+A shared anchor first gets one digest of its surroundings, the words of all runs that hold it: where these repeat an earlier place, so
+does every such run, and one row has settled them all. Only the runs around the other shared anchors get digests of their own.
+All digests are grouped as those of units are. Of a run that overlaps its own earliest
 occurrence (a word said over and over) nothing is removed, so the first ``window`` words stay.
 
 A removed word takes the white space before it in its unit along; a unit that loses all its words goes with its separator.
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from shelfprice.plans.joins import attach_groups
+from shelfprice.plans.joins import attach_groups, is_small
 from shelfprice.plans.staging import stage
 
 # A run of so many words is a passage; units that are shorter stay.
@@ -89,22 +91,44 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def run_hashes(words: np.ndarray, length: int, base: int) -> np.ndarray:
-    """A hash of every run of ``length`` words, put together from runs of 1, 2, 4, ... words."""
-    n = len(words) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out, done, power, size, step = np.zeros(n, np.uint64), 0, words, 1, base
-    factor = 1
-    while True:
-        if length & size:
-            out += power[done : done + n] * np.uint64(factor)
-            done += size
-            factor = factor * step % (1 << 64)
-        if size * 2 > length:
-            return _mixed(out)
-        power = power[:-size] + power[size:] * np.uint64(step)
-        size, step = size * 2, step * step % (1 << 64)
+class RunHashes:
+    """Hashes of any runs of words: differences of the sums of ``word * base ** place``, moved to place zero."""
+
+    def __init__(self, base: int):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.powers = self.inverses = np.empty(0, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if n > len(self.powers):
+            size = max(n, 2 * len(self.powers), 4096)
+            self.powers, self.inverses = self._powers(self.base, size), self._powers(self.inverse, size)
+
+    @staticmethod
+    def _powers(base: int, size: int) -> np.ndarray:
+        factors = np.full(size, base, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
+
+    def sums(self, words: np.ndarray) -> np.ndarray:
+        self._reach(len(words) + 1)
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * self.powers[: len(words)], dtype=np.uint64)])
+
+    def runs(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mixed((sums[end] - sums[start]) * self.inverses[start])
+
+
+class Digests:
+    """128-bit digests of runs of the words of one text."""
+
+    def __init__(self):
+        self.known, self.hashes = WordHashes(), tuple(map(RunHashes, _BASES))
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return self.known.array(words)
+
+    def runs(self, words: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        seen = (words, _mixed(words))
+        return [h.runs(h.sums(w), start, end).view(np.int64) for h, w in zip(self.hashes, seen, strict=True)]
 
 
 def _sliding(values: np.ndarray, width: int, best: Callable) -> np.ndarray:
@@ -116,9 +140,10 @@ def _sliding(values: np.ndarray, width: int, best: Callable) -> np.ndarray:
     return out if size == width else best(out[: len(out) - (width - size)], out[width - size :])
 
 
-def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, window: int, gram: int, hashes: RunHashes) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the grams that are the least in some run of ``window`` words."""
-    grams = run_hashes(words, gram, _BASES[0])
+    start = np.arange(max(0, len(words) - gram + 1))
+    grams = hashes.runs(hashes.sums(words), start, start + gram)
     width = window - gram + 1
     if len(grams) < width:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -145,7 +170,7 @@ def _scanner(separator: str, min_words: int, window: int | None, gram: int) -> C
             yield start, end, _normal(text[start:end])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        digests = Digests()
         for batch in batches:
             found, where = [], []
             for number, text in enumerate(batch.column("text")):
@@ -159,7 +184,7 @@ def _scanner(separator: str, min_words: int, window: int | None, gram: int) -> C
                         found.append((number, UNIT, unit, start, end, *_digest(mine)))
                 if window is not None and len(words) >= window:
                     found.append((number, TEXT, 0, 0, len(text), *_digest(words)))
-                    where.append((number, *anchors(known.array(words), window, gram)))
+                    where.append((number, *anchors(digests.of(words), window, gram, digests.hashes[0])))
             of, kind, at, start, end, d1, d2 = (list(c) for c in zip(*found, strict=True)) if found else ([] for _ in range(7))
             sizes = [len(places) for _, places, _ in where]
             more = sum(sizes)
@@ -185,24 +210,46 @@ def _near(places: np.ndarray, reach: int, behind: int, n: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
 
 
-def _windows(window: int, gram: int) -> Callable:
-    """Digests of the runs of words that hold a shared anchor."""
+def _runs_of_texts(select: Callable) -> Callable:
+    """Digests of the runs that ``select`` names: it maps the places given with a text, and its number of words, to
+    places, starts and ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        digests = Digests()
         for batch in batches:
-            for number, (text, shared) in enumerate(zip(batch.column("text"), batch.column("anchors"), strict=True)):
-                words = known.array(_normal(text.as_py()))
-                at = _near(np.array(shared.as_py().split(","), np.int64), window - gram, 0, len(words) - window + 1)
-                h1, h2 = (run_hashes(w, window, base)[at] for w, base in ((words, _BASES[0]), (_mixed(words), _BASES[1])))
+            given = [batch.column(c) for c in batch.schema.names[3:]]
+            for number, (text, *places) in enumerate(zip(batch.column("text"), *given, strict=True)):
+                words = digests.of(_normal(text.as_py()))
+                places = [np.array(p.as_py().split(","), np.int64) if p.as_py() else np.empty(0, np.int64) for p in places]
+                at, start, end = select(len(words), *places)
                 of = pa.array(np.full(len(at), number, np.int32))
-                columns = [at.astype(np.int32), h1.view(np.int64), h2.view(np.int64)]
+                columns = [x.astype(np.int32) for x in (at, start, end)] + digests.runs(words, start, end)
                 own = [batch.column(c).take(of) for c in ("row", "doc_id")]
-                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, columns)], names=["row", "doc_id", "at", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, columns)], names=["row", "doc_id", "at", "start", "end", "d1", "d2"])
 
     return run
 
 
+def _surroundings(window: int, gram: int) -> Callable:
+    """Around each anchor the words of all windows that hold it."""
+
+    def select(n: int, places: np.ndarray) -> tuple[np.ndarray, ...]:
+        return places, np.maximum(places - (window - gram), 0), np.minimum(places + window, n)
+
+    return select
+
+
+def _windows(window: int, gram: int) -> Callable:
+    """The windows that hold an open anchor and no settled one."""
+
+    def select(n: int, open_: np.ndarray, settled: np.ndarray) -> tuple[np.ndarray, ...]:
+        near = [_near(places, window - gram, 0, n - window + 1) for places in (open_, settled)]
+        at = np.setdiff1d(*near, assume_unique=True)
+        return at, at, at + window
+
+    return select
+
+
 def removed_spans(text: str, numbers: set[int], runs: list[tuple[int, int]], whole: bool, separator: str) -> list[tuple[int, int, int]]:
     """``(unit, start, end)`` of what goes: units by number, and words by place (first word and number of words)."""
     cut = list(units(text, separator))
@@ -285,6 +332,11 @@ def _later(places: DataFrame, by: list[str], name: str) -> DataFrame:
     return shared.join(first, by).where(place != F.col("first"))
 
 
+def _without(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """The places in other rows than these (staged, each once)."""
+    return places.join(F.broadcast(rows) if is_small(rows) else rows, "row", "left_anti")
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
     """All rows (``rest`` has their other columns) with a number that is written with them, so that it never changes."""
     rest = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("rest")
@@ -304,20 +356,33 @@ def _joined(values: Column) -> Column:
     return F.array_join(F.collect_list(values.cast("string")), ",")
 
 
+def _digested(numbered: DataFrame, places: DataFrame, select: Callable, name: str) -> DataFrame:
+    """Digests of runs in the texts of ``places`` (by row, lists of places as text)."""
+    texts = attach_groups(numbered.select("row", "doc_id", "text"), places, ["row"], how="inner")
+    added = T.StructType.fromDDL("at int, start int, end int, d1 bigint, d2 bigint")
+    return stage(texts.mapInArrow(_runs_of_texts(select), T.StructType([*texts.schema[:2], *added])), name)
+
+
 def _later_runs(numbered: DataFrame, found: DataFrame, window: int, gram: int) -> DataFrame:
     """``row, runs``: the words of each text that lie in repeated runs, as text such as ``12+50,80+64``."""
+    overlaps = (F.col("first.row") == F.col("row")) & (F.col("at") < F.col("first.at") + window)
     shared = _shared(found.select("row", "at", "d1"), ["d1"], "anchors")
     places = shared.groupBy("row").agg(_joined(F.col("at")).alias("anchors"))
-    texts = attach_groups(numbered.select("row", "doc_id", "text"), places, ["row"], how="inner")
-    added = T.StructType.fromDDL("at int, d1 bigint, d2 bigint")
-    given = texts.select("row", "doc_id", "text", "anchors")
-    windows = stage(given.mapInArrow(_windows(window, gram), T.StructType([*given.schema[:2], *added])), "windows")
-    overlaps = (F.col("first.row") == F.col("row")) & (F.col("at") < F.col("first.at") + window)
-    later = _later(windows, ["d1", "d2"], "windows").where(~overlaps)
+    around = _digested(numbered, places, _surroundings(window, gram), "surroundings")
+    settled = stage(_later(around, ["d1", "d2"], "surroundings").where(~overlaps).select("row", "at", "start", "end"), "settled")
+
+    is_settled = settled.select("row", "at", F.lit(True).alias("settled"))
+    told = around.select("row", "at").join(is_settled, ["row", "at"], "left").groupBy("row")
+    places = told.agg(
+        _joined(F.when(F.col("settled").isNull(), F.col("at"))).alias("open"), _joined(F.when(F.col("settled"), F.col("at"))).alias("settled")
+    ).where("open != ''")
+    windows = _digested(numbered, places, _windows(window, gram), "windows")
+    later = _later(windows.select("row", "doc_id", "at", "d1", "d2"), ["d1", "d2"], "windows").where(~overlaps)
     # Neighbours lie at one distance from their rank: a run of windows is one group.
     rank = F.row_number().over(Window.partitionBy("row").orderBy("at"))
-    runs = later.withColumn("island", F.col("at") - rank).groupBy("row", "island").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n"))
-    run = F.concat_ws("+", F.col("at").cast("string"), (F.col("n") + (window - 1)).cast("string"))
+    runs = later.withColumn("island", F.col("at") - rank).groupBy("row", "island").agg(F.min("at").alias("start"), (F.max("at") + window).alias("end"))
+    runs = runs.select("row", "start", "end").unionByName(settled.select("row", "start", "end"))
+    run = F.concat_ws("+", F.col("start").cast("string"), (F.col("end") - F.col("start")).cast("string"))
     return runs.groupBy("row").agg(_joined(run).alias("runs"))
 
 
@@ -327,13 +392,13 @@ def _changes(numbered: DataFrame, separator: str, min_words: int, window: int |
     marks = places.where(F.col("kind") < ANCHOR).select("row", "doc_id", "kind", "at", "d1", "d2")
     later = stage(_later(marks, ["kind", "d1", "d2"], "units").select("row", "kind", "at"), "later_units")
     copies = later.where(F.col("kind") == TEXT).select("row")
-    lines = later.where(F.col("kind") == UNIT).join(copies, "row", "left_anti").groupBy("row").agg(_joined(F.col("at")).alias("units"))
+    lines = _without(later.where(F.col("kind") == UNIT), copies).groupBy("row").agg(_joined(F.col("at")).alias("units"))
     none = F.lit(None).cast("string")
     parts = lines.select("row", "units", none.alias("runs"), F.lit(False).alias("whole"))
     if window is not None:
         parts = parts.unionByName(copies.select("row", none.alias("units"), none.alias("runs"), F.lit(True).alias("whole")))
         # A copy repeats only what its earliest has, so it is not looked into.
-        rest = places.where(F.col("kind") == ANCHOR).join(copies, "row", "left_anti")
+        rest = _without(places.where(F.col("kind") == ANCHOR), copies)
         runs = _later_runs(numbered, rest, window, gram)
         parts = parts.unionByName(runs.select("row", none.alias("units"), "runs", F.lit(False).alias("whole")))
     return parts.groupBy("row").agg(F.max("units").alias("units"), F.max("runs").alias("runs"), F.max("whole").alias("whole"))
