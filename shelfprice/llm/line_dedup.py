@@ -56,7 +56,9 @@ PARAGRAPH = r"\n[\x20\x09-\x0D]*\n"
 # Words of an anchor; the neighbourhood follows from the window.
 GRAM = 12
 # Different words whose hashes a task remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 100_000
+# Rows that a task works on at a time, whatever the batch it gets.
+ROWS_AT_A_TIME = 1000
 TEXT, UNIT, ANCHOR = 0, 1, 2
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Odd multipliers of the two polynomial hashes, and of the mixing step behind them.
@@ -73,6 +75,12 @@ def units(text: str, separator: str) -> Iterator[tuple[int, int]]:
     yield at, len(text)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            yield batch.slice(start, ROWS_AT_A_TIME)
+
+
 class WordHashes(dict):
     """XXH64 of words, remembered up to a number of them."""
 
@@ -116,6 +124,12 @@ class RunHashes:
     def runs(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mixed((sums[end] - sums[start]) * self.inverses[start])
 
+    def all_runs(self, words: np.ndarray, length: int) -> np.ndarray:
+        sums = self.sums(words)
+        found = sums[length:] - sums[:-length]
+        found *= self.inverses[: len(found)]
+        return _mixed(found)
+
 
 class Digests:
     """128-bit digests of runs of the words of one text."""
@@ -142,11 +156,10 @@ def _sliding(values: np.ndarray, width: int, best: Callable) -> np.ndarray:
 
 def anchors(words: np.ndarray, window: int, gram: int, hashes: RunHashes) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the grams that are the least in some run of ``window`` words."""
-    start = np.arange(max(0, len(words) - gram + 1))
-    grams = hashes.runs(hashes.sums(words), start, start + gram)
     width = window - gram + 1
-    if len(grams) < width:
+    if len(words) < window:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
+    grams = hashes.all_runs(words, gram)
     least = _sliding(grams, width, np.minimum)
     edge = np.zeros(width - 1, np.uint64)
     at = np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), width, np.maximum) == grams)
@@ -171,7 +184,7 @@ def _scanner(separator: str, min_words: int, window: int | None, gram: int) -> C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = Digests()
-        for batch in batches:
+        for batch in _slices(batches):
             found, where = [], []
             for number, text in enumerate(batch.column("text")):
                 text = text.as_py()
@@ -216,7 +229,7 @@ def _runs_of_texts(select: Callable) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = Digests()
-        for batch in batches:
+        for batch in _slices(batches):
             given = [batch.column(c) for c in batch.schema.names[3:]]
             for number, (text, *places) in enumerate(zip(batch.column("text"), *given, strict=True)):
                 words = digests.of(_normal(text.as_py()))
@@ -300,7 +313,7 @@ def _remover(separator: str) -> Callable:
         return [tuple(map(int, x.split("+"))) for x in text.split(",")] if text else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts, removed = [], []
             given = [batch.column(c) for c in ("text", "units", "runs", "whole")]
             for text, numbers, runs, whole in zip(*given, strict=True):
