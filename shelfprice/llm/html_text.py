@@ -8,10 +8,15 @@ again. Paths with a fair part of the best score are content, and so are the shor
 (headings, lists, tables) in the same containers, if they are not mostly links; their blocks are the text.
 The body is such a container if paragraphs on content paths lie directly in it.
 
-Elements that are never article text (scripts, styles, forms, menus, headers, footers, sidebars, notices,
-adverts and reader comments, known by tag, role, class or id) are left out before the ratios are formed;
-paths inside ``article`` or ``main`` start with a higher score. A form that holds more than half of the page's
-sentences is no form to fill in but holds the page, and stays.
+Elements that are never article text (scripts, styles, menus, headers, footers, sidebars, notices,
+adverts and reader comments) are left out before the ratios are formed if their tag, role or attributes say so, or a class or id that
+speaks of comments. Forms, and elements of which only some other word of a class or id says so, are in doubt: a form with more than
+half of the page's sentences is no form to fill in but holds the page, and an element with nearly all of its text is no menu or notice; these stay,
+the others go. Paths inside ``article`` or ``main`` start
+with a higher score.
+
+Paths are nodes of a tree, and common parts of two paths are found by jumps towards the root, so that deep nesting
+costs no more than its logarithm per block.
 
 Defined results: NULL, empty and text-less pages give ''; broken markup (unclosed or stray tags, comments
 without an end) is read as far as it goes; character references are decoded; white space inside a block,
@@ -51,6 +56,7 @@ _NAMES = frozenset(
     "recommendations share sharing social newsletter subscribe subscription signup login search pagination pager widget "
     "widgets toolbar skip hidden form".split()
 )
+_COMMENTS = frozenset("comment comments reply replies discussion disqus".split())
 _HEADERS = frozenset({"header", "headers"})
 _WHOLE = frozenset({"html", "body", "main", "article"})
 # Blocks that are parts of running text.
@@ -78,9 +84,9 @@ _SENTENCE = re.compile(r"[.!?…。！？]")
 
 # --- scores --------------------------------------------------------------------------------------
 
-# Elements that lie deeper belong to the element at this depth, so that nesting costs no more than this per tag;
-# the outermost of those that are left out is kept apart.
-MAX_DEPTH = 256
+# Parts of the page's sentences, or text, from which on a form, or an element known by name only, holds the page.
+FORM_HOLDS = 0.5
+NAMED_HOLDS = 0.9
 ARTICLE_PRIOR = 5.0
 STRANGERS = 0.03
 REACH = 3
@@ -93,46 +99,103 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(rest)}
 
 
-def _is_left_out(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is left out, whatever it holds; of a form only what tells more than that it is one counts."""
+def _verdict(tag: str, rest: str, in_article: bool) -> str:
+    """Whether an element is ``out``, whatever it holds, in ``doubt`` or ``in``."""
     if (tag in _LEFT_OUT and tag != "form") or (tag == "header" and not in_article):
-        return True
+        return "out"
+    doubt = "doubt" if tag == "form" else "in"
     attributes = _attributes(rest)
     if not attributes or (tag in _WHOLE and not (tag == "article" and "comment" in attributes.get("class", ""))):
-        return False
+        return doubt
     own = {"form"} if tag == "form" else set()
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or (attributes.get("role") in _ROLES - own):
-        return True
+        return "out"
     if "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
+        return "out"
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         parts = set(re.split(r"[^a-z0-9]+", name))
         if parts & {"has", "with", "no", "without", "is"}:
             continue
+        if parts & _COMMENTS:
+            return "out"
         if parts & (_NAMES - own) or (parts & _HEADERS and not in_article):
-            return True
-    return False
+            doubt = "doubt"
+    return doubt
+
 
+class Paths:
+    """All paths of block-level labels of a page as a tree; node 0 is the empty path."""
 
-class _Page:
-    """Blocks of a page: path, text, and how much of the text is inside links."""
+    def __init__(self) -> None:
+        self.parent, self.jump, self.depth = [0], [0], [0]
+        self.tags = [""]
+        self.in_article, self.only_page = [False], [True]
+        self._known: dict[tuple[int, str], int] = {}
+
+    def child(self, node: int, label: str) -> int:
+        found = self._known.get((node, label))
+        if found is not None:
+            return found
+        number = self._known[node, label] = len(self.parent)
+        tag = label.partition(".")[0]
+        near = self.jump[node]
+        # Jumps of equal length are joined to one of twice that length.
+        twice = self.depth[node] - self.depth[near] == self.depth[near] - self.depth[self.jump[near]]
+        self.parent.append(node)
+        self.jump.append(self.jump[near] if twice else node)
+        self.depth.append(self.depth[node] + 1)
+        self.tags.append(tag)
+        self.in_article.append(self.in_article[node] or tag in ("article", "main"))
+        self.only_page.append(self.only_page[node] and tag in ("html", "body"))
+        return number
+
+    def common(self, a: int, b: int) -> int:
+        """The deepest node that both paths pass."""
+        if self.depth[a] < self.depth[b]:
+            a, b = b, a
+        while self.depth[a] > self.depth[b]:
+            a = self.jump[a] if self.depth[self.jump[a]] >= self.depth[b] else self.parent[a]
+        while a != b:
+            if self.jump[a] != self.jump[b]:
+                a, b = self.jump[a], self.jump[b]
+            else:
+                a, b = self.parent[a], self.parent[b]
+        return a
+
+    def alike(self, a: int, b: int) -> float:
+        """How much of their paths two blocks share; hardly anything if only the whole page."""
+        common = self.common(a, b)
+        if self.only_page[common]:
+            return STRANGERS
+        return (self.depth[common] / max(self.depth[a], self.depth[b])) ** 2
+
+
+class _Element:
+    __slots__ = ("doubt", "out", "path", "tag")
+
+    def __init__(self, tag: str, out: bool, doubt: int, path: int) -> None:
+        self.tag, self.out, self.doubt, self.path = tag, out, doubt, path
+
+
+class Page:
+    """Blocks of a page: node of the path, text, and how much of the text is inside links."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool]] = []  # (tag, left out with all inside)
-        self.labels: list[str] = []  # tag and class of the same elements, as they stand in paths
-        # Of the element at that place: open elements inside it, by tag, that lie too deep to be listed.
-        self.deep: dict[int, Counter[str]] = {}
-        self.blocks: list[tuple[tuple[str, ...], str, float]] = []
-        self.forms: list[int] = []  # number of the form that holds the same block, 0 for none
-        self.n_forms = 0
+        self.paths = Paths()
+        self.open: list[_Element] = []
+        self.counts: Counter[str] = Counter()  # open elements by tag
+        self.blocks: list[tuple[int, str, float]] = []
+        self.doubts: list[int] = []  # innermost element in doubt around the same block, 0 for none
+        self.outer_doubt = [0]  # of each element in doubt, the one around it
+        self.must_hold = [0.0]  # and the part of the page that it must hold to stay
         self.parts: list[str] = []
         self.linked = 0
 
     def text(self, raw: str) -> None:
-        if not raw or (self.open and self.open[-1][1]):
+        if not raw or (self.open and self.open[-1].out):
             return
         self.parts.append(raw)
-        if any(tag == "a" for tag, _ in self.open[-4:]) or (self.deep and self._inside()["a"]):
+        if self.counts["a"] and any(e.tag == "a" for e in self.open[-4:]):
             self.linked += len(raw)
 
     def flush(self) -> None:
@@ -140,75 +203,92 @@ class _Page:
             raw = "".join(self.parts)
             text = " ".join(html.unescape(raw).split())
             if text:
-                path = tuple(label for (tag, _), label in zip(self.open, self.labels, strict=True) if tag in _BLOCK)
-                self.blocks.append((path, text, min(1.0, self.linked / len(raw))))
-                self.forms.append(self.n_forms if any(tag == "form" for tag, _ in self.open) else 0)
+                inner = self.open[-1] if self.open else None
+                self.blocks.append((inner.path if inner else 0, text, min(1.0, self.linked / len(raw))))
+                self.doubts.append(inner.doubt if inner else 0)
         self.parts, self.linked = [], 0
 
-    def _inside(self) -> Counter[str]:
-        return self.deep.get(len(self.open) - 1) or Counter()
-
     def start(self, tag: str, rest: str) -> None:
         block = tag in _BLOCK
         if block:
             self.flush()
-            if not self.deep or not self._inside().total():
-                self._end_implied(tag)
+            self._end_implied(tag)
         elif tag == "br":
             self.parts.append(" ")
         if tag in _VOID:
             return
-        outer = bool(self.open) and self.open[-1][1]
-        in_article = any(t in ("article", "main") for t, _ in self.open)
-        left_out = outer or _is_left_out(tag, rest, in_article)
-        if len(self.open) >= MAX_DEPTH and (outer or not left_out):
-            self.deep.setdefault(len(self.open) - 1, Counter())[tag] += 1
-            return
-        if tag == "form" and not any(t == "form" for t, _ in self.open):
-            self.n_forms += 1
-        self.open.append((tag, left_out))
-        name = _attributes(rest).get("class", "") if block and not outer else ""
-        self.labels.append(f"{tag}.{name}" if name else tag)
+        around = self.open[-1] if self.open else _Element("", False, 0, 0)
+        verdict = "out" if around.out else _verdict(tag, rest, bool(self.counts["article"] or self.counts["main"]))
+        doubt, path = around.doubt, around.path
+        if verdict == "doubt":
+            self.outer_doubt.append(doubt)
+            self.must_hold.append(FORM_HOLDS if tag == "form" else NAMED_HOLDS)
+            doubt = len(self.outer_doubt) - 1
+        if block and verdict != "out":
+            name = _attributes(rest).get("class", "")
+            path = self.paths.child(path, f"{tag}.{name}" if name else tag)
+        self.open.append(_Element(tag, verdict == "out", doubt, path))
+        self.counts[tag] += 1
 
     def _close(self, at: int) -> None:
-        del self.open[at:], self.labels[at:]
-        for place in [x for x in self.deep if x >= at]:
-            del self.deep[place]
+        self.counts.subtract(e.tag for e in self.open[at:])
+        del self.open[at:]
 
     def _end_implied(self, tag: str) -> None:
-        if tag in _ENDS:
+        if tag in _ENDS and any(self.counts[t] for t in _ENDS[tag]):
             for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in _ENDS[tag]:
+                if self.open[i].tag in _ENDS[tag]:
                     self._close(i)
                     return
-                if self.open[i][0] in _LISTS:
+                if self.open[i].tag in _LISTS:
                     break
         # A block ends an open paragraph.
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == "p":
-                self._close(i)
-                return
-            if self.open[i][0] in _BLOCK:
-                return
+        if self.counts["p"]:
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i].tag == "p":
+                    self._close(i)
+                    return
+                if self.open[i].tag in _BLOCK:
+                    return
 
     def end(self, tag: str) -> None:
         block = tag in _BLOCK
         if block:
             self.flush()
-        if self.deep and (inside := self._inside())[tag]:
-            inside[tag] -= 1
+        if not self.counts[tag]:
             return
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+            if self.open[i].tag == tag:
                 self._close(i)
                 return
-            if not block and self.open[i][0] in _BLOCK:
+            if not block and self.open[i].tag in _BLOCK:
                 return
 
-
-def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
-    """``(path, text, share inside links)`` of the blocks that may be article text, in page order."""
-    state, at = _Page(), 0
+    def settle(self) -> None:
+        """Drop the blocks in doubtful elements that do not hold enough of the page."""
+        if not any(self.doubts):
+            return
+        # Of each element in doubt: its text outside of links, of sentences for a form and of all kinds for the others.
+        sentences, plain = ([0.0] * len(self.outer_doubt) for _ in range(2))
+        for doubt, (_, text, linked) in zip(self.doubts, self.blocks, strict=True):
+            plain[doubt] += len(text) * (1 - linked)
+            sentences[doubt] += len(text) * (1 - linked) if _SENTENCE.search(text) else 0
+        totals = {FORM_HOLDS: sum(sentences), NAMED_HOLDS: sum(plain)}
+        # Inner elements have larger numbers than those around them.
+        for running in (sentences, plain):
+            for number in range(len(running) - 1, 0, -1):
+                running[self.outer_doubt[number]] += running[number]
+        kept = [True]
+        for number in range(1, len(plain)):
+            part = self.must_hold[number]
+            held = sentences if part == FORM_HOLDS else plain
+            kept.append(kept[self.outer_doubt[number]] and held[number] > part * totals[part])
+        self.blocks = [b for doubt, b in zip(self.doubts, self.blocks, strict=True) if kept[doubt]]
+
+
+def read_page(page: str) -> Page:
+    """The blocks that may be article text, in page order, and their paths."""
+    state, at = Page(), 0
     while m := _TAG.search(page, at):
         state.text(page[at : m.start()])
         at = m.end()
@@ -224,44 +304,23 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             at = close.start() if close else len(page)
     state.text(page[at:])
     state.flush()
-    if not any(state.forms):
-        return state.blocks
-    running: Counter[int] = Counter()
-    for form, (_, text, linked) in zip(state.forms, state.blocks, strict=True):
-        running[form] += len(text) * (1 - linked) if _SENTENCE.search(text) else 0
-    kept = {0, *(f for f, n in running.items() if 2 * n > running.total())}
-    return [b for f, b in zip(state.forms, state.blocks, strict=True) if f in kept]
-
-
-def _tag_of(label: str) -> str:
-    return label.partition(".")[0]
-
-
-def _alike(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-    """How much of their paths two blocks share; hardly anything if only the whole page."""
-    common = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        common += 1
-    if all(_tag_of(x) in ("html", "body") for x in a[:common]):
-        return STRANGERS
-    return (common / max(len(a), len(b))) ** 2
-
-
-def _belongs(path: tuple[str, ...], containers: set[tuple[str, ...]]) -> bool:
-    """Whether a path lies in a container of content, below it only in parts of running text."""
-    for i in range(len(path), -1, -1):
-        if path[:i] in containers:
-            return True
-        if i and _tag_of(path[i - 1]) not in _IN_TEXT and not any(_tag_of(x) in ("article", "main") for x in path[:i]):
-            return False
-    return False
-
-
-def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
+    state.settle()
+    return state
+
+
+def _belonging(paths: Paths, containers: set[int]) -> list[bool]:
+    """Per node whether it lies in a container of content, below it only in parts of running text."""
+    out = []
+    for node, parent in enumerate(paths.parent):
+        passes = node and (paths.tags[node] in _IN_TEXT or paths.in_article[node])
+        out.append(node in containers or bool(passes and out[parent]))
+    return out
+
+
+def content(page: Page) -> list[str]:
     """Texts of the blocks on content paths."""
-    sums: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
+    paths, blocks = page.paths, page.blocks
+    sums: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
     for path, text, linked in blocks:
         s = sums[path]
         s[0] += 1
@@ -270,14 +329,14 @@ def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
         s[3] += linked * len(text)
     raw = {}
     for path, (n, length, marks, linked) in sums.items():
-        prior = ARTICLE_PRIOR if any(_tag_of(x) in ("article", "main") for x in path) else 1.0
+        prior = ARTICLE_PRIOR if paths.in_article[path] else 1.0
         raw[path] = prior * (length / n) * (1 + marks / n) * (1 - linked / length) ** 2
-    totals: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0])
+    totals: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for i, (path, _, _) in enumerate(blocks):
         weight = value = 0.0
         for j in range(max(0, i - REACH), min(len(blocks), i + REACH + 1)):
             other = blocks[j][0]
-            w = (1.0 if i == j else 0.5 ** abs(i - j)) * (1.0 if other == path else _alike(path, other))
+            w = (1.0 if i == j else 0.5 ** abs(i - j)) * (1.0 if other == path else paths.alike(path, other))
             weight += w
             value += w * raw[other]
         totals[path][0] += value / weight
@@ -288,19 +347,20 @@ def content(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[str]:
     # What holds content paths holds the shorter parts of the same text.
     containers = set()
     for path in chosen:
-        in_text = bool(path) and _tag_of(path[-1]) in _IN_TEXT
-        if in_text or any(_tag_of(x) not in ("html", "body") for x in path[:-1]):
-            containers.add(path[:-1])
+        in_text = bool(path) and paths.tags[path] in _IN_TEXT
+        if path and (in_text or not paths.only_page[paths.parent[path]]):
+            containers.add(paths.parent[path])
         if not in_text:
             containers.add(path)  # text that lies in it directly
+    belongs = _belonging(paths, containers)
     for path, (_, length, _, linked) in sums.items():
-        if path not in chosen and 2 * linked < length and _belongs(path, containers):
+        if path not in chosen and 2 * linked < length and belongs[path]:
             chosen.add(path)
     return [text for path, text, _ in blocks if path in chosen]
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(content(page_blocks(page))) if page else ""
+    return "\n".join(content(read_page(page))) if page else ""
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,12 @@
+import html
+import random
 import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfprice.llm import html_text
 from shelfprice.llm.html_text import extract_main_text, main_text
 
 STORY = "<h1>Title &amp; more</h1><p>First paragraph, with words; and more of them.<p>Second <b>one</b>, that is longer. It goes on."
@@ -115,3 +118,58 @@ def test_left_out_elements_at_any_depth(depth):
     deep = "<div>" * depth + f"{STORY}<nav><ul><li>Away, from. <div>here.</div> Go.</ul> Go.</nav><p>Last, and least. It ends.</p>" + "</div>" * depth
     assert main_text(f"<body>{deep}<nav>Go, there. Go.</nav></body>").split("\n")[-1] == "Last, and least. It ends."
     assert "Go" not in main_text(f"<body>{deep}</body>") and "Away" not in main_text(f"<body>{deep}</body>")
+
+
+ARTICLE = "<h1>On the matter</h1><p>First sentence of it, with commas. Second one here.</p><p>More of the same text, again. And again.</p>"
+TEXT = "On the matter\nFirst sentence of it, with commas. Second one here.\nMore of the same text, again. And again."
+
+
+@pytest.mark.parametrize("name", ["social-science", "notice-board", "search-engine-history", "menu-reform", "login-guide", "header-files"])
+def test_a_name_does_not_hide_the_article(name):
+    for page in (f"<div class='{name}'>{ARTICLE}</div>", f"<div id='{name}'><div class='menu-x'>{ARTICLE}</div></div>", f"<form class='{name}'><div>{ARTICLE}</div></form>"):
+        assert html_text.main_text(f"<html><body><nav><a href=x>menu</a></nav>{page}<footer>foot.</footer></body></html>") == TEXT
+
+
+def test_named_parts_beside_an_article_go():
+    for part in ("<div class=cookie-notice>We use them. Really. A lot. And a lot more of them here. " * 2, "<div class=comments>" + "<p>So true. Yes.</p>" * 40, "<ul class=related><li>Other text. Yes."):
+        assert html_text.main_text(f"<body><div class=post>{ARTICLE}</div>{part}</body>") == TEXT
+    junk = "<div class=ad>Buy this, now. Or that.</div><article><h1>no marks here</h1><p>junk junk junk</p></article>"
+    assert html_text.main_text(f"<body>{junk}</body>") == "no marks here\njunk junk junk"
+
+
+def test_depth_has_no_bound():
+    """A page reads alike however deep it lies, and in time that does not grow with the square of the depth."""
+    page = f"<nav>menu</nav><div class=a>{ARTICLE}</div><div class=menu><ul><li><a href=x>link</a></ul></div>"
+    for depth in (1, 255, 300, 5000):
+        assert html_text.main_text(f"<body>{'<div>' * depth}{page}{'</div>' * depth}<p class=foot><a>x</a></p></body>") == TEXT
+    assert html_text.main_text("<div>word. " * 50_000).count("word.") > 0
+
+
+def test_common_part_of_two_paths():
+    paths = html_text.Paths()
+    nodes = {(): 0}
+    for i in range(400):
+        base = random.Random(i).choice(sorted(nodes))
+        label = random.Random(-i).choice(["div.a", "div.b", "p", "body"])
+        nodes[(*base, label)] = paths.child(nodes[base], label)
+    for i in range(2000):
+        a, b = (random.Random(f"{i}{x}").choice(sorted(nodes)) for x in "ab")
+        common = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+        assert paths.common(nodes[a], nodes[b]) == nodes[a[:common]] and paths.depth[nodes[a]] == len(a)
+
+
+def plain_reading(page):
+    """Text of the planted pages by taking away what is told to be no article, tag by tag."""
+    page = re.sub(r"(?s)<!--.*?-->|<(script|style|head|nav|footer|aside|form|noscript)\b.*?</\1>", "", page)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", page)).split())
+
+
+def test_planted_pages_by_a_plain_reading(spark):
+    parts = [f"<p>Paragraph {i} of it, which is long enough. It has &amp; and &#233;.</p>" for i in range(5)]
+    pages = []
+    for i, wrap in enumerate(["<article>{}</article>", "<main><div>{}</div></main>", "<div class=post>{}</div>", "{}", "<div id=x><section>{}</section></div>"]):
+        body = wrap.format("<h2>A heading</h2>" + "".join(parts) + "<ul><li>one thing</li><li>another thing</li></ul>")
+        pages.append((i, f"u{i}", f"<html><head><title>t</title></head><body><nav><ul><li><a>Home</a></li></ul></nav>{body}<aside>More. Of it.</aside><footer>&copy; x</footer></body></html>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: " ".join(r.text.split()) for r in html_text.extract_main_text(df).collect()}
+    assert got == {i: plain_reading(page) for i, _, page in pages}
