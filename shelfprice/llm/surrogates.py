@@ -6,8 +6,9 @@ document, before or after, whose words begin with a capital. Each entity is firs
 separators and country code do not make another entity), and the surrogate depends on the key, the kind and
 this value alone, so an entity has one surrogate wherever and however it is written.
 
-The kind of a given name holds the gender that the titles of the person tell anywhere in the document, so
-``Dr Anna Weber`` is renamed as ``Mrs Anna Weber`` beside it is. Where two persons of a document share a given
+The kind of a given name holds the gender that the titles of the person tell anywhere in the document or, if they tell none
+there, in all documents that name this person behind a title (and agree). So ``Dr Anna Weber`` is renamed as
+``Mrs Anna Weber`` is, in one document and across documents. Where two persons of a document share a given
 name, a mention by it alone belongs to the one named last. A word that is a name in a document counts as one
 wherever it is capitalised there.
 
@@ -17,17 +18,19 @@ whether its check digit holds, an IP address whether it is private, public or re
 script, with endings that suit the gender of the title, given and family names apart.
 
 All distinct entities are then checked together: if two share a surrogate, or a surrogate is an entity that
-occurs in the documents, the later one (by value) tries its next surrogate, until none collide. The few
+occurs in the documents, the later one (by value) tries its next surrogate, until none collide. An invented name gets a
+syllable longer with each try, so names never run out. The few
 entities that needed another try are looked up per document; all others are derived in place.
 
 Defined results: NULL texts stay NULL and empty ones empty; a text without entities is unchanged; repeated
-rows stay and are rewritten alike; rows that share a doc_id are rewritten each by itself; an empty table
-gives an empty result.
+rows stay and are rewritten alike; rows that share a doc_id, or have none, are rewritten each by itself, known by id
+and a hash of the text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import sys
 from bisect import bisect_right
@@ -41,9 +44,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.staging import stage
 
 MAX_ROUNDS = 64
+# Surrogates that a task remembers.
+REMEMBERED = 1 << 16
+# (first and last word of a name) to the gender that other documents tell.
+Genders = dict[tuple[str, str], str]
 
 # --- detection -----------------------------------------------------------------------------------
 
@@ -106,7 +114,7 @@ def _national(phone: str) -> str:
     return phone[code.end() :] if code else phone
 
 
-def entities(text: str) -> list[tuple[int, int, str, str]]:
+def entities(text: str, told_elsewhere: Genders | None = None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normal value)`` of all entities, in order and without overlap."""
     found = []
     for start, end in _lines_with(_SIGN, text):
@@ -115,7 +123,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             a, b = m.span(kind)
             found.append((a, b, kind, _normal(kind, text[a:b])))
     if any(form in text for form in _TITLE_FORMS):
-        titled, bare = _persons(text)
+        titled, bare = _persons(text, told_elsewhere or {})
         found += titled
         found.sort()
         found = [x for i, x in enumerate(found) if i == 0 or x[0] >= max(y[1] for y in found[max(0, i - 8) : i])]
@@ -127,16 +135,23 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return found
 
 
-def _persons(text: str) -> tuple[list[tuple[int, int, str, str]], list[tuple[int, int, str, str]]]:
-    """Words of names behind titles, and words of the same names elsewhere, as ``entities`` has them."""
+People = list[tuple[str, list[tuple[int, int, str]]]]
+
+
+def _people(text: str) -> People:
+    """Per name behind titles: the gender that these tell, and its words with their places."""
     people = []
     for m in _PERSON.finditer(text):
         gender = next(filter(None, (_GENDER[t.casefold()] for t in m.captures("title"))), "")
         at = m.start("name")
         people.append((gender, [(at + p.start(), at + p.end(), p[0].casefold()) for p in regex.finditer(r"[\p{L}']+", m["name"])]))
+    return people
+
+
+def _told(people: People) -> dict[tuple[str, str], set[str]]:
+    """Genders by person (first and last word of the name), and of a given name that stands alone."""
     givens = {w for _, parts in people for _, _, w in parts[:-1]}
     families = {parts[-1][2] for _, parts in people if len(parts) > 1}
-    # Genders by person (first and last word of the name), and of a given name that stands alone.
     genders: dict[tuple[str, str], set[str]] = defaultdict(set)
     for gender, parts in people:
         first, last = parts[0][2], parts[-1][2]
@@ -144,6 +159,28 @@ def _persons(text: str) -> tuple[list[tuple[int, int, str, str]], list[tuple[int
             genders[first, last].add(gender)
         elif gender and last in givens and last not in families:
             genders[last, ""].add(gender)
+    return genders
+
+
+def persons(text: str) -> set[tuple[str, str, str]]:
+    """``(first, last, gender)`` of the full names behind titles, with '' where the text tells no gender."""
+    if not any(form in text for form in _TITLE_FORMS):
+        return set()
+    people = _people(text)
+    genders = _told(people)
+    full = {(parts[0][2], parts[-1][2]) for _, parts in people if len(parts) > 1}
+    return {(*name, g) for name in full for g in genders.get(name) or genders.get((name[0], "")) or {""}}
+
+
+def _persons(text: str, told_elsewhere: Genders) -> tuple[list[tuple[int, int, str, str]], list[tuple[int, int, str, str]]]:
+    """Words of names behind titles, and words of the same names elsewhere, as ``entities`` has them."""
+    people = _people(text)
+    givens = {w for _, parts in people for _, _, w in parts[:-1]}
+    families = {parts[-1][2] for _, parts in people if len(parts) > 1}
+    genders = _told(people)
+    for name in {(parts[0][2], parts[-1][2]) for _, parts in people if len(parts) > 1}:
+        if name in told_elsewhere and not genders.get(name) and not genders.get((name[0], "")):
+            genders[name].add(told_elsewhere[name])
 
     def gender_of(first: str, last: str) -> str:
         told = genders.get((first, last)) or genders.get((first, ""), set())
@@ -262,7 +299,6 @@ def _ip_range(ip: int) -> str:
     return "reserved" if ip >> 28 >= 0xE else "public"
 
 
-@lru_cache(maxsize=1 << 16)
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     """The normal form of the surrogate of an entity in its normal form."""
     tweak = f"{kind}/{attempt}"
@@ -288,7 +324,7 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     if kind == "family" or kind.startswith("given_"):
         script = "cyrillic" if "а" <= value[0] <= "ӿ" else "greek" if "α" <= value[0] <= "ω" else "latin"
         number, parts = _draw(key, tweak, value), []
-        for _ in range(_SYLLABLES_IN_NAME):
+        for _ in range(_SYLLABLES_IN_NAME + attempt):
             number, at = divmod(number, len(_SYLLABLES[script]))
             parts.append(_SYLLABLES[script][at])
         return "".join(parts) + _ENDINGS[script][kind]
@@ -316,21 +352,42 @@ def _cased(like: str, c: str) -> str:
 
 # --- documents -----------------------------------------------------------------------------------
 
+_KEY = ["doc_key", "text_hash"]
 _SPANS = "array<struct<start:int,end:int,kind:string,surrogate:string>>"
 
 
+def _remembered() -> Callable:
+    # Made in the task: a cache around the function itself could only be sent to a task by its name.
+    return lru_cache(maxsize=REMEMBERED)(surrogate)
+
+
+def _parsed(told: str | None) -> Genders:
+    """Genders told elsewhere, from text such as ``anna weber=f;...``."""
+    pairs = (x.rpartition("=") for x in told.split(";")) if told else ()
+    return {tuple(name.split(" ")): gender for name, _, gender in pairs}
+
+
+def _person_finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for number, text in enumerate(batch.column("text")):
+            rows += [(number, f"{first} {last}", gender) for first, last, gender in persons(text.as_py() or "")]
+        of, names, genders = zip(*rows, strict=True) if rows else ((), (), ())
+        own = [batch.column(c).take(pa.array(of, pa.int32())) for c in _KEY]
+        yield pa.RecordBatch.from_arrays([*own, pa.array(names, pa.string()), pa.array(genders, pa.string())], [*_KEY, "person", "gender"])
+
+
 def _finder(key: bytes) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered = _remembered()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                for kind, value in dict.fromkeys(x[2:] for x in entities(text.as_py() or "")):
-                    rows.append((doc_id, kind, value, surrogate(kind, value, key)))
-            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            types = [batch.schema.field("doc_id").type, pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "kind", "value", "surrogate"]
-            )
+            for number, (text, told) in enumerate(zip(batch.column("text"), batch.column("told"), strict=True)):
+                for kind, value in dict.fromkeys(x[2:] for x in entities(text.as_py() or "", _parsed(told.as_py()))):
+                    rows.append((number, kind, value, remembered(kind, value, key)))
+            of, *columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+            own = [batch.column(c).take(pa.array(of, pa.int32())) for c in _KEY]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, pa.string()) for c in columns)], [*_KEY, "kind", "value", "surrogate"])
 
     return run
 
@@ -348,15 +405,15 @@ def _again(key: bytes) -> Callable:
 
 def _rewriter(key: bytes) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered = _remembered()
         for batch in batches:
             texts, spans = [], []
-            tries = batch.column("tries").to_pylist()
-            for text, other in zip(batch.column("text"), tries, strict=True):
-                text = text.as_py()
-                attempts = {(t["kind"], t["value"]): t["attempt"] for t in other or ()}
+            for text, told, tries in zip(*(batch.column(c) for c in ("text", "told", "tries")), strict=True):
+                text, tries = text.as_py(), tries.as_py()
+                attempts = {(t["kind"], t["value"]): t["attempt"] for t in json.loads(tries)} if tries else {}
                 out, marks, at, grown = [], [], 0, 0
-                for start, end, kind, value in entities(text or ""):
-                    new = surrogate(kind, value, key, attempts.get((kind, value), 0))
+                for start, end, kind, value in entities(text or "", _parsed(told.as_py())):
+                    new = remembered(kind, value, key, attempts.get((kind, value), 0))
                     new = _written(kind, text[start:end], new)
                     out += [text[at:start], new]
                     marks.append({"start": start + grown, "end": start + grown + len(new), "kind": kind, "surrogate": new})
@@ -398,28 +455,37 @@ def retries(mentions: DataFrame, key: bytes) -> DataFrame | None:
     raise ValueError(f"entities of one format leave no free surrogates after {MAX_ROUNDS} rounds")
 
 
+def genders_told_elsewhere(keyed: DataFrame) -> DataFrame:
+    """Per document that names persons whose gender it does not tell: ``told``, those that other documents tell."""
+    schema = "doc_key string, text_hash bigint, person string, gender string"
+    named = stage(keyed.select(*_KEY, "text").mapInArrow(_person_finder, schema), "persons")
+    told = named.where("gender != ''").groupBy("person").agg(F.min("gender").alias("gender"), F.max("gender").alias("other"))
+    agreed = told.where("gender = other").drop("other")
+    asked = attach_groups(named.where("gender = ''").drop("gender"), agreed, ["person"], how="inner")
+    return asked.groupBy(*_KEY).agg(F.array_join(F.collect_set(F.concat_ws("=", "person", "gender")), ";").alias("told"))
+
+
 def with_surrogates(docs: DataFrame, key: bytes) -> tuple[DataFrame, str]:
     """The documents with rewritten texts and their other columns, and the name of the added column with
     the spans of the surrogates in the new texts."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    mentions = docs.select("doc_id", "text").mapInArrow(
-        _finder(key), f"doc_id {id_type}, kind string, value string, surrogate string"
-    )
-    mentions = stage(mentions, "mentions")
-    moved = retries(mentions, key)
-
     others = [c for c in docs.columns if c != "text"]
-    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in others]).alias("rest"), "text")
-    none = F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>")
+    doc_key = F.coalesce(F.concat(F.lit("="), docs["doc_id"].cast("string")), F.lit("")).alias("doc_key")
+    rest = F.struct(*[docs[f"`{c}`"] for c in others]).alias("rest")
+    keyed = docs.select(rest, docs["text"], doc_key, F.xxhash64(docs["text"]).alias("text_hash"))
+    told = attach_groups(keyed, genders_told_elsewhere(keyed), _KEY)
+    schema = "doc_key string, text_hash bigint, kind string, value string, surrogate string"
+    mentions = stage(told.select(*_KEY, "text", "told").mapInArrow(_finder(key), schema), "mentions")
+    moved = retries(mentions, key)
     if moved is None:
-        packed = packed.withColumn("tries", none)
+        met = told.withColumn("tries", F.lit(None).cast("string"))
     else:
-        tries = F.collect_set(F.struct("kind", "value", "attempt")).alias("tries")
-        per_doc = stage(mentions.join(moved, ["kind", "value"]).groupBy("doc_id").agg(tries), "tries")
-        packed = packed.join(per_doc, F.col("rest.doc_id").eqNullSafe(F.col("doc_id")), "left").drop("doc_id")
-    rest_type = packed.schema["rest"].dataType.simpleString()
-    out = packed.mapInArrow(_rewriter(key), f"rest {rest_type}, text string, spans {_SPANS}")
+        # The entities of one text, so the list is bounded by it.
+        tries = F.to_json(F.collect_set(F.struct("kind", "value", "attempt"))).alias("tries")
+        met = attach_groups(told, mentions.join(moved, ["kind", "value"]).groupBy(*_KEY).agg(tries), _KEY)
+    met = met.select("rest", "text", "told", "tries")
+    rest_type = met.schema["rest"].dataType.simpleString()
+    out = met.mapInArrow(_rewriter(key), f"rest {rest_type}, text string, spans {_SPANS}")
     name = "spans"
     while name in docs.columns:
         name = "_" + name

@@ -82,11 +82,9 @@ def test_keys_matter_and_reruns_agree(spark):
 def test_collisions_are_resolved(spark, monkeypatch):
     """With room for few names, every name still gets its own, and none that is real."""
     monkeypatch.setattr(surrogates, "_SYLLABLES_IN_NAME", 2)
-    surrogates.surrogate.cache_clear()
     names = [f"N{chr(97 + i // 26)}{chr(97 + i % 26)}or" for i in range(120)]
     names[0] = surrogates.surrogate("family", names[1].casefold(), KEY).capitalize()  # a real name that is a surrogate
     out = rewritten(spark, [f"Mr {n} and again Mr {n}" for n in names])
-    surrogates.surrogate.cache_clear()
     new = []
     for i in range(len(names)):
         a, b = out[i].removeprefix("Mr ").split(" and again Mr ")
@@ -141,3 +139,65 @@ def test_one_surrogate_for_all_mentions(spark):
     given, family = out.removeprefix("Mrs ").split()[:2]
     assert out == f"Mrs {given} {family} called. Later {family} said that Dr {given} {family} is {family.upper()}."
     assert family != "Weber" and given != "Anna"
+
+
+def test_one_person_across_documents(spark):
+    """A title tells the gender for documents that do not, and only for the same person."""
+    texts = ["Dr Anna Weber and Dr Anna Stein", "Mrs Anna Weber", "Prof Anna Weber, Anna", "Dr Kim Lee", "Mr Kim Lee", "Mrs Kim Lee", "Dr Kim Park", "Frau Anna Stein", "Dr Max Moor"]
+    out = rewritten(spark, texts)
+    anna, weber = out[1].removeprefix("Mrs ").split()
+    stein = out[7].split()[-1]
+    assert out[0] == f"Dr {anna} {weber} and Dr {anna} {stein}" and out[2] == f"Prof {anna} {weber}, {anna}"
+    assert anna.endswith("lia") and len({weber, stein, "Weber", "Stein"}) == 4
+    # Told both ways: another person each time, and none of the two where no gender is told.
+    assert len({out[i].split()[1] for i in (3, 4, 5)}) == 3
+    assert out[6].split()[1] == out[3].split()[1]
+
+
+def brute(texts, key=KEY):
+    """A plain dictionary: every entity of a kind and value drawn once, by hand through each text."""
+    told = {}
+    for text in texts:
+        for first, last, gender in surrogates.persons(text or ""):
+            if gender:
+                told.setdefault((first, last), set()).add(gender)
+    agreed = {name: next(iter(g)) for name, g in told.items() if len(g) == 1}
+    found = [surrogates.entities(text or "", agreed) for text in texts]
+    values = sorted({(kind, value) for spans in found for _, _, kind, value in spans})
+    tries = dict.fromkeys(values, 0)
+    while True:
+        new = {v: surrogates.surrogate(*v, key, n) for v, n in tries.items()}
+        taken = set()
+        clash = set()
+        for kind, value in values:
+            if (kind, new[kind, value]) in taken or (kind, new[kind, value]) in tries:
+                clash.add((kind, value))
+            taken.add((kind, new[kind, value]))
+        if not clash:
+            break
+        for v in clash:
+            tries[v] += 1
+    out = []
+    for text, spans in zip(texts, found, strict=True):
+        for start, end, kind, value in reversed(spans):
+            text = text[:start] + surrogates._written(kind, text[start:end], new[kind, value]) + text[end:]
+        out.append(text)
+    return out
+
+
+def test_rewriting_against_a_dictionary(spark, table, monkeypatch):
+    texts = [r.text for r in table("documents").collect()]
+    texts += [None, "", "Mrs Anna Weber", "Dr Anna Weber. Anna at 10.0.0.7", "a.b@mail7.example.com +1 (168) 555-5254", "Mr Nabetor, Mr Nabetor Kim"]
+    assert [rewritten(spark, texts)[i] for i in range(len(texts))] == brute(texts)
+    # Few names to draw from, so that some need longer ones.
+    monkeypatch.setattr(surrogates, "_SYLLABLES_IN_NAME", 1)
+    names = [f"Mr N{chr(97 + i // 26)}{chr(97 + i % 26)}or" for i in range(60)]
+    out = rewritten(spark, names)
+    assert [out[i] for i in range(60)] == brute(names) and len(set(out.values())) == 60
+
+
+def test_rows_without_an_id_do_not_share_tries(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "_SYLLABLES_IN_NAME", 1)
+    names = [f"Mr N{chr(97 + i // 26)}{chr(97 + i % 26)}or" for i in range(60)]
+    df = spark.createDataFrame([(None, n) for n in names], "doc_id long, text string")
+    assert sorted(r.text for r in surrogates.rewrite(df, KEY).collect()) == sorted(brute(names))
