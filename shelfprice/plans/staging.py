@@ -64,12 +64,13 @@ def drop_staged(spark: SparkSession) -> None:
     _delete(spark, shared_folder(spark))
 
 
-def delete_matching(spark: SparkSession, pattern: str) -> None:
-    """Delete the folders that match a glob pattern, if any."""
+def delete_matching(spark: SparkSession, pattern: str, keep: frozenset[str] | set[str] = frozenset()) -> None:
+    """Delete the folders that match a glob pattern, if any, but those of these names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     for status in found or ():
-        _delete(spark, status.getPath().toString())
+        if status.getPath().getName() not in keep:
+            _delete(spark, status.getPath().toString())
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from shelfprice.schema import BASE_TYPES, CLEANED_TYPES, ORDER_KEY, RAW_COLUMNS
 from shelfprice.sources.csv import WRITE_OPTIONS
-
+from shelfprice.sources.snapshots import file_system, put_json, read_json
 
 # A versioned table is a folder of versions and this file, which names the current one and its columns.
 _CURRENT = "_current.json"
@@ -43,34 +42,10 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
     return table.withColumn("platform", _unnamed(F.col("platform"))).select(*schema.names)
 
 
-def _file_system(spark: SparkSession, path: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _read_current(spark: SparkSession, path: str) -> dict | None:
-    file, system = _file_system(spark, f"{path.rstrip('/')}/{_CURRENT}")
-    if not system.exists(file):
-        return None
-    stream = system.open(file)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
-
-
-def _switch(spark: SparkSession, path: str, current: dict) -> None:
-    """Put a new pointer in the place of the old one; the file is complete before it gets its name."""
-    new, system = _file_system(spark, f"{path}/.{current['version']}.json")
-    stream = system.create(new, True)
-    stream.write(json.dumps(current).encode())
-    stream.close()
-    jvm = spark._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context.rename(system.makeQualified(new), system.makeQualified(_file_system(spark, f"{path}/{_CURRENT}")[0]), options)
+    name = f"{path.rstrip('/')}/{_CURRENT}"
+    file, system = file_system(spark, name)
+    return read_json(spark, name) if system.exists(file) else None
 
 
 def read_listings_jdbc(
@@ -106,9 +81,10 @@ def write_cleaned(cleaned: DataFrame, path: str, rebalance: bool = True) -> None
         named = named.hint("rebalance", "platform")
     named.write.partitionBy("platform").parquet(f"{path}/{version}")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in typed.schema])
-    _switch(spark, path, {"version": version, "before": before and before["version"], "schema": schema.jsonValue()})
+    current = {"version": version, "before": before and before["version"], "schema": schema.jsonValue()}
+    put_json(spark, f"{path}/{_CURRENT}", current, replace=True)
     if before and before["before"]:
-        folder, system = _file_system(spark, f"{path}/{before['before']}")
+        folder, system = file_system(spark, f"{path}/{before['before']}")
         system.delete(folder, True)
 
 

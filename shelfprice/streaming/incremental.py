@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +13,12 @@ from shelfprice.operators.load import (
     insert_if_absent,
     load_summary,
     quarantined,
-    reduce_stored,
 )
 from shelfprice.plans.staging import delete_matching, staged
 from shelfprice.schema import BASE_TYPES, ORDER_KEY
 from shelfprice.sources.csv import CSV_FILES, read_raw_csv
+from shelfprice.sources.snapshots import commit, load_folder, read_snapshot
+from shelfprice.sources.urls import add_urls, stored_urls
 
 # Files that are read as one batch of rows; a larger backlog is loaded in several.
 FILES_PER_LOAD = 10_000
@@ -32,48 +32,40 @@ def _table_schema() -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{name} {type_}" for name, type_ in columns.items()))
 
 
-def _read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def read_loaded(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """The base table written by :func:`load_drops`, as last committed or in an earlier state; empty before the first load."""
+    return read_snapshot(spark, table, version).read(spark, "rows", _table_schema())
 
 
-def read_loaded(spark: SparkSession, table: str) -> DataFrame:
-    """The base table written by :func:`load_drops`; empty before the first load."""
-    return _read(spark, table, _table_schema())
-
-
-def summary_folder(table: str) -> str:
-    return f"{table.rstrip('/')}-summary"
-
-
-def read_summary(spark: SparkSession, table: str) -> DataFrame:
+def read_summary(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
     """Rows offered, inserted and skipped per load and platform, as :func:`load_drops` wrote them."""
     schema = "platform string, offered bigint, inserted bigint, skipped bigint, load_id string"
-    return _read(spark, summary_folder(table), T.StructType.fromDDL(schema))
+    return read_snapshot(spark, table, version).read(spark, "summary", T.StructType.fromDDL(schema))
 
 
 def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: str | None, load_id: str) -> None:
+    """One load, committed at its end; a load that is committed already is left as it is."""
+    snapshot = read_snapshot(spark, table)
+    if any(load["load_id"] == load_id for load in snapshot.loads):
+        return
     # The text files are parsed once; counting, checking and inserting read the staged rows.
     with staged(coerce_types(read_raw_csv(spark, paths)), "drops") as raw:
         batch = apply_contract(raw, "quarantine" if quarantine else "fail")
-        # Everything but this load: when a failed batch is retried, its own rows don't count.
-        earlier = read_loaded(spark, table).where(F.col("load_id") != load_id)
-        last = earlier.agg(F.max(f"{ORDER_KEY}.load")).first()[0]
-        load = F.lit(0 if last is None else last + 1).cast("bigint").alias("load")
-        key = F.struct(load, f"{ORDER_KEY}.path", f"{ORDER_KEY}.row")
-        fresh = insert_if_absent(batch, reduce_stored(earlier.select("product_url"), batch))
+        number = max((load["number"] for load in snapshot.loads), default=-1) + 1
+        key = F.struct(F.lit(number).cast("bigint").alias("load"), f"{ORDER_KEY}.path", f"{ORDER_KEY}.row")
+        fresh = insert_if_absent(batch, stored_urls(spark, snapshot, batch))
         fresh = fresh.withColumns({ORDER_KEY: key, "created_at": F.localtimestamp()})
-        target = f"{table}/load_id={load_id}"
+        target = load_folder(snapshot.table, "rows", load_id)
         fresh.write.mode("overwrite").parquet(target)
         if quarantine:
             quarantined(raw).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
         inserted = spark.read.schema(fresh.schema).parquet(target)
+        filters = add_urls(spark, snapshot, load_id, inserted.select("product_url").where(F.col("product_url").isNotNull()))
         result = load_summary(batch, inserted, inserted.limit(0))
-        result.coalesce(1).write.mode("overwrite").parquet(f"{summary_folder(table)}/load_id={load_id}")
+        result.coalesce(1).write.mode("overwrite").parquet(load_folder(snapshot.table, "summary", load_id))
+        parts = ["rows", "urls", "summary"]
+        load = {"load_id": load_id, "number": number, "parts": parts, "files": len(paths), "last_path": paths[-1]}
+        commit(spark, snapshot, load, {**snapshot.notes, "filters": filters})
 
 
 def load_drops(
@@ -89,18 +81,23 @@ def load_drops(
     The stream carries file names only. All waiting files are one batch and go by name; cut into loads
     of ``files_per_load``, they are read header-bound, checked and inserted where their URLs are new. As
     the cuts follow the order by which the first row of a URL wins, they do not change what is loaded. A
-    load writes directories of its own (rows, quarantine, summary) and a retried batch first removes
-    those it left, so loading is exactly-once. One stream per table: plain Parquet does not arbitrate
-    between writers. Without a ``quarantine`` folder a row that breaks the contract fails the load.
+    load writes directories of its own (rows, URLs, quarantine, summary) and commits them by one manifest; readers see
+    committed loads only. A retried batch goes on behind its committed loads and first removes what the others left, so loading is
+    exactly-once. Of two writers that load at the same time the later one is refused and may repeat its load.
+    Without a ``quarantine`` folder a row that breaks the contract fails the load.
     """
 
     def load_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         paths = sorted(row.path for row in files.select("path").collect())
         batch = f"{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:06d}"
-        for folder in filter(None, (table, quarantine, summary_folder(table))):
-            delete_matching(session, f"{folder}/load_id={batch}-*")
-        for number, at in enumerate(range(0, len(paths), files_per_load)):
+        done = [load for load in read_snapshot(session, table).loads if load["load_id"].startswith(f"{batch}-")]
+        committed = {f"load_id={load['load_id']}" for load in done}
+        for folder in filter(None, (f"{table}/rows", f"{table}/urls", f"{table}/summary", quarantine)):
+            delete_matching(session, f"{folder}/load_id={batch}-*", keep=committed)
+        if done:
+            paths = [path for path in paths if path > done[-1]["last_path"]]
+        for number, at in enumerate(range(0, len(paths), files_per_load), len(done)):
             _load_files(session, paths[at : at + files_per_load], table, quarantine, f"{batch}-{number:06d}")
 
     files = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).options(**CSV_FILES).load(landing).select("path")
