@@ -60,12 +60,12 @@ def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: s
         if quarantine:
             quarantined(raw).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
         inserted = spark.read.schema(fresh.schema).parquet(target)
-        filters = add_urls(spark, snapshot, load_id, inserted.select("product_url").where(F.col("product_url").isNotNull()))
+        index, notes = add_urls(spark, snapshot, load_id, inserted.select("product_url").where(F.col("product_url").isNotNull()))
         result = load_summary(batch, inserted, inserted.limit(0))
         result.coalesce(1).write.mode("overwrite").parquet(load_folder(snapshot.table, "summary", load_id))
         parts = ["rows", "urls", "summary"]
-        load = {"load_id": load_id, "number": number, "parts": parts, "files": len(paths), "last_path": paths[-1]}
-        commit(spark, snapshot, load, {**snapshot.notes, "filters": filters})
+        load = {"load_id": load_id, "number": number, "parts": parts, "files": len(paths), "last_path": paths[-1], **index}
+        commit(spark, snapshot, load, {**snapshot.notes, **notes})
 
 
 def load_drops(
