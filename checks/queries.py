@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,8 @@ from shelfprice.functions.parse import (
 from shelfprice.operators import charts, clean, deals, extract, load, report, stats, views
 from shelfprice.operators.views import ListingFilter
 from shelfprice.plans.staging import new_path, stage
-from shelfprice.schema import DISPLAY_COLUMNS, ORDER_KEY, RAW_COLUMNS
+from shelfprice.schema import CLEANED_TYPES, DISPLAY_COLUMNS, ORDER_KEY, RAW_COLUMNS
+from shelfprice.sources.clustered import CLUSTER_BY
 from shelfprice.sources.csv import read_raw_csv, write_raw_csv
 from shelfprice.sources.reports import read_report, write_report
 from shelfprice.sources.tables import read_listings, write_cleaned, write_export
@@ -128,7 +130,10 @@ def _contract_input(spark: SparkSession, sf: str) -> DataFrame:
         "rating": when(71, "rating", F.lit(12.345)),
         "review_count": when(83, "review_count", F.lit(3000000000)),
     }
-    return df.select(*[broken.get(c, F.col(c)) for c in RAW_COLUMNS], ORDER_KEY)
+    odd = F.when(F.col(f"{ORDER_KEY}.l_orderkey") % 89 == 0, F.element_at(F.array(*map(F.lit, ("nan", " -INF", "Infinity"))), F.col(f"{ORDER_KEY}.l_linenumber").cast("int") % 3 + 1))
+    broken["original_price"] = F.coalesce(odd, F.col("original_price").cast("string")).alias("original_price")
+    text = df.select(*[broken.get(c, F.col(c)).cast("string").alias(c) for c in RAW_COLUMNS], ORDER_KEY)
+    return load.coerce_types(text, note_not_finite=True)
 
 
 def contract_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,7 +151,8 @@ register(
     f"""WITH {raw()}, b AS (SELECT * REPLACE ({_broken_sql(61, 'platform', 'NULL')},
   {_broken_sql(67, 'product_name', 'NULL')}, {_broken_sql(79, 'brand', "repeat('b', 256)")},
   {_broken_sql(59, 'current_price', 'current_price*1e9')}, {_broken_sql(73, 'discount_pct', '999.995')},
-  {_broken_sql(71, 'rating', '12.345')}, {_broken_sql(83, 'review_count', '3000000000')}) FROM raw),
+  {_broken_sql(71, 'rating', '12.345')}, {_broken_sql(83, 'review_count', '3000000000')},
+  {_broken_sql(89, 'original_price', 'NULL')}) FROM raw),
 v AS (SELECT product_url, concat_ws(', ',
   CASE WHEN platform IS NULL THEN 'platform missing' END,
   CASE WHEN length(platform)>50 THEN 'platform too long' END,
@@ -154,6 +160,7 @@ v AS (SELECT product_url, concat_ws(', ',
   CASE WHEN length(brand)>255 THEN 'brand too long' END,
   CASE WHEN abs(current_price)>=99999999.995 THEN 'current_price not decimal(10,2)' END,
   CASE WHEN abs(original_price)>=99999999.995 THEN 'original_price not decimal(10,2)' END,
+  CASE WHEN l_orderkey%89=0 THEN 'original_price not finite' END,
   CASE WHEN abs(discount_pct)>=999.995 THEN 'discount_pct not decimal(5,2)' END,
   CASE WHEN abs(rating)>=9.995 THEN 'rating not decimal(3,2)' END,
   CASE WHEN review_count>2147483647 THEN 'review_count not int' END,
@@ -177,7 +184,7 @@ register(
   CAST(CAST(rating AS VARCHAR) AS DECIMAL(3,2)) AS rating, review_count, product_url,
   CAST(scraped_at AS TIMESTAMP) AS scraped_at, category FROM raw
 WHERE l_orderkey%61<>0 AND l_orderkey%67<>0 AND l_orderkey%79<>0 AND l_orderkey%73<>0 AND l_orderkey%71<>0
-  AND l_orderkey%83<>0 AND l_orderkey%53<>0 AND NOT (l_orderkey%59=0 AND coalesce(current_price*1e9>=99999999.995, false))""",
+  AND l_orderkey%83<>0 AND l_orderkey%53<>0 AND l_orderkey%89<>0 AND NOT (l_orderkey%59=0 AND coalesce(current_price*1e9>=99999999.995, false))""",
 )
 
 
@@ -618,12 +625,12 @@ def _quartiles_sql(source: str) -> str:
   WHERE current_price IS NOT NULL GROUP BY platform) q"""
 
 
-def _box_sql(source: str) -> str:
+def _box_sql(source: str, quartiles: Callable[[str], str] = _quartiles_sql) -> str:
     return f"""SELECT platform, q1, median, q3,
   min(current_price) FILTER (current_price BETWEEN low AND high) AS low_whisker,
   max(current_price) FILTER (current_price BETWEEN low AND high) AS high_whisker,
   count(*) FILTER (current_price NOT BETWEEN low AND high) AS outliers, count(*) AS priced
-FROM {source} JOIN ({_quartiles_sql(source)}) b USING (platform) WHERE current_price IS NOT NULL
+FROM {source} JOIN ({quartiles(source)}) b USING (platform) WHERE current_price IS NOT NULL
 GROUP BY platform, q1, median, q3"""
 
 
@@ -750,6 +757,73 @@ register(
     on_cleaned(lambda df: views.filtered_box(df, CHOICE)),
     over(_VIEW, _box_sql("chosen")),
 )
+
+
+def _hazen_sql(source: str) -> str:
+    def quantile(p: float) -> str:
+        at = f"least(greatest({p}*n-0.5, 0), n-1)"
+        low, high = (f"v[CAST({f}({at}) AS BIGINT)+1]" for f in ("floor", "ceil"))
+        return r6(f"({low}+({at}-floor({at}))*({high}-{low}))")
+
+    q = {name: quantile(p) for name, p in charts.QUARTILES.items()}
+    return f"""SELECT platform, q1, median, q3, {r6('q1-(q3-q1)*1.5')} AS low, {r6('q3+(q3-q1)*1.5')} AS high FROM (
+  SELECT platform, {q['q1']} AS q1, {q['median']} AS median, {q['q3']} AS q3 FROM (
+    SELECT platform, list(current_price ORDER BY current_price) AS v, count(*) AS n FROM {source}
+    WHERE current_price IS NOT NULL GROUP BY platform) s) q"""
+
+
+register(
+    "filtered_box_hazen",
+    on_cleaned(lambda df: views.filtered_box(df, CHOICE, method="hazen")),
+    over(_VIEW, _box_sql("chosen", _hazen_sql)),
+)
+
+# --- empty input -----------------------------------------------------------------------------
+
+_NOTHING = ListingFilter(price_min=1e12)
+_EMPTY_VIEW = f"{CLEANED}, chosen AS (SELECT * FROM cleaned WHERE current_price>=1e12)"
+_EMPTY: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
+    "kpi_row": (views.kpi_row, _KPI.replace("/count(*)*100", "/nullif(count(*), 0)*100")),
+    "avg_discount_by_platform": (views.avg_discount_by_platform, f"SELECT platform, {r2(mean('discount_pct'))} AS d FROM chosen GROUP BY platform"),
+    "top_brands": (stats.top_brands_count, _TOP_BRANDS.format(source="chosen", n=10)),
+    "bubble": (charts.brand_bubble, _bubble_sql("chosen")),
+    "buckets": (charts.bucket_share, _share_sql("chosen")),
+    "histogram": (charts.discount_histogram, _histogram_sql("chosen")),
+    "box": (charts.price_box_stats, _box_sql("chosen")),
+    "extremes": (stats.price_extremes, "SELECT platform FROM chosen WHERE current_price IS NOT NULL GROUP BY platform"),
+    "outliers": (charts.price_outliers, "SELECT * FROM chosen"),
+    "deals": (deals.genuine_deals, "SELECT * FROM chosen"),
+    "overview": (stats.platform_overview, "SELECT platform FROM chosen GROUP BY platform"),
+    "distribution": (stats.discount_distribution, "SELECT count(*) FROM chosen"),
+    "over50": (stats.over50_by_platform, "SELECT platform FROM chosen GROUP BY platform"),
+    "cleaned": (clean.clean, "SELECT * FROM chosen"),
+}
+
+
+def empty_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Every statistic over a view without listings: its number of rows, and the first as JSON."""
+    nothing = views.filter_listings(fx.cleaned_listings(spark, sf), _NOTHING)
+    parts = []
+    for name, (operator, _) in _EMPTY.items():
+        found = operator(nothing)
+        row = F.to_json(F.struct(*found.columns), {"ignoreNullFields": "false"}) if name == "kpi_row" else F.lit(None).cast("string")
+        parts.append(found.select(row.alias("row")).agg(F.count(F.lit(1)).alias("rows"), F.max("row").alias("row")).withColumn("statistic", F.lit(name)))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+register(
+    "empty_view",
+    empty_view,
+    over(
+        _EMPTY_VIEW,
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS statistic, count(*) AS rows, "
+            + ("CAST(max(to_json(q)) AS VARCHAR)" if name == "kpi_row" else "NULL::VARCHAR")
+            + f" AS row FROM ({sql}) q"
+            for name, (_, sql) in _EMPTY.items()
+        ),
+    ),
+)
 _TERM = " Anvil"
 _MATCH = "(contains(lower(product_name), 'anvil') OR coalesce(contains(lower(brand), 'anvil'), false))"
 register(
@@ -906,13 +980,12 @@ register("replaced_cleaned", replaced_cleaned, f"SELECT * FROM ({ORACLES['cleane
 
 
 def export_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Filter, search and display columns of the view, written as CSV and read back as text."""
+    """Filter, search and display columns of the view, written as CSV and read back, row by row."""
     path = new_path(spark, "export")
-    view = views.filter_listings(fx.cleaned_listings(spark, sf), ListingFilter(price_max=50.0, min_discount=50))
+    view = views.filter_listings(fx.cleaned_listings(spark, sf), ListingFilter(price_max=500.0, min_discount=10))
     write_export(views.display_columns(views.search_listings(view, "a[lr]m", regex=True)), path)
-    back = spark.read.csv(path, header=True, escape='"', schema=", ".join(f"{c} string" for c in DISPLAY_COLUMNS))
-    counted = back.groupBy("platform", F.coalesce("brand", F.lit("")).alias("brand"))
-    return counted.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("current_price").cast("double")).alias("dearest"))
+    schema = ", ".join(f"{c} {CLEANED_TYPES[c]}" for c in DISPLAY_COLUMNS)
+    return spark.read.csv(path, header=True, escape='"', schema=schema, enforceSchema=False)
 
 
 register(
@@ -920,10 +993,29 @@ register(
     export_view,
     over(
         CLEANED,
-        """SELECT platform, brand, count(*) AS n, max(current_price) AS dearest FROM cleaned
-WHERE current_price BETWEEN 0 AND 50 AND discount_pct>=50
-  AND (regexp_matches(lower(product_name), 'a[lr]m') OR regexp_matches(lower(brand), 'a[lr]m'))
-GROUP BY platform, brand""",
+        """SELECT platform, brand, product_name, current_price, original_price, discount_pct, rating, review_count,
+  category, scraped_at FROM cleaned
+WHERE current_price BETWEEN 0 AND 500 AND discount_pct>=10
+  AND (regexp_matches(lower(product_name), 'a[lr]m') OR regexp_matches(lower(brand), 'a[lr]m'))""",
+    ),
+)
+
+
+def clustered_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned table laid out along a curve over brand, price and more, and a view by brand and price of it."""
+    path = new_path(spark, "clustered")
+    write_cleaned(fx.cleaned_listings(spark, sf), path, cluster_by=CLUSTER_BY, rows_per_file=2000)
+    return _listing_columns(views.filter_table(spark, path, _CLUSTERED_CHOICE))
+
+
+_CLUSTERED_CHOICE = ListingFilter(price_min=100, price_max=300, brands=["Brand#13", "Brand#31"], min_discount=20)
+register(
+    "clustered_view",
+    clustered_view,
+    over(
+        CLEANED,
+        f"""SELECT {LISTING_COLUMNS} FROM cleaned WHERE current_price BETWEEN 100 AND 300
+  AND brand IN ('Brand#13','Brand#31') AND discount_pct>=20""",
     ),
 )
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # "12f" or "1.5d", and "nan" / "inf", out.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
+# Text that number parsers read as a number that is not finite.
+NOT_FINITE_PATTERN = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
 
 def rint2(x: Column) -> Column:
     """Two decimals, ties to even on the scaled binary value (the rounding of numeric arrays)."""
@@ -30,6 +33,12 @@ def to_double(text: Column) -> Column:
     return F.when(F.abs(number) < float("inf"), number)
 
 
+def is_not_finite(text: Column) -> Column:
+    """Whether a cell spells NaN or infinity, or a number beyond all doubles."""
+    number = F.when(text.rlike(NUMBER_PATTERN), F.trim(text)).try_cast("double")
+    return F.coalesce(text.rlike(NOT_FINITE_PATTERN) | (F.abs(number) == float("inf")), F.lit(False))
+
+
 def to_whole(text: Column) -> Column:
     """Text to BIGINT by truncating a float towards zero."""
     return to_double(text).try_cast("bigint")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfprice.functions.numeric import empty_to_null, to_double, to_whole
+from shelfprice.functions.numeric import empty_to_null, is_not_finite, to_double, to_whole
 from shelfprice.plans.joins import BROADCAST_ROWS, is_small
 from shelfprice.plans.topk import first_per_group
 from shelfprice.schema import (
@@ -22,8 +22,16 @@ from shelfprice.schema import (
 )
 
 
-def coerce_types(raw: DataFrame) -> DataFrame:
-    """Text cells to values: '' is NULL, float and whole-number fields NULL when unparseable."""
+# Names of the number cells of a row that said nan or infinity: they are NULL, but not missing.
+NOT_FINITE = "not_finite"
+
+
+def coerce_types(raw: DataFrame, note_not_finite: bool = False) -> DataFrame:
+    """Text cells to values: '' is NULL, float and whole-number fields NULL when unparseable.
+
+    Cells that spell a number which is not finite are NULL too; with ``note_not_finite`` a column ``not_finite`` names
+    them, by which the contract rejects the row.
+    """
 
     def coerced(name: str) -> Column:
         if name in FLOAT_COLUMNS:
@@ -32,15 +40,18 @@ def coerce_types(raw: DataFrame) -> DataFrame:
             return to_whole(F.col(name))
         return empty_to_null(F.col(name)) if raw.schema[name].dataType.simpleString() == "string" else F.col(name)
 
-    return raw.select(*[coerced(c).alias(c) for c in raw.columns])
+    numbers = [c for c in raw.columns if c in FLOAT_COLUMNS + INT_COLUMNS]
+    odd = F.array_compact(F.array(*[F.when(is_not_finite(F.col(c)), F.lit(c)) for c in numbers])).cast("array<string>")
+    noted = [odd.alias(NOT_FINITE)] if note_not_finite else []
+    return raw.select(*[coerced(c).alias(c) for c in raw.columns], *noted)
 
 
 def project_listing(df: DataFrame) -> DataFrame:
-    """The eleven listing columns (and the order key, if any); a missing column is an error."""
+    """The eleven listing columns (and order key and odd numbers, if any); a missing column is an error."""
     missing = [c for c in RAW_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"listing columns missing: {missing}")
-    return df.select(*RAW_COLUMNS, *([ORDER_KEY] if ORDER_KEY in df.columns else []))
+    return df.select(*RAW_COLUMNS, *[c for c in (ORDER_KEY, NOT_FINITE) if c in df.columns])
 
 
 def _as_base_type(name: str) -> Column:
@@ -69,6 +80,8 @@ def contract_checks(df: DataFrame) -> dict[str, Column]:
             checks[f"{name} too long"] = F.length(name) > MAX_LENGTHS[name]
         if type_ != "string":
             checks[f"{name} not {type_}"] = _unfit(df, name)
+        if NOT_FINITE in df.columns and name in FLOAT_COLUMNS + INT_COLUMNS:
+            checks[f"{name} not finite"] = F.array_contains(NOT_FINITE, name)
     return {reason: F.coalesce(holds, F.lit(False)) for reason, holds in checks.items()}
 
 
@@ -101,7 +114,7 @@ def apply_contract(df: DataFrame, mode: str = "quarantine") -> DataFrame:
 def quarantined(df: DataFrame) -> DataFrame:
     """Rows that break the contract, with the broken rules in ``violations``."""
     df = project_listing(df)
-    return df.where(_broken(df)).withColumn("violations", violations(df))
+    return df.where(_broken(df)).withColumn("violations", violations(df)).drop(NOT_FINITE)
 
 
 def _url_keys() -> list[Column]:

@@ -12,6 +12,8 @@ from shelfprice.functions.numeric import exact_mean, rint2
 from shelfprice.operators.charts import brand_bubble, bucket_share, discount_histogram, price_box_stats
 from shelfprice.operators.stats import top_brands_count
 from shelfprice.schema import DISPLAY_COLUMNS
+from shelfprice.sources.clustered import Wanted
+from shelfprice.sources.tables import read_listings
 
 OPTION_BRANDS = 20
 DEFAULT_MAX_PRICE = 1000.0
@@ -81,6 +83,16 @@ def filter_listings(listings: DataFrame, choice: ListingFilter = ListingFilter()
     return listings.where(kept)
 
 
+def filter_table(spark: SparkSession, path: str, choice: ListingFilter = ListingFilter()) -> DataFrame:
+    """:func:`filter_listings` over a stored table; of a clustered one only files with such prices, brands and discounts are opened."""
+    wanted: Wanted = {"current_price": (choice.price_min, choice.price_max)}
+    if choice.brands:
+        wanted["brand"] = list(choice.brands)
+    if choice.min_discount > 0:
+        wanted["discount_pct"] = (choice.min_discount, None)
+    return filter_listings(read_listings(spark, path, wanted), choice)
+
+
 def kpi_row(view: DataFrame) -> DataFrame:
     """One row: listings, mean price, mean discount, percent with a stated discount."""
     n = F.count(F.lit(1))
@@ -118,8 +130,8 @@ def filtered_histogram(listings: DataFrame, choice: ListingFilter) -> DataFrame:
     return discount_histogram(filter_listings(listings, choice))
 
 
-def filtered_box(listings: DataFrame, choice: ListingFilter) -> DataFrame:
-    return price_box_stats(filter_listings(listings, choice))
+def filtered_box(listings: DataFrame, choice: ListingFilter, method: str = "linear") -> DataFrame:
+    return price_box_stats(filter_listings(listings, choice), method)
 
 
 def _compile(pattern: str) -> None:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import csv as text_csv
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfprice.plans.staging import delete_matching
 from shelfprice.schema import ORDER_KEY, RAW_COLUMNS, RAW_SCHEMA
 
 # Drops are *.csv files, directly in the folder or in one directory per run.
@@ -94,9 +95,12 @@ def write_raw_csv(listings: DataFrame, folder: str, run: str, columns: list[str]
     Every run is a directory of its own, so drops never overwrite each other. An empty batch writes
     nothing and returns "".
     """
-    if listings.isEmpty():
-        return ""
     path = f"{folder.rstrip('/')}/{run}"
-    out = listings.select(*(columns or RAW_COLUMNS))
+    # Rows are counted as they are written, so the input runs once.
+    written = Observation()
+    out = listings.select(*(columns or RAW_COLUMNS)).observe(written, F.count(F.lit(1)).alias("rows"))
     out.write.options(**WRITE_OPTIONS).csv(path)
+    if not written.get["rows"]:
+        delete_matching(listings.sparkSession, path)
+        return ""
     return path

@@ -49,7 +49,7 @@ def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: s
     if any(load["load_id"] == load_id for load in snapshot.loads):
         return
     # The text files are parsed once; counting, checking and inserting read the staged rows.
-    with staged(coerce_types(read_raw_csv(spark, paths)), "drops") as raw:
+    with staged(coerce_types(read_raw_csv(spark, paths), note_not_finite=True), "drops") as raw:
         batch = apply_contract(raw, "quarantine" if quarantine else "fail")
         number = max((load["number"] for load in snapshot.loads), default=-1) + 1
         key = F.struct(F.lit(number).cast("bigint").alias("load"), f"{ORDER_KEY}.path", f"{ORDER_KEY}.row")

@@ -16,7 +16,7 @@ def plan_of(df, run=False):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-WRITING = {"incremental_load", "loaded_extremes", "loader_summary", "replaced_cleaned", "export_view", "report_json", "report_rows", "raw_csv_roundtrip"}
+WRITING = {"clustered_view", "incremental_load", "loaded_extremes", "loader_summary", "replaced_cleaned", "export_view", "report_json", "report_rows", "raw_csv_roundtrip"}
 READ_ONLY = sorted(set(QUERIES) - WRITING - {"saved_report_kpi"})
 
 

@@ -126,3 +126,18 @@ def test_coerce_types(spark):
         "rating string, platform string",
     )
     assert tuple(load.coerce_types(raw).first()) == (None, None, 7.0, None, 12, None, "kept ")
+
+
+def test_numbers_that_are_not_finite_are_rejected_with_a_reason(spark):
+    cells = {"platform": "p", "product_name": "n", "scraped_at": "2024-01-05T10:00:00"}
+    odd = [("current_price", " NaN "), ("rating", "-inf"), ("review_count", "Infinity"), ("original_price", "1e999"), ("discount_pct", "abc"), ("brand", "nan")]
+    rows = [tuple({**cells, c: v}.get(x) for x in RAW_COLUMNS) + (i,) for i, (c, v) in enumerate(odd)]
+    text = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS) + ", order_key long")
+    typed = load.coerce_types(text, note_not_finite=True)
+    bad = load.quarantined(typed)
+    assert "not_finite" not in bad.columns
+    assert sorted(v for r in bad.collect() for v in r["violations"]) == sorted(f"{c} not finite" for c, _ in odd[:4])
+    assert load.apply_contract(typed).columns == [*RAW_COLUMNS, "order_key"]
+    kept = load.apply_contract(typed).collect()
+    assert {r["order_key"] for r in kept} == {4, 5} and all(r["discount_pct"] is None for r in kept)
+    assert load.apply_contract(load.coerce_types(text)).count() == 6

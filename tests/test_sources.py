@@ -1,3 +1,4 @@
+import uuid
 import datetime
 import json
 
@@ -173,3 +174,21 @@ def test_profile_serves_overview_and_insights_alike(listings):
     df = report_rows(listings)
     profile = stats.platform_profile(df)
     assert values(stats.insights_of_profile(profile)) == values(stats.key_insights(df))
+
+
+def jobs_of(spark, work):
+    group = f"counted-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "")
+    work()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_drop_is_written_by_one_job(spark, tmp_path):
+    """The input runs once, also when it turns out to be empty."""
+    rows = spark.range(100).repartition(3).selectExpr(*[f"cast(id AS string) AS {c}" for c in RAW_COLUMNS])
+    rows.count()
+    assert jobs_of(spark, lambda: csv.write_raw_csv(rows.coalesce(1), str(tmp_path), "a")) <= 2
+    none = spark.range(100).where("id < rand() - 1").selectExpr(*[f"cast(id AS string) AS {c}" for c in RAW_COLUMNS])
+    assert jobs_of(spark, lambda: csv.write_raw_csv(none, str(tmp_path), "b")) == 1
+    assert (tmp_path / "a").exists() and not (tmp_path / "b").exists()
