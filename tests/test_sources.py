@@ -1,6 +1,6 @@
-import uuid
 import datetime
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
