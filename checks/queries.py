@@ -858,14 +858,19 @@ register(
 
 register(
     "extract_cards",
-    lambda spark, sf: _listing_columns(extract.extract_listings(pages.captured_pages(spark, sf))),
+    lambda spark, sf: _listing_columns(extract.listings_of_cards(pages.page_cards(spark, sf))),
     pages.EXPECTED,
 )
 register(
     "extraction_summary",
-    lambda spark, sf: extract.extraction_summary(extract.card_texts(pages.captured_pages(spark, sf))),
+    lambda spark, sf: extract.extraction_summary(pages.page_cards(spark, sf)),
     pages.EXPECTED_SUMMARY,
 )
+register(
+    "extraction_errors",
+    lambda spark, sf: extract.extract(pages.captured_pages(spark, sf).where("layout IN ('Q', 'L')")).errors,
+    pages.EXPECTED_ERRORS,
+)
 
 
 def raw_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

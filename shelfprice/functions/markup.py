@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
+from itertools import accumulate
 
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _NO_TEXT = {"script", "style", "template"}
@@ -171,43 +172,51 @@ class Matches:
     """Which elements of a page fit which selectors; each selector is matched once for the whole page.
 
     Elements are known by their number in document order, so that those inside an element are a range of
-    numbers. Whether an element or one above it fits the upper part of a selector is handed down from
-    parent to child, so a selector costs the same per element however deep the page is nested.
+    numbers. They are listed by tag, class and attribute, and a selector tests only those that have what it names; the
+    ranges of the elements that fit its upper part tell whether one of them lies above, however deep the page is nested.
     """
 
     def __init__(self, root: Element):
         self.elements = list(root.elements())
         self.ends = list(range(1, len(self.elements) + 1))
         self._known: dict[int, tuple[list, list[int]]] = {}
+        self._having: dict[tuple[str, str], list[int]] = defaultdict(list)
         for number, element in enumerate(self.elements):
             element.number = number
+            self._having["tag", element.tag].append(number)
+            for name in element.attrs:
+                self._having["attr", name].append(number)
+            for name in set(element.classes):
+                self._having["cls", name].append(number)
         for element in reversed(self.elements):
             above = element.parent
             if above is not root and self.ends[above.number] < self.ends[element.number]:
                 self.ends[above.number] = self.ends[element.number]
 
-    def _fitting(self, chain: list) -> list[bool]:
-        fits: list[bool] = []
+    def _candidates(self, tests: list) -> list[int] | range:
+        """Numbers of the elements that have the rarest of the things that the tests name."""
+        lists = [self._having.get(key, []) for tag, cls, attr, *_ in tests for key in (("tag", tag), ("cls", cls), ("attr", attr)) if key[1]]
+        return min(lists, key=len, default=range(len(self.elements)))
+
+    def _fitting(self, chain: list) -> list[int]:
+        fits: list[int] = []
         for place in range(len(chain) - 1, -1, -1):
             relation, tests = chain[place]
-            upper, fits, below = fits, [], []
-            for element in self.elements:
-                above = element.parent.number
-                if place == len(chain) - 1:
-                    holds = True
-                elif relation == "+":
-                    holds = element.before is not None and upper[element.before.number]
-                else:
-                    # below: whether an element above this one fits the upper part.
-                    below.append(above >= 0 and (upper[above] or below[above]))
-                    holds = below[-1]
-                fits.append(holds and _fits_one(element, tests))
+            found = [n for n in self._candidates(tests) if _fits_one(self.elements[n], tests)]
+            if place == len(chain) - 1:
+                fits = found
+            elif relation == "+":
+                upper = set(fits)
+                fits = [n for n in found if (before := self.elements[n].before) is not None and before.number in upper]
+            else:
+                # Ranges of elements nest, so one that begins before an element and ends behind it lies around it.
+                reach = list(accumulate((self.ends[n] for n in fits), max))
+                fits = [n for n in found if (at := bisect_left(fits, n)) and reach[at - 1] > n]
         return fits
 
     def _numbers(self, chains: list) -> list[int]:
         if id(chains) not in self._known:
-            found = [self._fitting(chain) for chain in chains]
-            numbers = [i for i in range(len(self.elements)) if any(fits[i] for fits in found)]
+            numbers = sorted({n for chain in chains for n in self._fitting(chain)})
             # The chains are kept too, so that no others can get their identity.
             self._known[id(chains)] = (chains, numbers)
         return self._known[id(chains)][1]

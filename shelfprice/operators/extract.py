@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -27,6 +28,7 @@ from shelfprice.functions.parse import (
     site_root,
 )
 from shelfprice.functions.text import iso_seconds
+from shelfprice.plans.staging import stage
 from shelfprice.schema import ORDER_KEY
 from shelfprice.sources.layouts import FIELDS, LAYOUTS
 
@@ -149,6 +151,26 @@ def extract_listings(pages: DataFrame, layouts: dict = LAYOUTS, category: str =
     return listings_of_cards(card_texts(pages, layouts), layouts, category)
 
 
+def extraction_errors(cards: DataFrame) -> DataFrame:
+    """Cards and pages that could not be read, and why; ``card_no`` is NULL for a whole page."""
+    return cards.where(F.col("error").isNotNull()).select("page_id", "layout", "url", "card_no", "error")
+
+
+@dataclass(frozen=True)
+class Extraction:
+    """What one reading of the pages gave."""
+
+    listings: DataFrame
+    errors: DataFrame
+    summary: DataFrame
+
+
+def extract(pages: DataFrame, layouts: dict = LAYOUTS, category: str = CATEGORY) -> Extraction:
+    """Listings, errors and counts from a single parse of the pages, whose cards are staged."""
+    cards = stage(card_texts(pages, layouts), "cards")
+    return Extraction(listings_of_cards(cards, layouts, category), extraction_errors(cards), extraction_summary(cards))
+
+
 def extraction_summary(cards: DataFrame) -> DataFrame:
     """Per layout: cards, listings, cards without name or link, unreadable cards and pages, empty pages."""
     is_card = F.col("card_no").isNotNull()

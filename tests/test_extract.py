@@ -1,8 +1,10 @@
+import random
 import datetime
 import time
 
 import pytest
 
+from shelfprice.functions import markup
 from shelfprice.functions.markup import Matches, read_page, selector_chains
 from shelfprice.operators import extract
 from shelfprice.schema import PAGE_SCHEMA
@@ -142,3 +144,56 @@ def test_selectors_that_are_not_understood_are_refused(bad):
 def test_layouts_with_such_selectors_fail_before_any_job(spark):
     with pytest.raises(ValueError, match="selector"):
         extract.card_texts(spark.createDataFrame([], PAGE_SCHEMA), {"x": {"card": ["#k"]}})
+
+
+def test_one_reading_gives_listings_errors_and_counts(spark, monkeypatch):
+    """Nothing is dropped without a trace: unreadable cards and pages stand beside the listings of the same run."""
+    card = "<a data-test-id='productLink' href='/{0}'><b data-test-id='productTitle'>{0}</b></a>"
+    html = "".join(card.format(x) for x in "abc")
+    texts = extract._card_texts
+
+    def fails_on_b(page, element, rules):
+        if element.attrs.get("href") == "/b":
+            raise ValueError("odd card")
+        return texts(page, element, rules)
+
+    monkeypatch.setattr(extract, "_card_texts", fails_on_b)
+    found = extract.extract(pages(spark, ("Z", html), ("?", html), ("Z", "<p>")))
+    assert sorted(r["product_name"] for r in found.listings.collect()) == ["a", "c"]
+    assert sorted((r["layout"], r["card_no"], r["error"]) for r in found.errors.collect()) == [("?", None, "page: unknown layout"), ("Z", 1, "card: odd card")]
+    counts = {r["layout"]: (r["cards"], r["listings"], r["unreadable_cards"], r["unreadable_pages"], r["empty_pages"]) for r in found.summary.collect()}
+    assert counts == {"Z": (3, 2, 1, 0, 1), "?": (0, 0, 0, 1, 0)}
+    # The pages are gone from all three plans: they were read once.
+    for df in (found.listings, found.errors, found.summary):
+        assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_selectors_against_a_walk_over_all_elements():
+    """Chains of all kinds over random trees, looked up in the lists and tested one by one."""
+    draw = random.Random(3)
+
+    def tree(depth):
+        return "".join(f"<{t} class='{draw.choice('xyz')} {draw.choice('uv')}' {draw.choice(['k=1', 'm', ''])}>{tree(depth - 1) if depth else ''}</{t}>" for t in draw.choices(["div", "b", "i"], k=draw.randrange(1, 4)))
+
+    def slow(element, chain):
+        (relation, tests), rest = chain[0], chain[1:]
+        if not markup._fits_one(element, tests):
+            return False
+        if not rest:
+            return True
+        if relation == "+":
+            return element.before is not None and slow(element.before, rest)
+        above = element.parent
+        while above is not None and above.tag:
+            if slow(above, rest):
+                return True
+            above = above.parent
+        return False
+
+    selectors = [".x", "b.y", "div b", ".x .y", "div.x + b", "[k]", "i[k='1'] .u", "div :first-child", ":first-child", "div div div", ".x + .y .z", "b + b, i .v", "q", ".x.u b"]
+    for _ in range(40):
+        root = markup.read_page(tree(4))
+        page = markup.Matches(root)
+        for selector in selectors:
+            chains = markup.selector_chains(selector)
+            assert page._numbers(chains) == [n for n, e in enumerate(page.elements) if any(slow(e, c) for c in chains)]
