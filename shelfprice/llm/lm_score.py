@@ -1,19 +1,18 @@
 """Log probability of texts by online logistic context mixing of bit predictors.
 
 A text is a sequence of tokens (words, then one end), and a token is a sequence of bits: its way down the
-Huffman tree of the most frequent training words. At every bit four predictors give a probability: one of
+Huffman tree of the most frequent training words. At every bit of it four predictors give a probability: one of
 the tree node alone, and three of the node hashed with a context (the last of the most common words, the
 previous word, the previous two words). Their stretched probabilities are combined by a weight set that is
 gated by how often the contexts were seen and how deep the node lies, plus a correction that each document
-learns as it is read; an adaptive map refines the result. Below nodes that hold less than
-``1 / MIXED`` of all tokens the remaining choice follows from the word counts alone. Words beyond the
-``LISTED`` most frequent share one leaf; behind it they are told apart by their counts, with one added and
-one place for all unseen words, as in the base score.
+learns as it is read; an adaptive map refines the result. Words beyond the
+``LISTED`` most frequent share one leaf, which is mixed as all others are; behind it they are told apart by their counts, with one
+added and one place for all unseen words, as in the base score.
 
 Training is one pass over all training documents: each task learns online, predicting before it counts, and
 its counts and weights are added to those of the other tasks. The counts of words cover all training
-documents too. What is broadcast has a fixed size: the listed words and tables of ``1 << TABLE_BITS`` slots.
-Words that are not listed meet their counts in a join instead, whose rows are rare words.
+documents too. What is broadcast is bounded: the listed words, and per context a table whose slots follow the training
+tokens, but at most ``1 << MOST_TABLE_BITS``. Words that are not listed meet their counts in a join instead, whose rows are rare words.
 
 Defined results: a NULL text is empty and has its end alone; ids held out from training by the caller's rule
 never count; without training documents every count is zero; rows that agree in id and text get equal scores;
@@ -37,9 +36,13 @@ from pyspark.sql import functions as F
 from shelfprice.plans.staging import stage
 
 LISTED = 1 << 17
-MIXED = 1024
-TABLE_BITS = 18
+# Slots of a table of contexts follow the training tokens up to a bound; what a task holds and sends grows with them.
+SLOTS_PER_TOKEN = 16
+MOST_TABLE_BITS = 20
+LEAST_TABLE_BITS = 12
 COMMON = 64
+# The nodes that hold most tokens have slots of their own for the last common word.
+DIRECT = 2048
 # Tokens of a document that are scored before its correction is updated, and documents read side by side.
 SEGMENT = 256
 SIDE_BY_SIDE = 48
@@ -52,6 +55,7 @@ _PIECE = 1 << 12
 
 _INPUTS = 5  # node, common word, previous word, previous two words, constant
 _START = (0.4, 0.4, 0.2, 0.2, 0.0)
+_START_PER_LEVEL = 0.2
 _CONSTANT = 0.3
 _PRIOR = 24.0
 _GATES = 4 * 4 * 8
@@ -71,7 +75,7 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 
 class Code:
-    """Bits of the listed words: class of a word, way of a class through the mixed nodes, and the rest."""
+    """Bits of the listed words: the way of every leaf from the root, whose nodes are numbered from the heaviest on."""
 
     def __init__(self, words: list[bytes], counts: list[int], other: int) -> None:
         """``words`` by falling count; ``other`` counts the tokens of all other words."""
@@ -79,38 +83,30 @@ class Code:
         self.unlisted = len(words)
         weight = [*(max(1, c) for c in counts), max(1, other)]
         left, right, total = self._tree(weight)
-        leaves, root = len(weight), len(total) - 1
-        limit = total[root] / MIXED
-        ways: list[list[tuple[int, int]]] = []
-        self.cls = np.zeros(leaves, np.int32)
-        self.rest = np.zeros(leaves, np.float32)
-        node_weight: list[tuple[int, int]] = []
-        open_ = [(root, [])]
-        while open_:
-            node, way = open_.pop()
-            if node < leaves or total[node] < limit:
-                below = [node]
-                while below:
-                    x = below.pop()
-                    if x < leaves:
-                        self.cls[x] = len(ways)
-                        self.rest[x] = np.log2(total[x] / total[node])
-                    else:
-                        below += (left[x - leaves], right[x - leaves])
-                ways.append(way)
-                continue
-            number = len(node_weight)
-            a, b = left[node - leaves], right[node - leaves]
-            node_weight.append((total[a], total[b]))
-            open_ += [(a, [*way, (number, 0)]), (b, [*way, (number, 1)])]
-        self.nodes = max(1, len(node_weight))
-        self.length = np.array([len(w) for w in ways], np.int64)
+        leaves, inner = len(weight), len(left)
+        self.nodes = max(1, inner)
+        parent = np.full(leaves + inner, -1, np.int64)
+        turn = np.zeros(leaves + inner, np.float32)
+        depth = np.zeros(leaves + inner, np.int64)
+        for k in range(inner - 1, -1, -1):
+            for child, bit in ((left[k], 0), (right[k], 1)):
+                parent[child], turn[child], depth[child] = leaves + k, bit, depth[leaves + k] + 1
+        self.length = depth[:leaves]
         self.offset = np.cumsum(self.length) - self.length
-        flat = [x for w in ways for x in w]
-        self.node = np.array([n for n, _ in flat], np.int32)
-        self.bit = np.array([b for _, b in flat], np.float32)
-        self.depth = np.array([min(i >> 1, 7) for w in ways for i in range(len(w))], np.int32)
-        self.stretched = np.array([np.log(b / a) for a, b in node_weight] or [0.0], np.float32)
+        self.node = np.zeros(int(self.length.sum()), np.int32)
+        self.bit = np.zeros(len(self.node), np.float32)
+        # All leaves walk up at once.
+        at, place = np.arange(leaves), self.offset + self.length - 1
+        while len(open_ := np.flatnonzero(parent[at] >= 0)):
+            at, place = at[open_], place[open_]
+            self.node[place] = inner - 1 - (parent[at] - leaves)
+            self.bit[place] = turn[at]
+            at, place = parent[at], place - 1
+        step = np.arange(len(self.node)) - np.repeat(self.offset, self.length)
+        self.depth = np.minimum(step >> 1, 7).astype(np.int32)
+        weights = np.array(total, np.float64)
+        ratio = weights[np.array(right, np.int64)] / weights[np.array(left, np.int64)] if inner else np.ones(1)
+        self.stretched = np.log(ratio)[::-1].astype(np.float32)
 
     @staticmethod
     def _tree(weight: list[int]) -> tuple[list[int], list[int], list[int]]:
@@ -129,12 +125,17 @@ class Code:
 class Model:
     """Counts behind the hashed contexts, mixing weights and the adaptive map."""
 
-    def __init__(self, code: Code) -> None:
+    def __init__(self, code: Code, bits: int = LEAST_TABLE_BITS) -> None:
         self.code = code
-        self.first = (COMMON + 1) * code.nodes
-        size = self.first + 2 * (1 << TABLE_BITS)
+        self.bits, self.direct = bits, min(DIRECT, code.nodes)
+        self.first = (COMMON + 1) * self.direct
+        size = self.first + 3 * (1 << bits)
         self.counts = np.zeros((size, 2), np.float32)  # of bits 0 and 1
         self.weights = np.repeat(np.array(_START, np.float32)[:, None], _GATES, axis=1)
+        # A context that was seen more often starts with more weight.
+        gate = np.arange(_GATES)
+        self.weights[2] += _START_PER_LEVEL * (gate // 4 % 4)
+        self.weights[3] += _START_PER_LEVEL * (gate % 4)
         self.power = np.full((_INPUTS, _GATES), 1e-2)
         self.seen, self.set = np.zeros(8 * _STEPS), np.zeros(8 * _STEPS)
         self.table: tuple[np.ndarray, np.ndarray] | None = None
@@ -157,7 +158,8 @@ class Model:
         """What the model has learned, in pieces that can be added to those of another model."""
         flat = self.counts.reshape(-1)
         for i in range(0, len(flat), _PIECE):
-            yield i // _PIECE, flat[i : i + _PIECE].astype(np.float64).tobytes()
+            if (piece := flat[i : i + _PIECE]).any():
+                yield i // _PIECE, piece.astype(np.float32).tobytes()
         n = max(1.0, float(self.seen.sum()))
         yield -1, np.concatenate(([n], n * self.weights.astype(np.float64).ravel(), self.seen, self.set)).tobytes()
 
@@ -197,13 +199,12 @@ class Model:
             n = np.clip(begins + lengths - start, 0, SEGMENT)
             of = np.repeat(np.arange(len(documents)), n)
             at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
-            cls = code.cls[ids[at]]
-            cost += np.bincount(of, weights=code.rest[ids[at]], minlength=len(documents))
-            size = code.length[cls]
+            leaf = ids[at]
+            size = code.length[leaf]
             rep = np.repeat(np.arange(len(at)), size)
             if not len(rep):
                 continue
-            step = np.arange(len(rep)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(code.offset[cls], size)
+            step = np.arange(len(rep)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(code.offset[leaf], size)
             bits = np.bincount(of, weights=size, minlength=len(documents)).astype(np.int64)
             at = at[rep]
             cost += self._bits(step, common[at], word[at], two[at], bits, own, learn)
@@ -231,11 +232,12 @@ class Model:
         code = self.code
         node, bit = code.node[step], code.bit[step]
         mixed = node.astype(np.uint32) * np.uint32(0xC2B2AE35)
-        shift = np.uint32(32 - TABLE_BITS)
+        shift, table = np.uint32(32 - self.bits), 1 << self.bits
+        hashed = ((common.astype(np.uint32) * np.uint32(0x9E3779B1) + mixed) * np.uint32(0x85EBCA6B) >> shift).astype(np.int64)
         slots = [
-            common * code.nodes + node,
-            ((word + mixed) * np.uint32(0x27D4EB2F) >> shift).astype(np.int64) + self.first,
-            ((two + mixed) * np.uint32(0x165667B1) >> shift).astype(np.int64) + self.first + (1 << TABLE_BITS),
+            np.where(node < self.direct, common * self.direct + node, hashed + self.first),
+            ((word + mixed) * np.uint32(0x27D4EB2F) >> shift).astype(np.int64) + (self.first + table),
+            ((two + mixed) * np.uint32(0x165667B1) >> shift).astype(np.int64) + (self.first + 2 * table),
         ]
         inputs, sure = [code.stretched[node]], []
         for i, slot in enumerate(slots):
@@ -296,7 +298,7 @@ def _stretch(counts: np.ndarray) -> np.ndarray:
 
 def _sureness(counts: np.ndarray) -> np.ndarray:
     n = counts[:, 0] + counts[:, 1]
-    return ((n > 0).view(np.int8) + (n > 3).view(np.int8) + (n > 30).view(np.int8)).astype(np.int32)
+    return (n > 0).view(np.int8) + (n > 3).view(np.int8) + (n > 30).view(np.int8)
 
 
 # --- jobs ----------------------------------------------------------------------------------------
@@ -334,9 +336,9 @@ def _numbers(code: Code, documents: list[list[bytes]]) -> list[np.ndarray]:
     return [np.array([number.get(w, unlisted) for w in words], np.int64) for words in documents]
 
 
-def _learner(code: object) -> Callable:
+def _learner(code: object, bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(_rebuilt(Code, code.value))
+        model = Model(_rebuilt(Code, code.value), bits)
         for _, documents in _documents(batches):
             model.read(_numbers(model.code, documents), learn=True)
         number, data = zip(*model.pieces(), strict=True)
@@ -345,14 +347,23 @@ def _learner(code: object) -> Callable:
     return run
 
 
-def _add_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for number, data in zip(batch.column("piece").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            values = np.frombuffer(data, np.float64)
-            sums[number] = sums[number] + values if number in sums else values
-    for number, values in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["piece", "data"])
+def _values(number: int, data: bytes, counts: type) -> np.ndarray:
+    return np.frombuffer(data, counts if number >= 0 else np.float64)
+
+
+def _add_pieces(counts: type) -> Callable:
+    """Sums of pieces; ``counts`` is the type in which the numbers of slots arrive, and they leave as doubles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, data in zip(batch.column("piece").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                values = _values(number, data, counts)
+                sums[number] = sums[number] + values if number in sums else values.astype(np.float64)
+        for number, values in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["piece", "data"])
+
+    return run
 
 
 _TAIL = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
@@ -415,12 +426,13 @@ def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
     del top
     code = context.broadcast(listed.__dict__)
 
-    learned = texts.mapInArrow(_learner(code), "piece int, data binary")
+    bits = min(MOST_TABLE_BITS, max(LEAST_TABLE_BITS, int(SLOTS_PER_TOKEN * total).bit_length()))
+    learned = texts.mapInArrow(_learner(code, bits), "piece int, data binary")
     # Sums in two steps, so that no task adds up the pieces of all others.
     salted = learned.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
-    halfway = salted.repartition("piece", "salt").select("piece", "data").mapInArrow(_add_pieces, "piece int, data binary")
-    added = stage(halfway.repartition("piece").mapInArrow(_add_pieces, "piece int, data binary"), "lm_pieces")
-    mixer = Model(listed).load({r.piece: bytes(r.data) for r in added.collect()}).freeze()
+    halfway = salted.repartition("piece", "salt").select("piece", "data").mapInArrow(_add_pieces(np.float32), "piece int, data binary")
+    added = stage(halfway.repartition("piece").mapInArrow(_add_pieces(np.float64), "piece int, data binary"), "lm_pieces")
+    mixer = Model(listed, bits).load({r.piece: bytes(r.data) for r in added.collect()}).freeze()
     state = {k: v for k, v in mixer.__dict__.items() if k not in ("code", "counts")}
     base = context.broadcast(np.log10((counts + 1) / (total + distinct + 1)))
 

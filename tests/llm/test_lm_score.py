@@ -94,9 +94,10 @@ def test_code_is_complete():
     assert sum(2.0 ** -code.length.astype(float)) == 1
     weights = np.array([9, 5, 3, 3, 1, 1, 5])
     for i in range(7):
-        way = slice(code.offset[code.cls[i]], code.offset[code.cls[i]] + code.length[code.cls[i]])
+        way = slice(code.offset[i], code.offset[i] + code.length[i])
         p = 1 / (1 + np.exp(-code.stretched[code.node[way]] * (2 * code.bit[way] - 1)))
-        assert p.prod() * 2.0 ** code.rest[i] == pytest.approx(weights[i] / weights.sum(), rel=1e-5)
+        assert p.prod() == pytest.approx(weights[i] / weights.sum(), rel=1e-5)
+        assert code.node[way][0] == 0 and list(code.node[way]) == sorted(code.node[way])
 
 
 def test_pieces_of_models_add_up():
@@ -105,8 +106,67 @@ def test_pieces_of_models_add_up():
     b.read([np.array([3, 2, 1] * 20)], learn=True)
     sums = {}
     for number, data in [*a.pieces(), *b.pieces()]:
-        sums[number] = sums.get(number, 0) + np.frombuffer(data, np.float64)
+        sums[number] = sums.get(number, 0) + lm_score._values(number, data, np.float32).astype(np.float64)
     both = model_of([8, 4, 2]).load({k: v.tobytes() for k, v in sums.items()})
     assert np.array_equal(both.counts, a.counts + b.counts) and np.array_equal(both.seen, a.seen + b.seen)
     share = a.seen.sum() / (a.seen.sum() + b.seen.sum())
     assert np.allclose(both.weights, share * a.weights + (1 - share) * b.weights, atol=1e-6)
+
+
+def plain_score(code, documents, text, bits):
+    """The score of one text after reading some, bit by bit with dictionaries and the rules in words."""
+    stretch = lambda n: math.log(n[1] + 0.4) - math.log(n[0] + 0.4)
+    sure = lambda n: (sum(n) > 0) + (sum(n) > 3) + (sum(n) > 30)
+    model = lm_score.Model(code, bits)
+    model.read(documents, learn=True)
+    weights, seen, set_ = model.weights.astype(float), model.seen, model.set
+    counts = model.counts
+    own, score = [0.0] * 5, 0.0
+    history = []
+    for token in text:
+        prev = [code.unlisted + 1] * 2
+        prev[: len(history[-2:])] = history[::-1][:2]
+        common = next((t for t in reversed(history) if t < lm_score.COMMON), lm_score.COMMON)
+        history.append(token)
+        m32 = (1 << 32) - 1
+        word = (prev[0] + 1) * 0x9E3779B1 & m32
+        two = word ^ ((prev[1] + 7) * 0x85EBCA6B & m32)
+        for k in range(code.length[token]):
+            node, bit = int(code.node[code.offset[token] + k]), float(code.bit[code.offset[token] + k])
+            mixed = node * 0xC2B2AE35 & m32
+            table, shift = 1 << bits, 32 - bits
+            first = common * model.direct + node if node < model.direct else model.first + (((common * 0x9E3779B1 + mixed) * 0x85EBCA6B & m32) >> shift)
+            slots = [first, model.first + table + (((word + mixed) * 0x27D4EB2F & m32) >> shift), model.first + 2 * table + (((two + mixed) * 0x165667B1 & m32) >> shift)]
+            inputs = [float(code.stretched[node]), *(stretch(counts[s]) for s in slots), 0.3]
+            depth = min(k >> 1, 7)
+            gate = (depth * 4 + sure(counts[slots[1]])) * 4 + sure(counts[slots[2]])
+            s = max(-12, min(12, sum(x * (weights[i][gate] + own[i]) for i, x in enumerate(inputs))))
+            p = 1 / (1 + math.exp(-s))
+            cell = round((s + 12) * 32 / 24) + depth * 33
+            mapped = (24 * p + set_[cell]) / (24 + seen[cell])
+            refined = (p + mapped) / 2
+            score += math.log2(refined if bit else 1 - refined)
+    return score
+
+
+def test_a_short_text_by_hand():
+    """Vectors over many documents give what the rules give bit by bit."""
+    draw = random.Random(5)
+    code = lm_score.Code([f"w{i}".encode() for i in range(90)], [400 // (i + 1) + 1 for i in range(90)], 7)
+    read = [np.array([draw.randrange(91) for _ in range(200)]) for _ in range(30)]
+    texts = [[3, 80, 3, 90, 12], [70], [0, 1, 2, 3, 4, 5, 66, 66, 66]]
+    model = lm_score.Model(code, 12)
+    model.read(read, learn=True)
+    got = model.freeze().read([np.array(t) for t in texts], learn=False)
+    for g, text in zip(got, texts, strict=True):
+        assert g == pytest.approx(plain_score(code, read, text, 12), rel=1e-4)
+
+
+def test_rare_words_that_follow_each_other(spark):
+    """Twenty thousand words of equal count that come in pairs: the second is told by the first."""
+    draw = random.Random(11)
+    docs = [(i, " ".join(f"a{x} b{x}" for x in (draw.randrange(10_000) for _ in range(60)))) for i in range(3000)]
+    rows = scores(spark, docs, F.col("doc_id") % 7 != 2)
+    held = [r for r in rows if r.doc_id % 7 == 2]
+    tokens = sum(r.n_tokens for r in held)
+    assert sum(r.base_score for r in held) / tokens < -4 and sum(r.score for r in held) / tokens > -3.3
