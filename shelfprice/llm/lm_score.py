@@ -38,6 +38,8 @@ from shelfprice.plans.staging import stage
 LISTED = 1 << 17
 # Slots of a table of contexts follow the training tokens up to a bound; what a task holds and sends grows with them.
 SLOTS_PER_TOKEN = 16
+# Training tokens that a task learns from, at least.
+TOKENS_PER_LEARNER = 1_000_000
 MOST_TABLE_BITS = 20
 LEAST_TABLE_BITS = 12
 COMMON = 64
@@ -427,7 +429,9 @@ def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
     code = context.broadcast(listed.__dict__)
 
     bits = min(MOST_TABLE_BITS, max(LEAST_TABLE_BITS, int(SLOTS_PER_TOKEN * total).bit_length()))
-    learned = texts.mapInArrow(_learner(code, bits), "piece int, data binary")
+    # A learner sends all it has learned, so it should have read something.
+    learners = texts.coalesce(max(1, int(total) // TOKENS_PER_LEARNER))
+    learned = learners.mapInArrow(_learner(code, bits), "piece int, data binary")
     # Sums in two steps, so that no task adds up the pieces of all others.
     salted = learned.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
     halfway = salted.repartition("piece", "salt").select("piece", "data").mapInArrow(_add_pieces(np.float32), "piece int, data binary")

@@ -116,7 +116,7 @@ def test_pieces_of_models_add_up():
 def plain_score(code, documents, text, bits):
     """The score of one text after reading some, bit by bit with dictionaries and the rules in words."""
     stretch = lambda n: math.log(n[1] + 0.4) - math.log(n[0] + 0.4)
-    sure = lambda n: (sum(n) > 0) + (sum(n) > 3) + (sum(n) > 30)
+    sure = lambda n: sum(float(sum(n)) > least for least in (0, 3, 30))
     model = lm_score.Model(code, bits)
     model.read(documents, learn=True)
     weights, seen, set_ = model.weights.astype(float), model.seen, model.set
