@@ -97,12 +97,15 @@ def test_entry_without_the_operators(tmp_path):
 def test_registered_names():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op2_quality_rules", "op5_chat_format", "op6_line_repeats"])
+TWINS = ["op2_quality_rules", "op5_chat_format", "op6_line_repeats", "op11_filter_audit", "op12_fill_in_middle", "op13_exact_groups"]
+
+
+@pytest.mark.parametrize("name", TWINS)
 def test_sql_twins(spark, sf_dir, name, monkeypatch):
     from checks import compare
     from shelfprice.llm import queries
@@ -110,3 +113,11 @@ def test_sql_twins(spark, sf_dir, name, monkeypatch):
     monkeypatch.setattr(compare, "QUERIES", queries.QUERIES)
     monkeypatch.setattr(compare, "ORACLES", queries.ORACLES)
     assert compare.difference(spark, compare.connect(sf_dir), name, sf_dir) is None
+
+
+@pytest.mark.parametrize("missing", ["regex", "xxhash", "shelfprice.plans.joins"])
+def test_a_missing_dependency_is_a_fault(missing):
+    """Only the package itself may be left out; what it needs may not."""
+    code = f"import sys; sys.path.insert(0, {ROOT!r}); sys.modules[{missing!r}] = None; import __spark_entry__"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+    assert done.returncode and missing in done.stderr
