@@ -22,6 +22,8 @@ from shelfprice.functions.parse import (
 )
 from shelfprice.operators import charts, clean, deals, extract, load, report, stats, views
 from shelfprice.operators.views import ListingFilter
+from shelfprice.plans import sketches
+from shelfprice.plans.joins import attach_groups
 from shelfprice.plans.staging import new_path, stage
 from shelfprice.schema import CLEANED_TYPES, DISPLAY_COLUMNS, ORDER_KEY, RAW_COLUMNS
 from shelfprice.sources.clustered import CLUSTER_BY
@@ -778,6 +780,37 @@ register(
     over(_VIEW, _box_sql("chosen", _hazen_sql)),
 )
 
+# --- approximate quantiles -------------------------------------------------------------------
+
+_PROBS = {"q1": 0.25, "median": 0.5, "p99": 0.99}
+
+
+def approx_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles from the merged sketches of four parts of the table: per platform the prices counted, and whether the rank of
+    every answer is within the stated error."""
+    base = fx.base_listings(spark, sf)
+    run = F.pmod(F.xxhash64("product_url"), F.lit(4))
+    parts = sketches.sketches(base.withColumn("run", run), ["platform", "run"], "current_price")
+    whole = sketches.merged(parts, ["platform"])
+    asked = sketches.quantiles_of_sketches(whole, ["platform"], _PROBS).join(whole.select("platform", "n"), "platform")
+    price = F.col("current_price")
+    counts = [F.count_if(f(price, F.col(name))).alias(f"{side}_{name}") for name in _PROBS for side, f in (("below", lambda a, b: a < b), ("upto", lambda a, b: a <= b))]
+    met = attach_groups(base.where(price.isNotNull()), asked, ["platform"], "inner").groupBy("platform", "n").agg(*counts)
+    error = F.lit(sketches.RANK_ERROR) * F.col("n") + 1
+    within = [(F.col(f"below_{name}") <= p * F.col("n") + error) & (F.col(f"upto_{name}") >= p * F.col("n") - error) for name, p in _PROBS.items()]
+    return met.select("platform", "n", *[w.alias(f"{name}_within") for name, w in zip(_PROBS, within, strict=True)])
+
+
+register(
+    "approx_prices",
+    approx_prices,
+    over(
+        LISTINGS,
+        """SELECT platform, count(current_price) AS n, true AS q1_within, true AS median_within, true AS p99_within
+FROM listings WHERE current_price IS NOT NULL GROUP BY platform""",
+    ),
+)
+
 # --- empty input -----------------------------------------------------------------------------
 
 _NOTHING = ListingFilter(price_min=1e12)

@@ -14,6 +14,7 @@ from shelfprice.operators.load import (
     load_summary,
     quarantined,
 )
+from shelfprice.plans.sketches import merged, quantiles_of_sketches, sketches
 from shelfprice.plans.staging import delete_matching, staged
 from shelfprice.schema import BASE_TYPES, ORDER_KEY
 from shelfprice.sources.csv import CSV_FILES, read_raw_csv
@@ -43,6 +44,12 @@ def read_summary(spark: SparkSession, table: str, version: int | None = None) ->
     return read_snapshot(spark, table, version).read(spark, "summary", T.StructType.fromDDL(schema))
 
 
+def approx_price_quantiles(spark: SparkSession, table: str, probs: dict[str, float], version: int | None = None) -> DataFrame:
+    """Price quantiles per platform from the sketches that the loads kept; no listing is read."""
+    kept = read_snapshot(spark, table, version).read(spark, "sketches", "platform string, n bigint, sketch binary")
+    return quantiles_of_sketches(merged(kept, ["platform"]), ["platform"], probs)
+
+
 def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: str | None, load_id: str) -> None:
     """One load, committed at its end; a load that is committed already is left as it is."""
     snapshot = read_snapshot(spark, table)
@@ -63,7 +70,10 @@ def _load_files(spark: SparkSession, paths: list[str], table: str, quarantine: s
         index, notes = add_urls(spark, snapshot, load_id, inserted.select("product_url").where(F.col("product_url").isNotNull()))
         result = load_summary(batch, inserted, inserted.limit(0))
         result.coalesce(1).write.mode("overwrite").parquet(load_folder(snapshot.table, "summary", load_id))
-        parts = ["rows", "urls", "summary"]
+        sketches(inserted, ["platform"], "current_price").coalesce(1).write.mode("overwrite").parquet(
+            load_folder(snapshot.table, "sketches", load_id)
+        )
+        parts = ["rows", "urls", "summary", "sketches"]
         load = {"load_id": load_id, "number": number, "parts": parts, "files": len(paths), "last_path": paths[-1], **index}
         commit(spark, snapshot, load, {**snapshot.notes, **notes})
 
@@ -93,7 +103,7 @@ def load_drops(
         batch = f"{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id:06d}"
         done = [load for load in read_snapshot(session, table).loads if load["load_id"].startswith(f"{batch}-")]
         committed = {f"load_id={load['load_id']}" for load in done}
-        for folder in filter(None, (f"{table}/rows", f"{table}/urls", f"{table}/summary", quarantine)):
+        for folder in filter(None, (*(f"{table}/{part}" for part in ("rows", "urls", "summary", "sketches")), quarantine)):
             delete_matching(session, f"{folder}/load_id={batch}-*", keep=committed)
         if done:
             paths = [path for path in paths if path > done[-1]["last_path"]]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfprice.operators.load import insert_if_absent
+from shelfprice.plans import sketches
 from shelfprice.sources import snapshots, urls
 from shelfprice.streaming import incremental
 from tests.test_explain import plan_of
@@ -157,3 +158,22 @@ def test_a_file_is_named_once(spark, tmp_path):
     assert snapshots.put_json(spark, path, {"a": 3}, replace=True) and snapshots.read_json(spark, path) == {"a": 3}
     assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith(".")] == ["000001.json"]
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_quantiles_from_the_sketches_of_the_loads(spark, tmp_path):
+    """Merged over loads, each within the stated error of its rank, and without reading a listing."""
+    probs = {"q1": 0.25, "median": 0.5, "p99": 0.99}
+    for load in range(3):
+        rows = [row(f"n{i}", f"u{load}-{i}", f"{(i * 7919 + load) % 5000 + 1}.00", "PQ"[i % 2]) for i in range(2000)]
+        drop(tmp_path / "landing", f"{load}.csv", *rows, row("free", f"free{load}", ""))
+    loaded = run(spark, tmp_path, files_per_load=1)
+    got = incremental.approx_price_quantiles(spark, str(tmp_path / "table"), probs)
+    assert all("sketches" in f for f in got.inputFiles())
+    prices = {p: sorted(float(r["current_price"]) for r in loaded.where(F.col("platform") == p).collect() if r["current_price"] is not None) for p in "PQ"}
+    answers = {r["platform"]: r for r in got.collect()}
+    assert set(answers) == {"P", "Q"}
+    for p, values_ in prices.items():
+        for name, prob in probs.items():
+            rank = sum(v <= answers[p][name] for v in values_) / len(values_)
+            assert abs(rank - prob) <= sketches.RANK_ERROR + 1 / len(values_)
+    assert incremental.approx_price_quantiles(spark, str(tmp_path / "none"), probs).count() == 0
