@@ -197,3 +197,31 @@ def test_selectors_against_a_walk_over_all_elements():
         for selector in selectors:
             chains = markup.selector_chains(selector)
             assert page._numbers(chains) == [n for n, e in enumerate(page.elements) if any(slow(e, c) for c in chains)]
+
+
+def shape(element):
+    return [
+        c if isinstance(c, str) else (c.tag, c.attrs, list(c.classes), c.before and c.before.tag, shape(c)) for c in element.children
+    ]
+
+
+PLAIN = [
+    "<!DOCTYPE html><p class='a  b' id=x>one &amp; two<br/>three<div CLASS=\"c>d\" class=e>four<!-- five - six -->seven</DIV >",
+    "<script>if(1<2)'</a>';</script><style>.x{}</style><title>a &lt; b</title><ul><li>1<li hidden>2</ul><a href='/p?a=1&amp;b=2'>",
+]
+ODD = ["a < b<p", "<a href=x/>t", "<script>x", "<script><!-- </script> --></script>", "<p a='1'b=2>", "<!x><?y>z", "<textarea><b></textarea>"]
+
+
+def test_plain_pages_are_read_without_the_standard_parser(monkeypatch):
+    expected = [shape(markup.read_any_page(html)) for html in PLAIN]
+    monkeypatch.setattr(markup, "_Builder", None)
+    assert [shape(markup.read_page(html)) for html in PLAIN] == expected
+
+
+def test_both_readers_give_one_tree():
+    rng, known = random.Random(3), {}
+    for html in PLAIN + ODD:
+        assert shape(markup.read_page(html, known)) == shape(markup.read_any_page(html))
+    for _ in range(2000):
+        html = "".join(rng.choice(PLAIN + ODD)[(at := rng.randrange(40)) : at + rng.randrange(80)] for _ in range(3))
+        assert shape(markup.read_page(html, known)) == shape(markup.read_any_page(html)), html
