@@ -141,3 +141,25 @@ def test_numbers_that_are_not_finite_are_rejected_with_a_reason(spark):
     kept = load.apply_contract(typed).collect()
     assert {r["order_key"] for r in kept} == {4, 5} and all(r["discount_pct"] is None for r in kept)
     assert load.apply_contract(load.coerce_types(text)).count() == 6
+
+
+@pytest.mark.parametrize("most_repeated, hot_rows", [(4_000_000, 10_000), (0, 10_000), (0, 1)])
+def test_first_wins_by_whatever_way(spark, listings, monkeypatch, most_repeated, hot_rows):
+    monkeypatch.setattr(load, "MOST_REPEATED", most_repeated)
+    monkeypatch.setattr(load, "HOT_ROWS", hot_rows)
+    links = ["a", "b", None, "a", None, "c", "", "", "b", "a", "d"]
+    df = listings(*[{"product_url": u, "product_name": str(i), "order_key": 90 - i // 2} for i, u in enumerate(links)])
+    kept = [(r.product_url, r.product_name) for r in load.first_wins(df).collect()]
+    assert sorted(n for u, n in kept if u is None) == ["2", "4"]
+    assert {u for u, _ in kept} == {"a", "b", "c", "d", "", None}
+    assert len(kept) == 7 and ("a", "9") in kept and ("b", "8") in kept
+    stored = df.where("product_url in ('a', 'd')")
+    fresh = [r.product_url for r in load.insert_if_absent(df, stored).collect()]
+    assert sorted(fresh, key=str) == ["", None, None, "b", "c"]
+
+
+def test_rows_of_urls_that_occur_once_are_not_shuffled(spark, listings):
+    df = listings(*[{"product_url": u} for u in "abcda"])
+    plan = load.first_wins(df)._jdf.queryExecution().executedPlan().toString()
+    alone = plan[plan.index("Union") : plan.index("Window [")]
+    assert "LeftAnti" in alone and "hashpartitioning" not in alone
