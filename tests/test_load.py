@@ -163,3 +163,10 @@ def test_rows_of_urls_that_occur_once_are_not_shuffled(spark, listings):
     plan = load.first_wins(df)._jdf.queryExecution().executedPlan().toString()
     alone = plan[plan.index("Union") : plan.index("Window [")]
     assert "LeftAnti" in alone and "hashpartitioning" not in alone
+
+
+@pytest.mark.parametrize("most_repeated", [4_000_000, 0])
+def test_rows_without_url_of_one_order_key_are_one_row(listings, monkeypatch, most_repeated):
+    monkeypatch.setattr(load, "MOST_REPEATED", most_repeated)
+    df = listings(*[{"product_name": n, "order_key": k} for n, k in (("1", 7), ("1", 7), ("2", 8), ("3", None), ("3", None))])
+    assert sorted(r.product_name for r in load.first_wins(df).collect()) == ["1", "2", "3"]
