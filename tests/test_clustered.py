@@ -111,3 +111,22 @@ def test_bounds_of_all_types(spark, rows):
         ranks = rows.select(column, clustered._rank(F.col(column), bounds[column], kind).alias("r")).groupBy("r").agg(F.min(column).alias("a"), F.max(column).alias("b"))
         ordered = [(r.a, r.b) for r in ranks.orderBy("r").collect() if r.a is not None]
         assert all(x[1] < y[0] for x, y in zip(ordered, ordered[1:], strict=False)) and len(ordered) > 100
+
+
+def test_tasks_do_not_follow_the_number_of_files(spark, rows, tmp_path):
+    """Four hundred files of a hundred rows, laid out by as many tasks as any shuffle has."""
+    assert clustered.along_curve(rows, clustered.CLUSTER_BY, "platform", 100).rdd.getNumPartitions() <= 8
+    table = str(tmp_path / "small")
+    write_cleaned(rows, table, cluster_by=clustered.CLUSTER_BY, rows_per_file=100)
+    sizes = [r[0] for r in read_listings(spark, table).groupBy(F.input_file_name()).agg(F.count("*")).select("count(1)").collect()]
+    assert 400 <= len(sizes) <= 420 and max(sizes) == 100
+
+
+def test_the_curve_has_the_ranks(rows):
+    bounds = {**clustered.range_bounds(rows, clustered.CLUSTER_BY), "category": []}
+    ranks = {name: clustered._rank(F.col(name), b, dict(rows.dtypes)[name]).cast("long").alias(f"r_{name}") for name, b in bounds.items()}
+    # Cached, as a condition on the curve would be pushed into its projections and multiply there.
+    keyed = clustered.curve_key(rows, bounds).select("_curve", *ranks.values()).cache()
+    for place, name in enumerate(bounds):
+        found = sum((F.shiftright("_curve", bit * 4 + place).bitwiseAND(1) * (1 << bit) for bit in range(clustered.BITS)), F.lit(0))
+        assert keyed.where(found != F.col(f"r_{name}")).count() == 0
