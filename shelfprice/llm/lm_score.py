@@ -24,11 +24,11 @@ from __future__ import annotations
 import heapq
 import math
 import sys
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +48,13 @@ DIRECT = 2048
 # Tokens of a document that are scored before its correction is updated, and documents read side by side.
 SEGMENT = 256
 SIDE_BY_SIDE = 48
-# Documents that are taken from a batch at once, and words that a task counts before it passes them on.
+# Where nothing is learned, more documents share a pass, as every pass fetches much of the tables anew.
+READ_SIDE_BY_SIDE = 96
+# Documents that are sorted by length before they are learned from, bytes of text that are cut into words at once,
+# and words that a task counts before it passes the counts on.
 _TAKEN = 4 * SIDE_BY_SIDE
-_COUNTED = 400_000
+_TEXT = 8 << 20
+_COUNTED = 3_000_000
 _CLASSES = 16
 # Slots that travel as one piece.
 _PIECE = 1 << 12
@@ -64,13 +68,27 @@ _GATES = 4 * 4 * 8
 _STEPS = 33
 _RATE, _OWN_RATE = 0.02, 1.0
 _END = b""  # no word is empty
+# A step of a way is its node with the depth, capped at 7, and the bit in the highest places.
+_DEPTH, _BIT = 28, 31
+_NODE = np.uint32((1 << _DEPTH) - 1)
+# Counts whose logarithms are looked up, as most slots have such.
+_LOGGED = 1 << 16
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Words (A-Z lowered, parted by ASCII white space) and the end."""
-    parts = (text or b"").lower().split()
-    parts.append(_END)
-    return parts
+def tokens(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words (A-Z lowered, parted by ASCII white space) of all texts, one after the other, and how many each text has.
+
+    Ends are left out.
+    """
+    # A slice is copied before it is cast, as pyarrow 23 lowers a cast slice wrongly.
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")).cast(pa.large_string()))
+    words, n = pc.list_flatten(parts), pc.list_value_length(parts).to_numpy().astype(np.int64)
+    # White space at either end of a text leaves an empty part there.
+    filled = pc.greater(pc.binary_length(words), 0)
+    if not pc.all(filled).as_py():
+        words = words.filter(filled)
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[filled.to_numpy(zero_copy_only=False)], minlength=len(n))
+    return words.cast(pa.large_binary()), n
 
 
 # --- the code of words ---------------------------------------------------------------------------
@@ -81,35 +99,44 @@ class Code:
 
     def __init__(self, words: list[bytes], counts: list[int], other: int) -> None:
         """``words`` by falling count; ``other`` counts the tokens of all other words."""
-        self.number = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.large_binary())
         self.unlisted = len(words)
+        self.end = words.index(_END) if _END in words else self.unlisted
         weight = [*(max(1, c) for c in counts), max(1, other)]
         left, right, total = self._tree(weight)
         leaves, inner = len(weight), len(left)
         self.nodes = max(1, inner)
         parent = np.full(leaves + inner, -1, np.int64)
-        turn = np.zeros(leaves + inner, np.float32)
+        turn = np.zeros(leaves + inner, np.uint32)
         depth = np.zeros(leaves + inner, np.int64)
         for k in range(inner - 1, -1, -1):
             for child, bit in ((left[k], 0), (right[k], 1)):
                 parent[child], turn[child], depth[child] = leaves + k, bit, depth[leaves + k] + 1
         self.length = depth[:leaves]
         self.offset = np.cumsum(self.length) - self.length
-        self.node = np.zeros(int(self.length.sum()), np.int32)
-        self.bit = np.zeros(len(self.node), np.float32)
+        node = np.zeros(int(self.length.sum()), np.uint32)
+        bit = np.zeros(len(node), np.uint32)
         # All leaves walk up at once.
         at, place = np.arange(leaves), self.offset + self.length - 1
         while len(open_ := np.flatnonzero(parent[at] >= 0)):
             at, place = at[open_], place[open_]
-            self.node[place] = inner - 1 - (parent[at] - leaves)
-            self.bit[place] = turn[at]
+            node[place] = inner - 1 - (parent[at] - leaves)
+            bit[place] = turn[at]
             at, place = parent[at], place - 1
-        step = np.arange(len(self.node)) - np.repeat(self.offset, self.length)
-        self.depth = np.minimum(step >> 1, 7).astype(np.int32)
+        step = np.arange(len(node)) - np.repeat(self.offset, self.length)
+        self.way = node | np.minimum(step >> 1, 7).astype(np.uint32) << np.uint32(_DEPTH) | bit << np.uint32(_BIT)
         weights = np.array(total, np.float64)
         ratio = weights[np.array(right, np.int64)] / weights[np.array(left, np.int64)] if inner else np.ones(1)
         self.stretched = np.log(ratio)[::-1].astype(np.float32)
 
+    @property
+    def node(self) -> np.ndarray:
+        return (self.way & _NODE).astype(np.int64)
+
+    @property
+    def bit(self) -> np.ndarray:
+        return (self.way >> np.uint32(_BIT)).astype(np.float32)
+
     @staticmethod
     def _tree(weight: list[int]) -> tuple[list[int], list[int], list[int]]:
         heap = [(w, i) for i, w in enumerate(weight)]
@@ -144,15 +171,18 @@ class Model:
 
     def freeze(self) -> Model:
         """Turn counts into stretched probabilities and how sure they are, for scoring."""
-        self.table = (_stretch(self.counts), _sureness(self.counts))
+        n = self.counts + np.float32(0.4)
+        np.log(n, out=n)
+        self.table = (n[:, 1] - n[:, 0], _sureness(self.counts[:, 0] + self.counts[:, 1]))
         return self
 
     def read(self, documents: list[np.ndarray], learn: bool) -> np.ndarray:
         """log2 probability of each document's listed part, or 0 while learning; numbers of its tokens are given."""
         out = np.zeros(len(documents))
         order = np.argsort([len(d) for d in documents], kind="stable")
-        for at in range(0, len(documents), SIDE_BY_SIDE):
-            part = order[at : at + SIDE_BY_SIDE]
+        together = SIDE_BY_SIDE if learn else READ_SIDE_BY_SIDE
+        for at in range(0, len(documents), together):
+            part = order[at : at + together]
             out[part] = self._side_by_side([documents[i] for i in part], learn)
         return out
 
@@ -194,22 +224,24 @@ class Model:
         common = np.where(last >= own_begin, ids[np.maximum(last, 0)], COMMON)
         word = (prev.astype(np.uint32) + 1) * np.uint32(0x9E3779B1)
         two = word ^ ((prev2.astype(np.uint32) + 7) * np.uint32(0x85EBCA6B))
+        contexts = [common.astype(np.uint32), word, two]
         cost = np.zeros(len(documents))
         own = np.zeros((_INPUTS, len(documents)), np.float32)
-        for segment in range(-(-int(lengths.max()) // SEGMENT)):
+        last_segment = (int(lengths.max()) - 1) // SEGMENT
+        for segment in range(last_segment + 1):
             start = begins + segment * SEGMENT
             n = np.clip(begins + lengths - start, 0, SEGMENT)
-            of = np.repeat(np.arange(len(documents)), n)
-            at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1]) + np.repeat(start - (ends - n), n)
             leaf = ids[at]
             size = code.length[leaf]
-            rep = np.repeat(np.arange(len(at)), size)
-            if not len(rep):
+            until = np.concatenate(([0], np.cumsum(size)))
+            if not until[-1]:
                 continue
-            step = np.arange(len(rep)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(code.offset[leaf], size)
-            bits = np.bincount(of, weights=size, minlength=len(documents)).astype(np.int64)
-            at = at[rep]
-            cost += self._bits(step, common[at], word[at], two[at], bits, own, learn)
+            step = np.arange(until[-1])
+            step += np.repeat(code.offset[leaf] - until[:-1], size)
+            bits = np.diff(until[np.concatenate(([0], ends))])
+            cost += self._bits(step, [c[at] for c in contexts], size, bits, own, segment > 0, segment < last_segment, learn)
         return cost
 
     def _refined(self, p: np.ndarray, cell: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -226,37 +258,55 @@ class Model:
         likely = np.abs(1 - bit - refined)
         return np.log2(likely, out=likely)
 
+    def _slots(self, node: np.ndarray, contexts: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+        """Slots of every bit's node with the three contexts of its token, which has ``size`` bits."""
+        common, word, two = contexts
+        mixed = node * np.uint32(0xC2B2AE35)
+        shift, table, direct = np.uint32(32 - self.bits), 1 << self.bits, np.uint32(self.direct)
+        slots = _scratch("slots", (3, len(node)), np.int64)
+        parts = (common * np.uint32(0x9E3779B1), 0x85EBCA6B), (word, 0x27D4EB2F), (two, 0x165667B1)
+        for i, (context, factor) in enumerate(parts):
+            hashed = np.repeat(context, size)
+            hashed += mixed
+            hashed *= np.uint32(factor)
+            hashed >>= shift
+            hashed += np.uint32(self.first + i * table)
+            slots[i] = hashed if i else np.where(node < direct, np.repeat(common * direct, size) + node, hashed)
+        return slots
+
+    def _seen_by(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the contexts say in the stretched domain, and how sure the last two are."""
+        if self.table is not None:
+            return _scratch.take("stretched", self.table[0], slots), _scratch.take("sure", self.table[1], slots[1:])
+        # Both counts of a slot are fetched as one number.
+        both = _scratch.take("both", self.counts.view(np.float64).reshape(-1), slots).view(np.float32)
+        logs = _logs(both)
+        return logs[:, 1::2] - logs[:, ::2], _sureness(both[1:, ::2] + both[1:, 1::2])
+
     def _bits(
-        self, step: np.ndarray, common: np.ndarray, word: np.ndarray, two: np.ndarray, bits: np.ndarray, own: np.ndarray, learn: bool
+        self, step: np.ndarray, contexts: list[np.ndarray], size: np.ndarray, bits: np.ndarray, own: np.ndarray, corrected: bool, onward: bool, learn: bool
     ) -> np.ndarray:
-        """log2 probability of the bits of one segment of each document (0 while learning, where nobody asks for it);
-        they lie in the order of the documents and ``bits`` says how many belong to each."""
-        code = self.code
-        node, bit = code.node[step], code.bit[step]
-        mixed = node.astype(np.uint32) * np.uint32(0xC2B2AE35)
-        shift, table = np.uint32(32 - self.bits), 1 << self.bits
-        hashed = ((common.astype(np.uint32) * np.uint32(0x9E3779B1) + mixed) * np.uint32(0x85EBCA6B) >> shift).astype(np.int64)
-        slots = [
-            np.where(node < self.direct, common * self.direct + node, hashed + self.first),
-            ((word + mixed) * np.uint32(0x27D4EB2F) >> shift).astype(np.int64) + (self.first + table),
-            ((two + mixed) * np.uint32(0x165667B1) >> shift).astype(np.int64) + (self.first + 2 * table),
-        ]
-        inputs, sure = [code.stretched[node]], []
-        for i, slot in enumerate(slots):
-            if self.table is not None:
-                inputs.append(self.table[0][slot])
-                sure.append(self.table[1][slot] if i else None)
-            else:
-                n = self.counts.take(slot, axis=0)
-                inputs.append(_stretch(n))
-                sure.append(_sureness(n) if i else None)
-        depth = code.depth[step]
-        gate = (depth * 4 + sure[1]) * 4 + sure[2]
-        s = np.repeat(own[_INPUTS - 1], bits) + self.weights[_INPUTS - 1].take(gate)
+        """log2 probability of the bits of one segment of each document (0 while learning, where nobody asks for it).
+
+        They lie in the order of the documents: ``size`` says how many belong to each token, ``bits`` how many to each
+        document. ``own`` is all zero unless ``corrected``, and not asked for again unless ``onward``.
+        """
+        way = _scratch.take("way", self.code.way, step)
+        node, bit = way & _NODE, (way >> np.uint32(_BIT)).astype(np.float32)
+        depth = (way >> np.uint32(_DEPTH)) & np.uint32(7)
+        slots = self._slots(node, contexts, size)
+        stretched, sure = self._seen_by(slots)
+        inputs = [_scratch.take("node", self.code.stretched, node), *stretched]
+        gate = (depth << np.uint32(4)).astype(np.int64)
+        gate += sure[0] * np.int8(4) + sure[1]
+        s = _scratch.take("s", self.weights[_INPUTS - 1], gate)
+        if corrected:
+            s += np.repeat(own[_INPUTS - 1], bits)
         s *= np.float32(_CONSTANT)
         for i, x in enumerate(inputs):
-            w = self.weights[i].take(gate)
-            w += np.repeat(own[i], bits)
+            w = _scratch.take("w", self.weights[i], gate)
+            if corrected:
+                w += np.repeat(own[i], bits)
             w *= x
             s += w
         np.clip(s, -12, 12, out=s)
@@ -265,18 +315,20 @@ class Model:
         np.reciprocal(p, out=p)
         s += 12
         s *= (_STEPS - 1) / 24
-        cell = np.rint(s, out=s).astype(np.int32)
-        cell += depth * _STEPS
+        cell = np.rint(s, out=s).astype(np.int64)
+        cell += depth * np.uint32(_STEPS)
         some = bits > 0
         begins = (np.cumsum(bits) - bits)[some]
         cost = np.zeros(len(bits))
         if not learn:
             cost[some] = np.add.reduceat(self._refined(p, cell, bit), begins, dtype=np.float64)
 
+        if not (learn or onward):
+            return cost
         error = bit - p
         gradients = [error * x for x in inputs]
         gradients.append(error * np.float32(_CONSTANT))
-        for i, g in enumerate(gradients):
+        for i, g in enumerate(gradients if onward else ()):
             own[i, some] += (_OWN_RATE * np.add.reduceat(g, begins) / (bits[some] + 2000)).astype(np.float32)
         if learn:
             seen = np.bincount(gate, minlength=_GATES)
@@ -284,22 +336,54 @@ class Model:
                 gradient = np.bincount(gate, weights=g, minlength=_GATES) / np.sqrt(seen + 1)
                 self.power[i] += gradient**2
                 self.weights[i] += (_RATE * gradient / np.sqrt(self.power[i])).astype(np.float32)
-            self.seen += np.bincount(cell, minlength=8 * _STEPS)
-            self.set += np.bincount(cell, weights=bit, minlength=8 * _STEPS)
-            flat, one = self.counts.reshape(-1), bit.astype(np.int64)
-            for slot in slots:
-                np.add.at(flat, 2 * slot + one, np.float32(1))
+            one = (way >> np.uint32(_BIT)).astype(np.int64)
+            hits = np.bincount(2 * cell + one, minlength=16 * _STEPS).reshape(-1, 2)
+            self.seen += hits.sum(axis=1)
+            self.set += hits[:, 1]
+            slots <<= 1
+            slots += one
+            np.add.at(self.counts.reshape(-1), slots.reshape(-1), np.float32(1))
         return cost
 
 
-def _stretch(counts: np.ndarray) -> np.ndarray:
-    n = counts + np.float32(0.4)
-    np.log(n, out=n)
-    return n[:, 1] - n[:, 0]
+class _Scratch:
+    """Memory that the vectors of one segment leave to those of the next, as fresh memory is not in the cache.
+
+    Every process has its own.
+    """
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+        self.logs = np.log(np.arange(_LOGGED, dtype=np.float32) + np.float32(0.4))
+
+    def __reduce__(self) -> tuple:
+        return _Scratch, ()
+
+    def __call__(self, name: str, shape: tuple[int, ...], kind: type) -> np.ndarray:
+        size = math.prod(shape)
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, kind)
+        return self.held[name][:size].reshape(shape)
+
+    def take(self, name: str, values: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """``values`` at places that all exist."""
+        return values.take(index, out=self(name, index.shape, values.dtype), mode="clip")
+
+
+_scratch = _Scratch()
+
 
+def _logs(counts: np.ndarray) -> np.ndarray:
+    index = _scratch("index", counts.shape, np.int64)
+    index[:] = counts
+    logs = _scratch.take("logs", _scratch.logs, index)
+    if counts.max(initial=0) >= _LOGGED:
+        large = counts >= _LOGGED
+        logs[large] = np.log(counts[large] + np.float32(0.4))
+    return logs
 
-def _sureness(counts: np.ndarray) -> np.ndarray:
-    n = counts[:, 0] + counts[:, 1]
+
+def _sureness(n: np.ndarray) -> np.ndarray:
     return (n > 0).view(np.int8) + (n > 3).view(np.int8) + (n > 30).view(np.int8)
 
 
@@ -312,37 +396,53 @@ def _rebuilt(kind: type, state: dict) -> object:
     return made
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut behind a multiple of ``_TAKEN`` documents, as soon as these have ``_TEXT`` bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _TAKEN):
-            part = batch.slice(at, _TAKEN)
-            yield part, [tokens(t) for t in part.column("text").cast(pa.large_binary()).to_pylist()]
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+        first = 0
+        for at in range(_TAKEN, batch.num_rows + _TAKEN, _TAKEN):
+            if at >= batch.num_rows or size[first:at].sum() >= _TEXT:
+                yield batch.slice(first, at - first)
+                first = at
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
-    counts: Counter = Counter()
-    for _, documents in _documents(batches):
-        for words in documents:
-            counts.update(words)
-        if len(counts) > _COUNTED:
-            yield out(counts)
-            counts = Counter()
-    yield out(counts)
-
-
-def _numbers(code: Code, documents: list[list[bytes]]) -> list[np.ndarray]:
-    number, unlisted = code.number, code.unlisted
-    return [np.array([number.get(w, unlisted) for w in words], np.int64) for words in documents]
+    def out(ends: int, taken: list[pa.Array]) -> pa.RecordBatch:
+        counts = pc.value_counts(pa.chunked_array(taken, pa.large_binary()))
+        words = pa.concat_arrays([counts.field("values"), pa.array([_END], pa.large_binary())])
+        n = pa.concat_arrays([counts.field("counts"), pa.array([ends], pa.int64())])
+        return pa.RecordBatch.from_arrays([words.cast(pa.binary()), n], ["word", "n"])
+
+    ends, taken = 0, []
+    for part in _parts(batches):
+        words, n = tokens(part.column("text"))
+        ends += len(n)
+        taken.append(words)
+        if sum(map(len, taken)) > _COUNTED:
+            yield out(ends, taken)
+            ends, taken = 0, []
+    if ends:
+        yield out(ends, taken)
+
+
+def _numbers(code: Code, words: pa.Array, n: np.ndarray) -> np.ndarray:
+    """Numbers of all tokens: the words of each text and its end."""
+    ids = np.full(len(words) + len(n), code.end, np.int64)
+    is_word = np.ones(len(ids), bool)
+    is_word[np.cumsum(n + 1) - 1] = False
+    ids[is_word] = pc.fill_null(pc.index_in(words, value_set=code.words), code.unlisted).to_numpy()
+    return ids
 
 
 def _learner(code: object, bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(_rebuilt(Code, code.value), bits)
-        for _, documents in _documents(batches):
-            model.read(_numbers(model.code, documents), learn=True)
+        for part in _parts(batches):
+            words, n = tokens(part.column("text"))
+            documents = np.split(_numbers(model.code, words, n), np.cumsum(n + 1)[:-1])
+            for at in range(0, len(documents), _TAKEN):
+                model.read(documents[at : at + _TAKEN], learn=True)
         number, data = zip(*model.pieces(), strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), pa.array(data, pa.binary())], ["piece", "data"])
 
@@ -371,22 +471,37 @@ def _add_pieces(counts: type) -> Callable:
 _TAIL = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
 
+def _tails(code: Code, words: pa.Array, n: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Words that are not listed with their counts, per document; an entry without a word tells how often it occurs."""
+    of = np.repeat(np.arange(len(n)), n + 1)
+    rare = np.flatnonzero(ids == code.unlisted)
+    # Before a word lie the ends of the documents before; all ends are the one behind the words.
+    is_end = rare == np.cumsum(n + 1)[of[rare]] - 1
+    found = pa.concat_arrays([words, pa.array([_END], words.type)]).take(np.where(is_end, len(words), rare - of[rare])).dictionary_encode()
+    pair, times = np.unique(of[rare] * len(ids) + found.indices.to_numpy(), return_counts=True)
+    entries = np.bincount(pair // len(ids), minlength=len(n))
+    until = np.cumsum(entries + (entries > 0))
+    is_word = np.ones(until[-1], bool)
+    is_word[until[entries > 0] - 1] = False
+    at, count = np.zeros(len(is_word), np.int64), np.ones(len(is_word), np.int64)
+    at[is_word], count[is_word] = pair % len(ids), times
+    word = found.dictionary.take(pa.array(at, mask=~is_word)).cast(pa.binary())
+    offsets = pa.array(np.concatenate(([0], until)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([word, pa.array(count)], fields=list(_TAIL.value_type)))
+
+
 def _reader(code: object, model: object, base: object) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _rebuilt(Model, {**model.value, "code": _rebuilt(Code, code.value)})
-        logs = base.value
-        for part, documents in _documents(batches):
-            ids = _numbers(reader.code, documents)
-            score = reader.read(ids, learn=False) * np.log10(2)
-            listed = [i[i < reader.code.unlisted] for i in ids]
-            tails = []
-            for words, numbers in zip(documents, ids, strict=True):
-                rare = Counter(words[i] for i in np.flatnonzero(numbers == reader.code.unlisted))
-                # The entry without a word tells how often a document occurs.
-                tails.append([{"word": w, "n": n} for w, n in rare.items()] + [{"word": None, "n": 1}] if rare else [])
-            columns = [part.column("doc_id"), part.column("text_hash"), part.column("n_bytes")]
-            columns += [pa.array([len(x) for x in ids], pa.int64()), pa.array([len(x) for x in listed], pa.int64())]
-            columns += [pa.array([float(logs[x].sum()) for x in listed]), pa.array(score), pa.array(tails, _TAIL)]
+        logs = np.append(base.value, 0.0)
+        for part in _parts(batches):
+            words, n = tokens(part.column("text"))
+            ids = _numbers(reader.code, words, n)
+            begins = np.cumsum(n + 1) - (n + 1)
+            score = reader.read(np.split(ids, begins[1:]), learn=False) * np.log10(2)
+            listed = np.add.reduceat((ids < reader.code.unlisted).astype(np.int64), begins)
+            columns = [part.column("doc_id"), part.column("text_hash"), part.column("n_bytes"), pa.array(n + 1), pa.array(listed)]
+            columns += [pa.array(np.add.reduceat(logs.take(ids), begins)), pa.array(score), _tails(reader.code, words, n, ids)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_bytes", "n_tokens", "n_listed", "base", "score", "tail"])
 
     return run

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,55 @@ def test_rare_words_that_follow_each_other(spark):
     held = [r for r in rows if r.doc_id % 7 == 2]
     tokens = sum(r.n_tokens for r in held)
     assert sum(r.base_score for r in held) / tokens < -4 and sum(r.score for r in held) / tokens > -3.3
+
+
+BLANK_TEXTS = ["  A  b\t", None, "", " \n", "x\x0by\x0cz\x1cw\x85 É\xa0ß", *(f"W{i} x  Y{i}" for i in range(9)), "last\r"]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("first, n", [(0, 15), (3, 7), (5, 9), (6, 4), (2, 0)])
+def test_tokens_of_a_slice(kind, first, n):
+    """Slices of a batch give their own words, with or without NULLs in them."""
+    words, each = lm_score.tokens(pa.array(BLANK_TEXTS, kind).slice(first, n))
+    want = [(t or "").encode().lower().split() for t in BLANK_TEXTS[first : first + n]]
+    assert words.to_pylist() == [w for ws in want for w in ws] and each.tolist() == [len(ws) for ws in want]
+
+
+@pytest.mark.parametrize("listed", [[], [b"w", b"", b"x"], [b"w", b"x"]])
+def test_tails_hold_each_unlisted_word_once(listed):
+    texts = ["w new x new w é", "", None, "x", "w other", "new"]
+    code = lm_score.Code(listed, [1] * len(listed), 1)
+    words, n = lm_score.tokens(pa.array(texts))
+    ids = lm_score._numbers(code, words, n)
+    got = [{e["word"]: e["n"] for e in tail} for tail in lm_score._tails(code, words, n, ids).to_pylist()]
+    for tail, text in zip(got, texts, strict=True):
+        rare = Counter(w for w in [*(text or "").encode().split(), b""] if w not in listed)
+        assert tail == (rare | {None: 1} if rare else {})
+
+
+def test_parts_of_batches_are_whole_groups(monkeypatch):
+    monkeypatch.setattr(lm_score, "_TEXT", 1000)
+    batch = pa.RecordBatch.from_pydict({"text": [f"{i} " * 2 for i in range(1500)]})
+    parts = list(lm_score._parts(iter([batch, batch.slice(0, 0), batch.slice(7, 3)])))
+    assert all(len(p) % lm_score._TAKEN == 0 for p in parts[:-2]) and len(parts) > 4
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch, batch.slice(7, 3)])
+
+
+def test_reading_side_by_side_saves_passes_and_changes_nothing(monkeypatch):
+    """A pass over the predictors takes the documents of two learned groups; scores are those of each document by itself."""
+    model = model_of([500 // (i + 1) for i in range(200)])
+    draw = np.random.default_rng(1)
+    model.read([draw.integers(0, 201, 300) for _ in range(60)], learn=True)
+    model.freeze()
+    docs = [draw.integers(0, 201, lm_score.SEGMENT) for _ in range(2 * lm_score.SIDE_BY_SIDE)] + [np.array([3])]
+    alone = [model.read([d], learn=False)[0] for d in docs]
+    calls, whole = [], lm_score.Model._bits
+    monkeypatch.setattr(lm_score.Model, "_bits", lambda *a: (calls.append(1), whole(*a))[1])
+    assert model.read(docs, learn=False) == pytest.approx(alone, rel=1e-6)
+    assert len(calls) == 2
+
+
+def test_counts_beyond_the_table_of_logarithms():
+    size = lm_score._LOGGED
+    counts = np.array([[0, 1, size - 1], [size, 5 * size, 2]], np.float32)
+    assert np.array_equal(lm_score._logs(counts), np.log(counts + np.float32(0.4)))
