@@ -58,6 +58,8 @@ _COUNTED = 3_000_000
 _CLASSES = 16
 # Slots that travel as one piece.
 _PIECE = 1 << 12
+# Sums that a piece has before these are added, far fewer than there are learners.
+_SALTS = 8
 
 _INPUTS = 5  # node, common word, previous word, previous two words, constant
 _START = (0.4, 0.4, 0.2, 0.2, 0.0)
@@ -548,7 +550,7 @@ def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
     learners = texts.coalesce(max(1, int(total) // TOKENS_PER_LEARNER))
     learned = learners.mapInArrow(_learner(code, bits), "piece int, data binary")
     # Sums in two steps, so that no task adds up the pieces of all others.
-    salted = learned.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
+    salted = learned.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
     halfway = salted.repartition("piece", "salt").select("piece", "data").mapInArrow(_add_pieces(np.float32), "piece int, data binary")
     added = stage(halfway.repartition("piece").mapInArrow(_add_pieces(np.float64), "piece int, data binary"), "lm_pieces")
     mixer = Model(listed, bits).load({r.piece: bytes(r.data) for r in added.collect()}).freeze()
