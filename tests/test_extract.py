@@ -4,6 +4,7 @@ import time
 
 import pytest
 
+from checks import queries
 from shelfprice.functions import markup
 from shelfprice.functions.markup import Matches, read_page, selector_chains
 from shelfprice.operators import extract
@@ -168,6 +169,22 @@ def test_one_reading_gives_listings_errors_and_counts(spark, monkeypatch):
         assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_query_of_errors_reads_all_captured_pages(spark, monkeypatch):
+    card = "<a data-test-id='productLink' href='/p'><b data-test-id='productTitle'>N</b></a>"
+    captured = pages(spark, ("Q", "x"), ("L", "<p>"), ("S", "<p>"), ("Z", card), ("?", "x"), (None, "x"))
+    monkeypatch.setattr(queries.pages, "captured_pages", lambda spark, sf_dir: captured)
+    read, whole = [], extract.extract
+
+    def noted(given):
+        read.append(sorted(row["page_id"] for row in given.collect()))
+        return whole(given)
+
+    monkeypatch.setattr(queries.extract, "extract", noted)
+    errors = queries.QUERIES["extraction_errors"](spark, "").collect()
+    assert read == [[0, 1, 2, 3, 4, 5]]
+    assert sorted((r["page_id"], r["error"]) for r in errors) == [(i, "page: unknown layout") for i in (0, 4, 5)]
+
+
 def test_selectors_against_a_walk_over_all_elements():
     """Chains of all kinds over random trees, looked up in the lists and tested one by one."""
     draw = random.Random(3)
