@@ -242,3 +242,47 @@ def test_both_readers_give_one_tree():
     for _ in range(2000):
         html = "".join(rng.choice(PLAIN + ODD)[(at := rng.randrange(40)) : at + rng.randrange(80)] for _ in range(3))
         assert shape(markup.read_page(html, known)) == shape(markup.read_any_page(html)), html
+
+
+MIXED = [
+    "<p>a<div><b>x<i>y</b>z</i><title>q &lt; r</title> s</p> t</div>",
+    "<STYLE>.x{}</STYLE ><script>if(a<b)'</b>'</script>u<!-- a > <b> - c -->v<br/>w<i title='a > b' hidden>x</i>",
+    "a</b> b<!doctype html>c<template>t<b>u</b></template><ul><li>1<li>2<p>3<li>4</ul>5",
+]
+
+
+def test_plain_pages_are_cut_without_an_expression_for_whole_pages(monkeypatch):
+    expected = [shape(markup.read_any_page(html)) for html in PLAIN + MIXED]
+    texts_of = [markup.read_any_page(html).text() for html in PLAIN + MIXED]
+    monkeypatch.setattr(markup, "_Builder", None)
+    inside = "<i title='a < b'>t</i>"  # this one needs it
+    assert markup.read_page(inside).children[0].attrs == {"title": "a < b"}
+    monkeypatch.setattr(markup, "_PIECE", None)
+    known = {}
+    for _ in range(2):  # with tags that are new, and with known ones
+        assert [shape(markup.read_page(html, known)) for html in PLAIN + MIXED] == expected
+        assert [markup.read_page(html, known).text() for html in PLAIN + MIXED] == texts_of
+
+
+def test_tags_are_looked_at_once_whatever_the_number_of_pages_and_groups(monkeypatch):
+    looked, look_at = [], markup.Plan.look_at
+    monkeypatch.setattr(markup.Plan, "look_at", lambda plan, tag: (looked.append(tag.name), look_at(plan, tag)))
+    rules = extract._compiled({"Z": extract.LAYOUTS["Z"]})["Z"]
+    card = "<a data-test-id='productLink' href='/p'><b data-test-id='productTitle'>{}</b></a>"
+    known, plan = {}, extract._plan(rules)
+    found = [extract._page_cards(card.format(n) * 3, rules, known, plan) for n in range(20)]
+    assert [[c["name"] for c in cards] for cards in found] == [[str(n)] * 3 for n in range(20)]
+    assert looked == ["a", "b"]
+
+
+def test_selectors_of_one_plan_give_what_each_gives_alone():
+    groups = [".x", "b.y, i", "div b", ".x .y", "div.x + b, .v", "div div b", ":first-child", "div span:first-child", "b + b i"]
+    compiled = [markup.selector_chains(group) for group in groups]
+    plan, draw = markup.Plan(compiled), random.Random(5)
+    for _ in range(200):
+        tags = [f"<{draw.choice(['div', 'b', 'i', 'span', 'p', '/div', '/b', '/i', 'br'])}" for _ in range(30)]
+        html = "".join(t + (">" if t[1] == "/" else f" class='{draw.choice('xyz')} {draw.choice('uv')}'>") for t in tags)
+        root = markup.read_page(html)
+        together = markup.Matches(root, plan)
+        for group in compiled:
+            assert together._numbers(group) == markup.Matches(root)._numbers(group)
