@@ -130,3 +130,10 @@ def test_the_curve_has_the_ranks(rows):
     for place, name in enumerate(bounds):
         found = sum((F.shiftright("_curve", bit * 4 + place).bitwiseAND(1) * (1 << bit) for bit in range(clustered.BITS)), F.lit(0))
         assert keyed.where(found != F.col(f"r_{name}")).count() == 0
+
+
+def test_the_code_of_the_curve_stays_short(rows):
+    """The bits of a rank are looked up; moved one by one they were most of a projection too long to be compiled well."""
+    keyed = clustered.curve_key(rows, clustered.range_bounds(rows, clustered.CLUSTER_BY))
+    plan = keyed.select("_curve")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("shiftleft") <= len(clustered.CLUSTER_BY) and "shiftright" not in plan
