@@ -170,3 +170,20 @@ def test_rows_without_url_of_one_order_key_are_one_row(listings, monkeypatch, mo
     monkeypatch.setattr(load, "MOST_REPEATED", most_repeated)
     df = listings(*[{"product_name": n, "order_key": k} for n, k in (("1", 7), ("1", 7), ("2", 8), ("3", None), ("3", None))])
     assert sorted(r.product_name for r in load.first_wins(df).collect()) == ["1", "2", "3"]
+
+
+def test_rows_that_were_checked_are_not_checked_again(spark, monkeypatch):
+    good = {"platform": "p", "product_name": "n", "current_price": "1.5", "scraped_at": "2024-01-05T10:00:00"}
+    odd = [{}, {"platform": ""}, {"rating": "inf", "scraped_at": "soon"}, {"current_price": "1e9"}, {"brand": "b" * 256, "product_name": ""}]
+    rows = [tuple({**good, **cells}.get(c) for c in RAW_COLUMNS) + (i,) for i, cells in enumerate(odd)]
+    typed = load.coerce_types(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS) + ", order_key long"), note_not_finite=True)
+    valid, bad = load.apply_contract(typed), load.quarantined(typed)
+    expected = (valid.schema, bad.schema, values(valid), values(bad))
+    checked = load.check_contract(typed)
+    monkeypatch.setattr(load, "contract_checks", None)
+    valid, bad = load.apply_contract(checked), load.quarantined(checked)
+    assert (valid.schema.names, bad.schema.names) == (expected[0].names, expected[1].names)
+    assert (values(valid), values(bad)) == expected[2:] and len(expected[3]) == 4
+    with pytest.raises(Exception, match="listing rejected: platform missing"):
+        load.apply_contract(checked.where("order_key = 1"), "fail").collect()
+    assert load.apply_contract(checked.where("order_key = 0"), "fail").count() == 1

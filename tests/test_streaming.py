@@ -136,3 +136,14 @@ def test_without_quarantine_the_loads_before_a_bad_row_stay(spark, tmp_path):
     with pytest.raises(Exception, match="current_price not decimal"):
         run(spark, tmp_path, quarantine=False, files_per_load=1)
     assert names(incremental.read_loaded(spark, str(tmp_path / "table"))) == ["ok"]
+
+
+def test_a_load_checks_its_rows_in_one_pass(spark, tmp_path, monkeypatch):
+    looked, checks = [], load.contract_checks
+    monkeypatch.setattr(load, "contract_checks", lambda df: (looked.append(load.NOT_FINITE in df.columns), checks(df))[1])
+    drop(tmp_path / "landing", "a.csv", row("a1", "u1"), row("bad", "u9", platform=""), row("nan", "u2", price="NaN"), row("a2", "u1"))
+    assert names(run(spark, tmp_path)) == ["a1"]
+    bad = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert sorted((r["product_name"], *r["violations"]) for r in bad.collect()) == [("bad", "platform missing"), ("nan", "current_price not finite")]
+    # Whether a row is fit, and why not: both while the rows are staged, none of it when these are read.
+    assert looked == [True, True]
